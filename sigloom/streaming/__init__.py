@@ -1,0 +1 @@
+"""The engine is bounded-batch only; no streaming operator is owed, so none is defined."""
