@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["selection"]
+MODULES = ["selection", "grounding"]
 
 
 def load() -> None:
