@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.functions import text as tx
+from sigloom.operators.match import NGRAM_COLUMNS
 from sigloom.operators.ordering import evaluate_once
 
-NGRAM_COLUMNS = ["ngram_coverage", "non_ngram_match", "ngram_match_counts", "all_ngrams"]
-
 
 def _any_match(text: Column, patterns: list[str], flags: str = "") -> Column:
     return reduce(lambda a, b: a | b, [text.rlike(flags + p) for p in patterns])

@@ -15,8 +15,10 @@ from sigloom.functions import fixed_values as fv
 from sigloom.functions import text as tx
 from sigloom.functions.parse import reparse_missing
 from sigloom.operators.filters import drop_aspects_by_substring
+from sigloom.operators.ordering import evaluate_once
 
 SOURCES = ("title", "aspects", "desc")
+NGRAM_COLUMNS = ["ngram_coverage", "non_ngram_match", "ngram_match_counts", "all_ngrams"]
 
 
 def _long_words(text: Column) -> Column:
@@ -31,6 +33,11 @@ def _has_token_run(padded: Column, run: Column) -> Column:
     return F.contains(padded, F.concat(F.lit(" "), run, F.lit(" ")))
 
 
+def _let(value: Column, use) -> Column:
+    """Evaluate ``value`` once and hand it to ``use`` as a lambda variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def exact_match(signal: Column, text: Column) -> Column:
     """Whitespace-normalised lower-cased substring."""
     return F.contains(tx.squeeze(F.lower(text)), tx.squeeze(F.lower(signal)))
@@ -54,19 +61,22 @@ def permutation_match(signal_words: Column, text_words: Column) -> Column:
     Equivalent to trying all k! orders: a window of k text words fits if its first word ends with one signal
     word, its last starts with another, and the words between are exactly the remaining ones.
     """
-    joined = F.array_join(text_words, " ")
-    k, n = F.size(signal_words), F.size(text_words)
-    possible = F.forall(signal_words, lambda w: F.contains(joined, w))  # cheap and almost always false
+    return _let(F.struct(signal_words.alias("s"), text_words.alias("t"), F.array_join(text_words, " ").alias("joined")), _permuted)
+
+
+def _permuted(v: Column) -> Column:
+    words, text = v["s"], v["t"]
+    k, n = F.size(words), F.size(text)
+    possible = F.forall(words, lambda w: F.contains(v["joined"], w))  # cheap and almost always false
 
-    def fits(i: Column) -> Column:
-        first, last = F.get(text_words, i), F.get(text_words, i + k - 1)
-        between = F.sort_array(F.slice(text_words, i + 2, k - 2))
-        return F.exists(end_pairs(signal_words), lambda p: first.endswith(p["head"]) & last.startswith(p["tail"])
-                        & (between == p["rest"]))
+    def fits(i: Column, pairs: Column) -> Column:
+        first, last = F.get(text, i), F.get(text, i + k - 1)
+        return F.exists(pairs, lambda p: first.endswith(p["head"]) & last.startswith(p["tail"])
+                        & (F.sort_array(F.slice(text, i + 2, k - 2)) == p["rest"]))
 
-    windows = F.sequence(F.lit(0), n - k)
+    some_window = _let(end_pairs(words), lambda pairs: F.exists(F.sequence(F.lit(0), n - k), lambda i: fits(i, pairs)))
     return (F.when(k == 0, F.lit(True)).when(~possible, F.lit(False)).when(k == 1, F.lit(True))
-             .when(n < k, F.lit(False)).otherwise(F.exists(windows, fits)))
+             .when(n < k, F.lit(False)).otherwise(some_window))
 
 
 def ngrams(words: Column) -> Column:
@@ -134,15 +144,17 @@ def ground(df: DataFrame, signal: str = "signal", sources: tuple[str, ...] = SOU
     any_hit = F.size("_hits") > 0
     counts = F.map_from_entries(F.transform(F.array_distinct("_hits"), lambda g: F.struct(
         g.alias("key"), F.size(F.filter("_hits", lambda h: h == g)).alias("value"))))
-    return df.select(
-        *keep,
-        F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_perm").isNotNull(), "permutation")
-         .when(any_hit & F.col("_others"), "ngram+non ngram").when(any_hit, "ngram").otherwise("no_match").alias("match_type"),
-        F.coalesce("_exact", "_perm", F.col("_best.column")).alias("match_column"),
-        F.when(any_hit, F.size("_hits") / total).otherwise(F.lit(0.0)).alias("ngram_coverage"),
-        F.col("_others").alias("non_ngram_match"),
-        counts.alias("ngram_match_counts"),
-        F.when(any_hit, F.col("_grams")).otherwise(F.array().cast("array<string>")).alias("all_ngrams"))
+    # Without the one-time evaluation a later filter or explode would be pushed down and repeat all of the above.
+    result = evaluate_once(
+        df,
+        match_type=F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_perm").isNotNull(), "permutation")
+        .when(any_hit & F.col("_others"), "ngram+non ngram").when(any_hit, "ngram").otherwise("no_match"),
+        match_column=F.coalesce("_exact", "_perm", F.col("_best.column")),
+        ngram_coverage=F.when(any_hit, F.size("_hits") / total).otherwise(F.lit(0.0)),
+        non_ngram_match=F.col("_others"),
+        ngram_match_counts=counts,
+        all_ngrams=F.when(any_hit, F.col("_grams")).otherwise(F.array().cast("array<string>")))
+    return result.select(*keep, "match_type", "match_column", *NGRAM_COLUMNS)
 
 
 # --- sentence level -----------------------------------------------------------------------------
@@ -198,7 +210,7 @@ def curate(df: DataFrame, models: list[str], mode: str = "any", steps: tuple[str
     flagged = within_sentences(text_df, models, mode, ("title", "_aspects", "desc")) if "sentences" in steps else \
         text_df.withColumn("in_text", F.lit(True))
     reason = F.when(unparsed, "unparsed").when(~F.col("valid"), "denied_words").when(~F.col("in_text"), "not_in_sentence")
-    return flagged.withColumn("reject_reason", reason).drop("valid", "in_text", "_aspects")
+    return evaluate_once(flagged, reject_reason=reason).drop("valid", "in_text", "_aspects")
 
 
 def align_models(first: DataFrame, second: DataFrame, columns: list[str], key: str = "item_id") -> DataFrame:

@@ -9,10 +9,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sigloom.sources.readers import spread_small_scan
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 
 VIEWS: dict[str, str] = {}
+TEXT_VIEWS = ("v_signals", "v_raw_output", "v_chat", "v_html")  # long texts, one small file each
 
 VIEWS["v_views"] = """
 select l_partkey as item_id, l_partkey % 3 as site_id, l_partkey % 25 as leaf_categ_id,
@@ -164,7 +167,8 @@ class Bed:
             return self.table(name)
         if name in VIEWS:
             files = {t: f"parquet.`{self.dir}/{t}.parquet`" for t in TABLES}
-            return self.spark.sql(_fill(VIEWS[name], files, "try_element_at", "`"))
+            view = self.spark.sql(_fill(VIEWS[name], files, "try_element_at", "`"))
+            return spread_small_scan(view) if name in TEXT_VIEWS else view
         raise AttributeError(name)
 
 

@@ -35,3 +35,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
 
 def sql_scan(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than cores, before costly per-row work.
+
+    A large table has many more splits than cores and is returned unchanged: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
