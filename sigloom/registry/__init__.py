@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["selection", "grounding"]
+MODULES = ["selection", "grounding", "texts"]
 
 
 def load() -> None:

@@ -328,9 +328,9 @@ def _(b):
     return report.denied_word_counts(b.documents, "text")
 
 
-@query("agg_13_share_matching", r"select avg(case when regexp_matches(text, '\b(?:the|le|der)\b') then 1 else 0 end) as share from documents")
+@query("agg_13_share_matching", r"select avg(case when regexp_matches(text, '(^|[^\p{L}])(the|le|der)([^\p{L}]|$)') then 1 else 0 end) as share from documents")
 def _(b):
-    return report.share_matching(b.documents, "text", r"\b(?:the|le|der)\b")
+    return report.share_matching(b.documents, "text", r"(^|[^\p{L}])(the|le|der)([^\p{L}]|$)")
 
 
 @query("agg_14_text_statistics", r"""select round_even(avg(length(title) + length(aspects) + length("desc")), 1) as avg_chars,
