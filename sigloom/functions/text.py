@@ -6,7 +6,6 @@ import html as _html
 import json
 import re
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -77,9 +76,13 @@ def strip_tags(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Upper-case every letter that does not follow a letter ("women's 3d" -> "Women'S 3D")."""
-    runs = F.split(F.lower(text), r"(?<=[^\p{L}])")
-    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2)))), "")
+    """Upper-case every letter that does not follow a letter ("women's 3d" -> "Women'S 3D", "ß" -> "Ss")."""
+
+    def capital(run: Column) -> Column:
+        first = F.upper(F.substring(run, 1, 1))  # one letter may give two
+        return F.concat(F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))), F.substr(run, F.lit(2)))
+
+    return F.array_join(F.transform(F.split(F.lower(text), r"(?<=[^\p{L}])"), capital), "")
 
 
 def numeric_id(value: Column) -> Column:
@@ -191,7 +194,6 @@ def _replace_longest(word: str, table: dict[str, str], least: int) -> str:
     return word
 
 
-@lru_cache(maxsize=200_000)
 def porter_stem(word: str) -> str:
     """Porter's stemmer with the usual extensions for short words and irregular forms."""
     if word in _IRREGULAR:
@@ -249,7 +251,14 @@ def porter_stem(word: str) -> str:
 
 @F.pandas_udf(StringType())
 def _stem_tokens(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else " ".join(porter_stem(w) for w in t.split()))
+    stems: dict[str, str] = {}  # words repeat within a batch
+
+    def stem(word: str) -> str:
+        if word not in stems:
+            stems[word] = porter_stem(word)
+        return stems[word]
+
+    return text.map(lambda t: None if t is None else " ".join(stem(w) for w in t.split()))
 
 
 def normalize(text: Column, stem: bool = True) -> Column:

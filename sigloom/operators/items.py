@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,7 +135,3 @@ def items_with_tips(items: DataFrame, tips: DataFrame, descriptions: DataFrame,
     joined = (items.join(tips, "type").join(desc, "item_id", "left")
                    .withColumn("desc", F.coalesce(F.col("desc"), F.lit(""))))
     return joined if limit is None else joined.orderBy("tip_order", "item_id").limit(limit)
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -25,18 +25,18 @@ def _bucket_of(hash_col: Column) -> Column:
 def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
     """Rows before each bucket.  The window sees one row per bucket: thousands, whatever the data size."""
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint")))
+    return counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0).cast("bigint")))
 
 
 def hash_position(df: DataFrame, keys: list[str], seed: int = 42, position: str = "pos", total: str | None = None) -> DataFrame:
     """0-based position of every row in hash order.  ``keys`` must identify a row, so no bucket is hot."""
     hashed = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", _bucket_of(F.col("_h")))
-    counts = hashed.groupBy("_b").agg(F.count("*").alias("_n"))
+    counts = hashed.groupBy("_b").agg(F.count("*").alias("_cnt"))
     offsets = _offsets(counts, ["_b"])
     if total:
-        offsets = offsets.withColumn(total, F.sum("_n").over(Window.partitionBy(F.lit(0))))
+        offsets = offsets.withColumn(total, F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
     local = Window.partitionBy("_b").orderBy("_h", *keys)
-    joined = hashed.join(F.broadcast(offsets.drop("_n")), "_b")  # at most HASH_BUCKETS rows
+    joined = hashed.join(F.broadcast(offsets.drop("_cnt")), "_b")  # at most HASH_BUCKETS rows
     return joined.withColumn(position, F.col("_before") + F.row_number().over(local) - 1).drop("_h", "_b", "_before")
 
 
@@ -75,8 +75,8 @@ def ordered_position(df: DataFrame, key: str, ties: list[str], position: str = "
     placed = (df.withColumn("_h", hash_order(ties, 0))
                 .withColumn("_b", bucket)
                 .withColumn("_s", F.when(spread, _bucket_of(F.col("_h"))).otherwise(F.lit(0))))
-    counts = placed.groupBy("_b", "_s").agg(F.count("*").alias("_n"))
-    offsets = _offsets(counts, ["_b", "_s"]).drop("_n")  # at most parts + (hot + 1) * HASH_BUCKETS rows
+    counts = placed.groupBy("_b", "_s").agg(F.count("*").alias("_cnt"))
+    offsets = _offsets(counts, ["_b", "_s"]).drop("_cnt")  # at most parts + (hot + 1) * HASH_BUCKETS rows
     local = Window.partitionBy("_b", "_s").orderBy(F.col(key).asc_nulls_first(), "_h", *ties)
     return (placed.join(F.broadcast(offsets), ["_b", "_s"])
                   .withColumn(position, F.col("_before") + F.row_number().over(local) - 1)
@@ -110,9 +110,9 @@ def running_total(df: DataFrame, key: str, value: str, out: str, parts: int = 64
     quantiles = df.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 10_000).alias("q")).first()["q"]
     cuts = sorted(set(quantiles or []))
     placed = df.withColumn("_b", _search_tree(F.col(key), cuts, 0, len(cuts)))
-    sums = placed.groupBy("_b").agg(F.sum(value).alias("_n"))
+    sums = placed.groupBy("_b").agg(F.sum(value).alias("_cnt"))
     local = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return (placed.join(F.broadcast(_offsets(sums, ["_b"]).drop("_n")), "_b")
+    return (placed.join(F.broadcast(_offsets(sums, ["_b"]).drop("_cnt")), "_b")
                   .withColumn(out, F.col("_before") + F.coalesce(F.sum(value).over(local), F.lit(0)))
                   .drop("_b", "_before"))
 

@@ -100,7 +100,7 @@ def _(b):
 
 
 @query("str_13_title_case", r"""select doc_id, array_to_string(list_transform(list_zip(c, list_prepend(' ', c[:-2])),
-  lambda z: case when regexp_matches(z[2], '\p{L}') then z[1] else upper(z[1]) end), '') as titled from (select doc_id, string_split(lower(text), '') as c from documents)""")
+  lambda z: case when regexp_matches(z[2], '\p{L}') then z[1] when z[1] = 'ß' then 'Ss' else upper(z[1]) end), '') as titled from (select doc_id, string_split(lower(text), '') as c from documents)""")
 def _(b):
     return docs(b).select("doc_id", tx.title_case(F.col("text")).alias("titled"))
 

@@ -137,7 +137,7 @@ from {labels} where quality <> toxic"""
 
 # Conversation turns as the signals of an item.
 VIEWS["v_chat"] = """
-select conv_id as item_id, turn as pos, text as signal, role as title, cast(turn % 3 as int) as label, concat('r', role) as reason
+select conv_id as item_id, turn + 1 as pos, text as signal, role as title, cast(turn % 3 as int) as label, concat('r', role) as reason
 from {conversations}"""
 
 VIEWS["v_uplift"] = """
