@@ -374,9 +374,9 @@ def _(b):
     return report.column_health(b.v_wide, "sig_3", ("sig_1", "sig_2"), F.col("sig_2") == "")
 
 
-@query("srt_01_sorted_counts", "select source, count(*) as n from documents group by source order by n desc, source limit 20")
+@query("srt_01_sorted_counts", "select source, count(*) as n from documents group by source order by n desc, source")
 def _(b):
-    return b.documents.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "source").limit(20)
+    return b.documents.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "source")
 
 
 @query("top_04_frequent_tokens", r"""with toks as (select item_id, unnest(regexp_extract_all(lower(signal), '[\p{L}\p{N}_]+')) as word, unnest(range(1, len(regexp_extract_all(lower(signal), '[\p{L}\p{N}_]+')) + 1)) as pos from v_signals),

@@ -5,15 +5,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from sigloom.functions import text as tx
 from sigloom.operators import chat
 from sigloom.operators import infer
 from sigloom.operators import items as it
 from sigloom.operators import report
-from sigloom.operators import sampling as sm
 from sigloom.plans import judging
 from sigloom.registry.core import query
-from sigloom.registry.grounding import clean_sql
 from sigloom.registry.people import h
 from sigloom.registry.selection import LATEST_SQL
 from sigloom.sources import export as ex
@@ -37,10 +34,10 @@ def _(b):
     return b.v_wide.select("item_id", F.col("sig_1").alias("signal")).unionByName(b.v_wide.select(F.col("sig_2").alias("signal"), "item_id"))
 
 
-@query("set_02_stitch_runs", "select doc_id, text, case when doc_id % 3 <> 0 then 'late' else 'early' end as run from documents where doc_id % 3 <> 0 or doc_id % 2 = 0")
+@query("set_02_stitch_runs", "select doc_id, text, case when lang <> 'en' then 'late' else 'early' end as run from documents where lang in ('en', 'fr') or lang <> 'en'")
 def _(b):
-    early = b.documents.filter("doc_id % 2 = 0").select("doc_id", "text", F.lit("early").alias("run"))
-    late = b.documents.filter("doc_id % 3 <> 0").select("doc_id", "text", F.lit("late").alias("run"))
+    early = b.documents.filter("lang in ('en', 'fr')").select("doc_id", "text", F.lit("early").alias("run"))
+    late = b.documents.filter("lang <> 'en'").select("doc_id", "text", F.lit("late").alias("run"))
     return infer.stitch_runs([early, late], "doc_id")
 
 
@@ -120,11 +117,13 @@ def _(b):
     return chat.inference_prompts(b.v_signals, BOOK["single"], ["item_id", "signal"])
 
 
-@query("cht_04_grouped_prompts", f"""with src as (select * from v_chat where item_id % 4 <> 0 or pos = 1), {GROUP_SQL.format(src='src')}
+@query("cht_04_grouped_prompts", f"""with src as (select * from v_chat union all select 1000000 + item_id, 1, signal, lang, 1, 'r' from v_signals), {GROUP_SQL.format(src='src')}
   select item_id, case when num_signals = 1 then substr(grouped_signals, 4) else grouped_signals end as grouped_signals,
   'Title: ' || trim(title) || chr(10) || 'Signals:' || chr(10) || trim(case when num_signals = 1 then substr(grouped_signals, 4) else grouped_signals end) as judge_prompt from g""")
 def _(b):
-    rows = b.v_chat.filter("item_id % 4 <> 0 or pos = 1")
+    single = b.v_signals.select((F.col("item_id") + 1000000).alias("item_id"), F.lit(1).cast("bigint").alias("pos"), "signal",
+                                F.col("lang").alias("title"), F.lit(1).alias("label"), F.lit("r").alias("reason"))
+    rows = b.v_chat.unionByName(single)
     return chat.inference_prompts(rows, BOOK["grouped"], ["item_id", "grouped_signals"], grouping={**GROUPING, "number_single": False})
 
 

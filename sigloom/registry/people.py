@@ -218,18 +218,18 @@ def _(b):
     return u.select("item_id", flt.first_present("feature", "x", "y", "z").alias("v"))
 
 
-@query("jon_13_restore_originals", """with s as (select item_id, signal from v_signals order by md5(concat(item_id, '-42')), item_id limit 200)
-  select s.item_id, s.signal, v.title, v."desc" from s join v_signals v on v.item_id = s.item_id and v.signal = s.signal""")
+@query("jon_13_restore_originals", """select item_id, signal, title, "desc" from v_signals where trim(regexp_replace(signal, '[^a-zA-Z0-9./]+', ' ', 'g')) <> ''""")
 def _(b):
     from sigloom.plans.evaluation import clean_columns
     original = b.v_signals.select("item_id", "signal", "title", "desc")
-    sampled = clean_columns(sm.first_by_hash(original, ["item_id"], 200), ["signal", "title", "desc"], {"signal": "signal_orig"})
-    return sm.restore_originals(sampled, original, ["signal", "title", "desc"]).select("item_id", "signal", "title", "desc")
+    cleaned = clean_columns(original, ["signal", "title", "desc"], {"signal": "signal_orig"})
+    return sm.restore_originals(cleaned, original, ["signal", "title", "desc"]).select("item_id", "signal", "title", "desc")
 
 
 @query("jon_14_join_predictions", """select a.item_id, a.signal, a.annotator_name, a.label, b.toxic as pred_score from v_annotations a join labels b on b.doc_id = a.item_id where a.signal <> 'Sig 4'""")
 def _(b):
-    pred = b.labels.filter("doc_id % 5 <> 4").select(F.col("doc_id").alias("item_id"), F.concat(F.lit(" SIG "), (F.col("doc_id") % 5).cast("string"), F.lit(" ")).alias("signal"),
+    number = F.when(F.col("doc_id") % 5 == 4, "none").otherwise((F.col("doc_id") % 5).cast("string"))
+    pred = b.labels.select(F.col("doc_id").alias("item_id"), F.concat(F.lit(" SIG "), number, F.lit(" ")).alias("signal"),
                                                      F.col("toxic").alias("label"))
     return ag.join_predictions(b.v_annotations, pred).select("item_id", "signal", "annotator_name", "label", "pred_score")
 
