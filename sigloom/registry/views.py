@@ -91,10 +91,10 @@ from (select doc_id, text, lang, source, regexp_extract_all(lower(text), '([a-z]
 VIEWS["v_raw_output"] = """
 select doc_id as item_id,
        case doc_id % 6
-         when 0 then concat('Sure: {{', q, 'characteristic_1', q, ': ', q, {at}(w,1), ' ', {at}(w,2), q, ', ', q, 'explanation_1', q, ': ', q,
+         when 0 then concat('Sure: {{', q, 'characteristic_1', q, ': ', q, coalesce({at}(w,1), ''), ' ', coalesce({at}(w,2), ''), q, ', ', q, 'explanation_1', q, ': ', q,
                             'from ', source, q, ', ', q, 'characteristic_2', q, ': ', q, lang, ' 3d', q, '}} done')
-         when 1 then concat('{{''characteristic'': ''', {at}(w,1), ' women', ''', ''explanation'': ''', source, '''}}')
-         when 2 then concat('{{', q, 'characteristic', q, ': ', q, {at}(w,1), q, ', ', q, 'feature', q, ': ', q, source, q, ',}}')
+         when 1 then concat('{{''characteristic'': ''', coalesce({at}(w,1), ''), ' women', ''', ''explanation'': ''', source, '''}}')
+         when 2 then concat('{{', q, 'characteristic', q, ': ', q, coalesce({at}(w,1), ''), q, ', ', q, 'feature', q, ': ', q, source, q, ',}}')
          when 3 then concat('a {{', q, 'characteristic', q, ': ', q, 'first', q, '}} b {{', q, 'characteristic', q, ': ', q, 'second', q, '}}')
          when 4 then concat('```json {{', q, 'signal_label', q, ': ', q, cast(doc_id % 4 as varchar(5)), q, ', ', q, 'reason', q, ': ', q,
                             source, q, '}} ```')
