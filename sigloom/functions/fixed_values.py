@@ -189,7 +189,7 @@ STRICT_FLAGS = ["no_match", "title_exact", "repeated_words", "forbidden_words",
                 "numerically_dominant", "numbers_to_exclude_by_pattern"]
 
 # --- text ----------------------------------------------------------------------------------------
-CLEAN_DROPPED_CHARS = r"[^a-zA-Z0-9 x./]"
+CLEAN_SEPARATORS = r"[^a-zA-Z0-9./]+"
 ASCII_PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 HIGHLIGHT_SPLIT = r"[ ,:{}']"
 # Words a Treebank tokeniser writes as two tokens.

@@ -15,6 +15,11 @@ from pyspark.sql.types import StringType
 from sigloom.functions import fixed_values as fv
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``; a plain reference may be inlined into every lambda call."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # --- deny lists ------------------------------------------------------------------------------
 def shortest_substrings(words: Iterable[str]) -> list[str]:
     """Lower-cased words without those that contain another one.
@@ -58,8 +63,12 @@ def squeeze(text: Column) -> Column:
 
 
 def clean(text: Column) -> Column:
-    """Keep ASCII letters, digits, blank, '.' and '/'; lower-case; single blanks."""
-    return squeeze(F.lower(F.regexp_replace(text, fv.CLEAN_DROPPED_CHARS, " ")))
+    """Keep ASCII letters, digits, '.' and '/' in tokens joined by single blanks; lower-case.
+
+    The same as blanking every other character, lower-casing and collapsing blanks, in one regex pass: a split
+    is several times faster than a replace with many matches.
+    """
+    return F.lower(F.trim(F.array_join(F.split(text, fv.CLEAN_SEPARATORS), " ")))
 
 
 def words(text: Column) -> Column:
@@ -319,9 +328,8 @@ def first_type_in_title(title: Column, types: list[str], default: str = "unknown
 def highlight_spans(text: Column, signal: Column) -> Column:
     """Start (0-based) and token of every case-insensitive, non-overlapping hit of each signal token."""
     tokens = F.array_distinct(F.filter(F.split(F.lower(signal), fv.HIGHLIGHT_SPLIT), lambda t: t != ""))
-    low = F.lower(text)
 
-    def hits(token: Column) -> Column:
+    def hits(low: Column, token: Column) -> Column:
         # Splitting on the literal token gives the gaps between hits; a running sum gives the starts.
         gaps = F.transform(F.split(low, F.concat(F.lit("\\Q"), token, F.lit("\\E")), -1), lambda g: F.length(g))
         step = F.length(token)
@@ -332,7 +340,8 @@ def highlight_spans(text: Column, signal: Column) -> Column:
                                     F.concat(acc["starts"], F.array(acc["at"] + g)).alias("starts")))
         return F.transform(walked["starts"], lambda s: F.struct(s.alias("start"), token.alias("token")))
 
-    return F.coalesce(F.array_sort(F.flatten(F.transform(tokens, hits))),
+    found = let(F.lower(text), lambda low: F.flatten(F.transform(tokens, lambda t: hits(low, t))))
+    return F.coalesce(F.array_sort(found),
                       F.array().cast("array<struct<start:int,token:string>>"))
 
 

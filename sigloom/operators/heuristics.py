@@ -32,7 +32,7 @@ def title_exact() -> Column:
 def repeated_words(text: Column) -> Column:
     """Accepted shape 0, rejected shape 1, otherwise 1 when more than two tokens belong to repeated words."""
     tokens = F.transform(F.filter(tx.words(text), lambda t: ~t.rlike("(?i)" + fv.REPEAT_IGNORED_TOKEN)), lambda t: F.lower(t))
-    repeated = F.size(F.filter(tokens, lambda t: F.size(F.filter(tokens, lambda u: u == t)) > 1))
+    repeated = tx.let(tokens, lambda ts: F.size(F.filter(ts, lambda t: F.size(F.filter(ts, lambda u: u == t)) > 1)))
     return (F.when(_any_match(text, fv.REPEAT_ACCEPT, "(?i)"), 0).when(_any_match(text, fv.REPEAT_REJECT, "(?i)"), 1)
              .otherwise(_flag(repeated > 2)))
 

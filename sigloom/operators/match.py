@@ -33,11 +33,6 @@ def _has_token_run(padded: Column, run: Column) -> Column:
     return F.contains(padded, F.concat(F.lit(" "), run, F.lit(" ")))
 
 
-def _let(value: Column, use) -> Column:
-    """Evaluate ``value`` once and hand it to ``use`` as a lambda variable."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def exact_match(signal: Column, text: Column) -> Column:
     """Whitespace-normalised lower-cased substring."""
     return F.contains(tx.squeeze(F.lower(text)), tx.squeeze(F.lower(signal)))
@@ -61,7 +56,7 @@ def permutation_match(signal_words: Column, text_words: Column) -> Column:
     Equivalent to trying all k! orders: a window of k text words fits if its first word ends with one signal
     word, its last starts with another, and the words between are exactly the remaining ones.
     """
-    return _let(F.struct(signal_words.alias("s"), text_words.alias("t"), F.array_join(text_words, " ").alias("joined")), _permuted)
+    return tx.let(F.struct(signal_words.alias("s"), text_words.alias("t"), F.array_join(text_words, " ").alias("joined")), _permuted)
 
 
 def _permuted(v: Column) -> Column:
@@ -74,7 +69,7 @@ def _permuted(v: Column) -> Column:
         return F.exists(pairs, lambda p: first.endswith(p["head"]) & last.startswith(p["tail"])
                         & (F.sort_array(F.slice(text, i + 2, k - 2)) == p["rest"]))
 
-    some_window = _let(end_pairs(words), lambda pairs: F.exists(F.sequence(F.lit(0), n - k), lambda i: fits(i, pairs)))
+    some_window = tx.let(end_pairs(words), lambda pairs: F.exists(F.sequence(F.lit(0), n - k), lambda i: fits(i, pairs)))
     return (F.when(k == 0, F.lit(True)).when(~possible, F.lit(False)).when(k == 1, F.lit(True))
              .when(n < k, F.lit(False)).otherwise(some_window))
 
@@ -161,8 +156,9 @@ def ground(df: DataFrame, signal: str = "signal", sources: tuple[str, ...] = SOU
 def in_one_sentence(signal: Column, text: Column) -> Column:
     """All signal words, without punctuation, are tokens of one sentence."""
     wanted = tx.words(tx.drop_punctuation(F.lower(signal)))
-    return F.exists(tx.sentences(text), lambda s: F.forall(wanted, lambda w: _has_token_run(
-        F.concat(F.lit(" "), tx.squeeze(tx.drop_punctuation(F.lower(s))), F.lit(" ")), w)))
+    padded = lambda s: F.concat(F.lit(" "), tx.squeeze(tx.drop_punctuation(F.lower(s))), F.lit(" "))
+    return tx.let(wanted, lambda words: F.exists(tx.sentences(text), lambda s: tx.let(
+        padded(s), lambda p: F.forall(words, lambda w: _has_token_run(p, w)))))
 
 
 def in_text(signal: Column, text: Column) -> Column:

@@ -123,6 +123,12 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in columns], F.inline(packed).alias(*columns))
 
 
+def explode_once(df: DataFrame, keep: list[str], array: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element.  The outer form keeps Spark from inferring a size filter that evaluates ``array`` twice."""
+    rows = df.select(*keep, F.posexplode_outer(array).alias(position or "_i", name)).filter(F.col(name).isNotNull())
+    return rows if position else rows.drop("_i")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint in the folder the cluster names in ``spark.checkpoint.dir``; unchanged where none is set."""
     spark = df.sparkSession

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.functions import text as tx
+from sigloom.operators.ordering import explode_once
 
 WORD = r"([\p{L}\p{N}_]+)"
 
@@ -54,7 +55,7 @@ def word_frequency(df: DataFrame, column: str, stem: bool = False) -> DataFrame:
     Rows: word, n, token_density(_pct) over all counts, row_density(_pct) over all rows; percents truncated.
     """
     text = tx.normalize(F.col(column)) if stem else F.lower(F.col(column))
-    words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(1)))).alias("word"))
+    words = explode_once(df, [], F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(1))), "word")
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     tokens, rows = F.col("n") / _total(counts), F.col("n") / df.agg(F.count("*")).scalar()
     return counts.select("word", "n", tokens.alias("token_density"), _percent(tokens).alias("token_density_pct"),
@@ -71,9 +72,9 @@ def denied_word_counts(df: DataFrame, column: str, denied: list[str] | None = No
     The words are compared as written, so an entry with capitals cannot match lower-cased text.
     """
     words = denied or fv.DENIED_SOURCE_WORDS
-    low = df.select(F.lower(F.col(column)).alias("_t"))
-    found = low.select(F.explode(F.filter(F.array(*[F.lit(w) for w in dict.fromkeys(words)]),
-                                          lambda w: F.contains(F.col("_t"), w))).alias("word"))
+    listed_words = F.array(*[F.lit(w) for w in dict.fromkeys(words)])
+    hits = tx.let(F.lower(F.col(column)), lambda t: F.filter(listed_words, lambda w: F.contains(t, w)))
+    found = explode_once(df, [], hits, "word")
     listed = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
     counts = found.groupBy("word").agg(F.count("*").alias("n"))
     return listed.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
@@ -114,7 +115,7 @@ def funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
 
 def vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
     text = F.concat_ws(" ", *[F.col(c) for c in columns])
-    return df.select(F.explode(tx.words(text)).alias("word")).distinct()
+    return explode_once(df, [], tx.words(text), "word").distinct()
 
 
 def set_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -141,8 +142,9 @@ def frequent_tokens(df: DataFrame, key: str, column: str, top: int = 3, stem: bo
     """
     text = tx.normalize(F.col(column)) if stem else F.lower(F.col(column))
     base = df.select(key, text.alias("_t"))
-    tokens = base.select(key, F.posexplode(F.regexp_extract_all("_t", F.lit(WORD), F.lit(1))).alias("pos", "word"))
-    once = base.select(F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(WORD), F.lit(1)))).alias("word"))
+    found = F.regexp_extract_all("_t", F.lit(WORD), F.lit(1))
+    tokens = explode_once(base, [key], found, "word", "pos")
+    once = explode_once(base, [], F.array_distinct(found), "word")
     counts = once.groupBy("word").agg(F.count("*").alias("n"))
     spread = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = tokens.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))

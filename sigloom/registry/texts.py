@@ -10,20 +10,11 @@ from sigloom.plans import extraction
 from sigloom.registry.core import query
 from sigloom.registry.grounding import DENIED_LIST_SQL, SENTENCES_SQL, TITLE_SQL, WORDS_SQL
 from sigloom.registry.selection import NAMES_SQL, PAIR_SQL, RAW_SQL, as_json, raw_maps
-from sigloom.sources.readers import spread_small_scan
-
-
-def docs(b):
-    return spread_small_scan(b.documents)
-
-
-def pages(b):
-    return spread_small_scan(b.pages)
 
 
 @query("str_03_strip_tags", "select page_id, regexp_replace(html, '<[^>]*>', '', 'g') as plain from pages")
 def _(b):
-    return pages(b).select("page_id", tx.strip_tags(F.col("html")).alias("plain"))
+    return b.pages.select("page_id", tx.strip_tags(F.col("html")).alias("plain"))
 
 
 HTML_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c},
@@ -34,19 +25,19 @@ HTML_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(replace(regex
 @query("str_04_html_text", f"select page_id, {HTML_SQL.format(c='html')} as plain, {HTML_SQL.format(c='html')} as from_base64 from pages")
 def _(b):
     encoded = F.base64(F.encode("html", "UTF-8"))
-    return pages(b).select("page_id", tx.html_text(F.col("html")).alias("plain"), tx.base64_html_text(encoded).alias("from_base64"))
+    return b.pages.select("page_id", tx.html_text(F.col("html")).alias("plain"), tx.base64_html_text(encoded).alias("from_base64"))
 
 
 @query("str_04b_decode_if_html", f"""select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as plain from documents where not (contains(text, '<') and contains(text, '>'))
   union all select doc_id, {HTML_SQL.format(c='text')} from documents where contains(text, '<') and contains(text, '>')""")
 def _(b):
-    return docs(b).select("doc_id", tx.decode_if_html(F.base64(F.encode("text", "UTF-8"))).alias("plain"))
+    return b.documents.select("doc_id", tx.decode_if_html(F.base64(F.encode("text", "UTF-8"))).alias("plain"))
 
 
 @query("str_05_sentences", f"select doc_id, len(list_filter({SENTENCES_SQL.format(c='text')}, lambda s: s <> '')) as n, {SENTENCES_SQL.format(c='text')}[1] as first_sentence from documents")
 def _(b):
     s = tx.sentences(F.col("text"))
-    return docs(b).select("doc_id", F.size(s).cast("bigint").alias("n"), F.get(s, F.lit(0)).alias("first_sentence"))
+    return b.documents.select("doc_id", F.size(s).cast("bigint").alias("n"), F.get(s, F.lit(0)).alias("first_sentence"))
 
 
 KEPT_SENTENCES = "array_to_string(list_filter({sent}, lambda s: s <> '' and len(list_filter(" + DENIED_LIST_SQL + ", lambda d: contains(s, d))) = 0), ' ')"
@@ -58,7 +49,7 @@ def without_denied(c):
 
 @query("str_06_drop_denied_sentences", f"select doc_id, {without_denied('text')} as kept from documents")
 def _(b):
-    return docs(b).select("doc_id", tx.drop_denied_sentences(F.col("text")).alias("kept"))
+    return b.documents.select("doc_id", tx.drop_denied_sentences(F.col("text")).alias("kept"))
 
 
 @query("str_07_drop_denied_in_map", f"""with {RAW_SQL}, low as (select item_id, trim({without_denied('name')}) as k, trim({without_denied('value')}) as v, name from raw where value is not null)
@@ -88,7 +79,7 @@ def _(b):
 
 @query("str_11_normalize")
 def _(b):
-    return docs(b).select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
+    return b.documents.select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
 
 
 NORMAL = r"trim(regexp_replace(regexp_replace(lower({c}), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
@@ -102,7 +93,7 @@ def _(b):
 @query("str_13_title_case", r"""select doc_id, array_to_string(list_transform(list_zip(c, list_prepend(' ', c[:-2])),
   lambda z: case when regexp_matches(z[2], '\p{L}') then z[1] when z[1] = 'ß' then 'Ss' else upper(z[1]) end), '') as titled from (select doc_id, string_split(lower(text), '') as c from documents)""")
 def _(b):
-    return docs(b).select("doc_id", tx.title_case(F.col("text")).alias("titled"))
+    return b.documents.select("doc_id", tx.title_case(F.col("text")).alias("titled"))
 
 
 SPANS_SQL = """with toks as (select distinct item_id, lower("desc") as d, t from (select item_id, "desc", unnest(regexp_split_to_array(lower(signal), '[ ,:{{}}'']')) as t from v_signals) where t <> ''),
@@ -132,12 +123,12 @@ def _(b):
 
 @query("str_19_truncate_words", f"select doc_id, array_to_string(({WORDS_SQL.format(c='text')})[1:800], ' ') as short from documents")
 def _(b):
-    return docs(b).select("doc_id", tx.truncate_words(F.col("text"), 800).alias("short"))
+    return b.documents.select("doc_id", tx.truncate_words(F.col("text"), 800).alias("short"))
 
 
 @query("str_20_word_count", f"select doc_id, len({WORDS_SQL.format(c='text')}) as n from documents")
 def _(b):
-    return docs(b).select("doc_id", tx.word_count(F.col("text")).cast("bigint").alias("n"))
+    return b.documents.select("doc_id", tx.word_count(F.col("text")).cast("bigint").alias("n"))
 
 
 @query("str_21_type_in_title", """select item_id, case when contains(lower(auct_titl),'bolt') then 'bolts'
@@ -270,7 +261,7 @@ def _(b):
   select doc_id, len(w) as n, len(list_distinct(w)) as distinct_n, array_to_string(w[2:4], ' ') as slice, len(list_filter(list_distinct(w), lambda x: x not in ('the', 'le', 'der'))) as others,
     len(list_filter(list_distinct(w), lambda x: x in ('the', 'le', 'der'))) as shared from t""")
 def _(b):
-    w = docs(b).select("doc_id", tx.words(F.lower("text")).alias("w"))
+    w = b.documents.select("doc_id", tx.words(F.lower("text")).alias("w"))
     stop = F.array(F.lit("the"), F.lit("le"), F.lit("der"))
     return w.select("doc_id", F.size("w").cast("bigint").alias("n"), F.size(F.array_distinct("w")).cast("bigint").alias("distinct_n"),
                     F.array_join(F.slice("w", 2, 3), " ").alias("slice"), F.size(F.array_except("w", stop)).cast("bigint").alias("others"),

@@ -8,14 +8,17 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sigloom.operators.ordering import evaluate_once
 from sigloom.sources.readers import spread_small_scan
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 
 VIEWS: dict[str, str] = {}
-TEXT_VIEWS = ("v_signals", "v_raw_output", "v_chat", "v_html")  # long texts, one small file each
+TEXT_VIEWS = ("v_signals", "v_raw_output", "v_wide")
+LONG_TEXTS = ("documents", "pages", "conversations")  # one small file each here, costly per row
 
 VIEWS["v_views"] = """
 select l_partkey as item_id, l_partkey % 3 as site_id, l_partkey % 25 as leaf_categ_id,
@@ -149,10 +152,6 @@ select event_id, user_id, event_id % 97 as item_id, ts,
 from (select event_id, user_id, ts, event_type, value, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k from {events}) t"""
 
 
-def _fill(sql: str, names: dict[str, str], at: str, quote: str) -> str:
-    return sql.format(at=at, **names).replace('"desc"', f"{quote}desc{quote}")
-
-
 class Bed:
     """The given tables and the views over them for one folder."""
 
@@ -164,11 +163,13 @@ class Bed:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.table(name)
+            return spread_small_scan(self.table(name)) if name in LONG_TEXTS else self.table(name)
         if name in VIEWS:
-            files = {t: f"parquet.`{self.dir}/{t}.parquet`" for t in TABLES}
-            view = self.spark.sql(_fill(VIEWS[name], files, "try_element_at", "`"))
-            return spread_small_scan(view) if name in TEXT_VIEWS else view
+            sql = VIEWS[name].replace("{at}", "try_element_at").replace('"desc"', "`desc`")
+            used = [t for t in TABLES if "{" + t + "}" in sql]
+            view = self.spark.sql(sql, **{t: getattr(self, t) for t in used})
+            # Text views stand for stored tables, so later filters must not be pushed into their expressions.
+            return evaluate_once(view, **{c: F.col(c) for c in view.columns}) if name in TEXT_VIEWS else view
         raise AttributeError(name)
 
 
@@ -177,7 +178,7 @@ def with_views(sql: str) -> str:
     used = [v for v in VIEWS if re.search(rf"\b{v}\b", sql)]
     if not used:
         return sql.strip()
-    ctes = [f"{v} as ({_fill(VIEWS[v], {t: t for t in TABLES}, 'list_extract', chr(34))})" for v in used]
+    ctes = [f"{v} as ({VIEWS[v].format(at='list_extract', **{t: t for t in TABLES})})" for v in used]
     body = sql.strip()
     head = re.match(r"(?i)with\s+(recursive\s+)?", body)
     recursive = "recursive " if head and head.group(1) else ""
