@@ -133,5 +133,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint in the folder the cluster names in ``spark.checkpoint.dir``; unchanged where none is set."""
     spark = df.sparkSession
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=False)
+        return df.checkpoint(eager=True)  # eager writes in the one job that computes it; lazy would compute twice
     return df

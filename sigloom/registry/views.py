@@ -28,13 +28,13 @@ select l_partkey as item_id, l_partkey % 3 as site_id, l_partkey % 25 as leaf_ca
             when 2 then 'a=1&viwtbidstr=937%2C939' else 'viwtbidstr=937%2C939%2C941&b=2' end as soj
 from {lineitem}"""
 
-VIEWS["v_categories"] = """
+VIEWS["v_categories"] = " union all ".join(f"""
 select cast(n_nationkey as bigint) as leaf_categ_id,
        cast(case when n_nationkey % 8 = 7 then -1 else n_nationkey end as bigint) as move_to,
-       cast(s.site_id as bigint) as site_id, r_name as bsns_vrtcl_name,
+       cast({site} as bigint) as site_id, r_name as bsns_vrtcl_name,
        cast(n_nationkey % 4 as bigint) as meta_categ_id, cast(n_nationkey % 6 as bigint) as categ_lvl2_id,
        cast(n_nationkey % 5 as bigint) as categ_lvl3_id
-from {nation} join {region} on n_regionkey = r_regionkey cross join (values (0),(1),(2)) as s(site_id)"""
+from {{nation}} join {{region}} on n_regionkey = r_regionkey""" for site in (0, 1, 2))
 
 VIEWS["v_listings"] = """
 select p_partkey as item_id, concat(p_name,' ',p_brand) as auct_titl, p_type as subtitle,
