@@ -3,6 +3,8 @@
 Everything here is data.  Each default can be replaced by an argument of the function that uses it.
 """
 
+import string
+
 # --- item selection -------------------------------------------------------------------------
 VACANT_RANK = 999999999
 OVERFETCH_FACTOR = 4
@@ -189,7 +191,10 @@ STRICT_FLAGS = ["no_match", "title_exact", "repeated_words", "forbidden_words",
                 "numerically_dominant", "numbers_to_exclude_by_pattern"]
 
 # --- text ----------------------------------------------------------------------------------------
-CLEAN_SEPARATORS = r"[^a-zA-Z0-9./]+"
+# Listed characters, not ranges: the JVM matches a class of single characters with a lookup table, while classes of
+# ranges share type-check state between threads and do not scale with the cores of an executor.
+CLEAN_SEPARATORS = "[^" + string.ascii_letters + string.digits + "./]+"
+SPACES = r"[ \t\n\x0B\f\r]+"
 ASCII_PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 HIGHLIGHT_SPLIT = r"[ ,:{}']"
 # Words a Treebank tokeniser writes as two tokens.

@@ -59,7 +59,7 @@ def has_whole_word(text: Column, words: Iterable[str]) -> Column:
 # --- cleaning --------------------------------------------------------------------------------
 def squeeze(text: Column) -> Column:
     """Collapse runs of whitespace and trim."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, fv.SPACES, " "))
 
 
 def clean(text: Column) -> Column:
@@ -73,7 +73,7 @@ def clean(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace tokens; an empty text has none."""
-    return F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != "")
+    return F.filter(F.split(F.trim(text), fv.SPACES), lambda w: w != "")
 
 
 def drop_punctuation(text: Column) -> Column:
@@ -142,7 +142,7 @@ def decode_if_html(encoded: Column) -> Column:
 # --- sentences --------------------------------------------------------------------------------
 def sentences(text: Column) -> Column:
     """Split after '.', '!' or '?' followed by whitespace."""
-    return F.filter(F.split(F.trim(text), r"(?<=[.!?])\s+"), lambda s: s != "")
+    return F.filter(F.split(F.trim(text), "(?<=[.!?])" + fv.SPACES), lambda s: s != "")
 
 
 def drop_denied_sentences(text: Column, denied: Iterable[str] = tuple(fv.DENIED_SOURCE_WORDS)) -> Column:
