@@ -88,7 +88,7 @@ select doc_id as item_id,
        concat('found in ', source) as explanation,
        concat_ws(' ', {at}(w,5), {at}(w,6), {at}(w,7), {at}(w,8)) as title,
        concat(lang, ' ', source) as aspects, text as "desc", lang, source
-from (select doc_id, text, lang, source, regexp_extract_all(lower(text), '([a-z]{{2,}})', 1) as w from {documents}) t"""
+from (select doc_id, text, lang, source, regexp_extract_all(lower(text), '([abcdefghijklmnopqrstuvwxyz]{{2,}})', 1) as w from {documents}) t"""
 
 # Raw model answers of six shapes; q is one double quote.
 VIEWS["v_raw_output"] = """
@@ -109,7 +109,7 @@ select doc_id as item_id,
        case doc_id % 4
          when 0 then concat('1. ', lang) when 1 then concat('1. ', lang, chr(10), '2. ', source, chr(10), chr(10), '3. end')
          when 2 then concat(lang, chr(10), '2. ', source) end as grouped_signals
-from (select doc_id, lang, source, regexp_extract_all(lower(text), '([a-z]{{2,}})', 1) as w, chr(34) as q from {documents}) t"""
+from (select doc_id, lang, source, regexp_extract_all(lower(text), '([abcdefghijklmnopqrstuvwxyz]{{2,}})', 1) as w, chr(34) as q from {documents}) t"""
 
 # Wide output: three signals and explanations per item.
 VIEWS["v_wide"] = """
@@ -117,7 +117,7 @@ select doc_id as item_id, lang as title,
        coalesce({at}(w,1), '') as sig_1, case when doc_id % 3 = 0 then '' else {at}(w,2) end as sig_2,
        case when doc_id % 5 = 0 then null else {at}(w,3) end as sig_3,
        'e1' as exp_1, source as exp_2, lang as exp_3
-from (select doc_id, lang, source, regexp_extract_all(lower(text), '([a-z]{{2,}})', 1) as w from {documents}) t"""
+from (select doc_id, lang, source, regexp_extract_all(lower(text), '([abcdefghijklmnopqrstuvwxyz]{{2,}})', 1) as w from {documents}) t"""
 
 # Two annotators per row: quality and toxic; three pairs; some labels missing.
 VIEWS["v_annotations"] = """
