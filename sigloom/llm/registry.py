@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import pack, radix
+from sigloom.llm import licenses, mixing, pack, quality, radix
 
 cloudpickle.register_pickle_by_value(sigloom)
 
@@ -48,3 +48,31 @@ def tokenizer_path() -> str:
 def _(spark, sf_dir):
     packed = pack.packed(table(spark, sf_dir, "documents"), tokenizer_path())
     return packed.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels that a fit may see: a fifth of the ids, by checksum, is held out."""
+    return labels.filter(~held_out())
+
+
+def held_out():
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query("op8_quality_classifier")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, training_labels(table(spark, sf_dir, "labels")))
+    scored = quality.scored(docs, model).drop("text")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op7_license_scan")
+def _(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("detections")
+
+
+@query("op1_mix_sources")
+def _(spark, sf_dir):
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "cut_words")
