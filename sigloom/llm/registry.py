@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import licenses, mixing, pack, quality, radix
+from sigloom.llm import licenses, mixing, pack, privacy, quality, radix
 
 cloudpickle.register_pickle_by_value(sigloom)
 
@@ -76,3 +76,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = mixing.mixed(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "cut_words")
+
+
+@query("op9_personal_data")
+def _(spark, sf_dir):
+    spanned = privacy.protected(table(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in privacy.KINDS]
+    return spanned.select(F.col("id").alias("doc_id"), *counts, F.sha2(privacy.as_text(*privacy.KINDS), 256).alias("base_sha256"),
+                          privacy.as_text(*privacy.KINDS, "term").alias("spans"))
