@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import licenses, mixing, pack, privacy, quality, radix
+from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix
 
 cloudpickle.register_pickle_by_value(sigloom)
 
@@ -84,3 +84,8 @@ def _(spark, sf_dir):
     counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in privacy.KINDS]
     return spanned.select(F.col("id").alias("doc_id"), *counts, F.sha2(privacy.as_text(*privacy.KINDS), 256).alias("base_sha256"),
                           privacy.as_text(*privacy.KINDS, "term").alias("spans"))
+
+
+@query("op3_fingerprint")
+def _(spark, sf_dir):
+    return fingerprint.compared(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
