@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix
+from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix, warc
+from sigloom.llm.common import new_path
 
 cloudpickle.register_pickle_by_value(sigloom)
 
@@ -89,3 +90,19 @@ def _(spark, sf_dir):
 @query("op3_fingerprint")
 def _(spark, sf_dir):
     return fingerprint.compared(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_warc", """
+  select page_id, strlen(h) as payload_bytes,
+         case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to,
+         d as payload_digest
+  from (select page_id, h, min(page_id) over (partition by h) as first, (
+    select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + value, 1), '' order by i)
+    from (select i, sum(((instr('0123456789abcdef', substr(s, (5 * i + b) // 4 + 1, 1)) - 1) >> (3 - (5 * i + b) % 4)) % 2 << (4 - b))::int as value
+          from range(32) t(i), range(5) u(b) group by i)) as d
+    from (select page_id, coalesce(html, '') as h, sha1(coalesce(html, '')) as s from pages))""")
+def _(spark, sf_dir):
+    path = new_path(spark, "archives")
+    warc.write_archives(warc.with_types(table(spark, sf_dir, "pages")), path)
+    records = warc.read_records(warc.index(spark, path))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
