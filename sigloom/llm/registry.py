@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix, warc
+from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix, tools, warc
 from sigloom.llm.common import new_path
 
 cloudpickle.register_pickle_by_value(sigloom)
@@ -106,3 +106,32 @@ def _(spark, sf_dir):
     warc.write_archives(warc.with_types(table(spark, sf_dir, "pages")), path)
     records = warc.read_records(warc.index(spark, path))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ASK = {"type": "object", "required": ["query", "step", "chars"], "additionalProperties": False, "properties": {
+    "query": {"type": "string", "minLength": 1}, "step": {"type": "integer", "minimum": 0}, "chars": {"type": "integer", "maximum": 300}}}
+
+
+def turns_as_tools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """User turns read as calls and assistant turns as the results of the turn before; a call comes after the user turn two before."""
+    turns = table(spark, sf_dir, "conversations")
+    text = F.coalesce("text", F.lit(""))
+    name = lambda back: F.concat_ws("-", F.col("conv_id"), F.col("turn") - back)
+    calls = turns.filter("role = 'user'").select(
+        F.col("conv_id").alias("conv"), name(0).alias("call_id"), "turn", F.lit("ask").alias("name"),
+        F.to_json(F.struct(F.col("turn").alias("step"), text.alias("query"), F.length(text).alias("chars"))).alias("arguments"), name(2).alias("after"))
+    results = turns.filter("role = 'assistant'").select(F.col("conv_id").alias("conv"), name(1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+@query("op2_tool_calls", """
+  with u as (select *, row_number() over (partition by conv_id, turn % 2 order by turn) as k from conversations where role = 'user'),
+       c as (select *, row_number() over (partition by conv_id, turn % 2, turn // 2 - k order by turn) - 1 as level from u)
+  select c.conv_id, c.turn, c.conv_id || '-' || c.turn as call_id, c.level, a.conv_id is not null as answered,
+         length(coalesce(c.text, '')) between 1 and 300 as valid,
+         '{"arguments":{"chars":' || length(coalesce(c.text, '')) || ',"query":' || to_json(coalesce(c.text, '')) || ',"step":' || c.turn || '},"id":"'
+           || c.conv_id || '-' || c.turn || '","name":"ask","result":' || coalesce(to_json(a.text), 'null') || '}' as canonical
+  from c left join conversations a on a.conv_id = c.conv_id and a.turn = c.turn + 1 and a.role = 'assistant'""")
+def _(spark, sf_dir):
+    calls, results = turns_as_tools(spark, sf_dir)
+    return tools.linked(calls, results, {"ask": ASK}).withColumnRenamed("conv", "conv_id").drop("problems")
