@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import fingerprint, licenses, mixing, pack, privacy, quality, radix, tools, warc
+from sigloom.llm import fingerprint, licenses, mixing, near, pack, privacy, quality, radix, tools, warc
 from sigloom.llm.common import new_path
 
 cloudpickle.register_pickle_by_value(sigloom)
@@ -135,3 +135,8 @@ def turns_as_tools(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 def _(spark, sf_dir):
     calls, results = turns_as_tools(spark, sf_dir)
     return tools.linked(calls, results, {"ask": ASK}).withColumnRenamed("conv", "conv_id").drop("problems")
+
+
+@query("op5_near_dedup")
+def _(spark, sf_dir):
+    return near.near_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
