@@ -97,25 +97,35 @@ def _entities(marked: DataFrame) -> DataFrame:
     return rows.select("uid", F.col("e.entity").alias("entity"), F.lower(F.concat(left, F.lit(" | "), right)).alias("context"))
 
 
+def _share(of_term: Column) -> Column:
+    """Bits that a term tells about an entity, as a share of the bits that name it; null if the entity is everywhere."""
+    secret = F.log2(F.col("total") / F.col("of_entity"))
+    told = F.log2(F.col("both") * F.col("total") / (F.col("of_entity") * F.greatest(of_term, "both")))
+    return F.when(secret > 0, told / secret)
+
+
 def disclosing(docs: DataFrame, entities: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """(entity, term, share) of all terms that disclose at least ``disclosed`` of an entity.
 
     Copies of a context count once.  Terms are counted over the documents of the whole corpus.
     """
     contexts = entities.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("copies"))
-    words = contexts.select("entity", F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))).alias("term"))
-    pairs = written(words.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support), "pairs")
+    terms_of = F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))).alias("term")
+    words = contexts.select("entity", terms_of)
     per_entity = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
+    total = docs.agg(F.count(F.lit(1)).alias("total"))  # one row
+    # Documents in whose contexts a term stands: no more than hold it at all, so the share counted with them is the
+    # highest possible and rules out the common words before the corpus is counted.
+    seen = entities.select("uid", terms_of).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    possible = (words.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
+                     .join(per_entity, "entity").join(seen, "term").withColumn("total", total.scalar()))
+    pairs = written(possible.filter(_share(F.col("seen")) >= disclosed).drop("seen"), "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
     body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     corpus = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)))).alias("term"))
     per_term = corpus.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))  # one row
-    rated = pairs.join(per_entity, "entity").join(per_term, "term").withColumn("total", total.scalar())
-    of_term = F.greatest("of_term", "both")
-    secret = F.log2(F.col("total") / F.col("of_entity"))
-    told = F.log2(F.col("both") * F.col("total") / (F.col("of_entity") * of_term))
-    return rated.select("entity", "term", (told / secret).alias("share")).filter((secret > 0) & (F.col("share") >= disclosed))
+    rated = pairs.join(per_term, "term")
+    return rated.select("entity", "term", _share(F.col("of_term")).alias("share")).filter(F.col("share") >= disclosed)
 
 
 def term_spans(marked: DataFrame, entities: DataFrame, terms: DataFrame) -> DataFrame:
