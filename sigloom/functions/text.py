@@ -37,6 +37,8 @@ def shortest_substrings(words: Iterable[str]) -> list[str]:
 def alternation(words: Iterable[str]) -> str:
     """A regex matching any of the words, grouped by first character so a scan fails fast."""
     by_first: dict[str, list[str]] = {}
+    if not words:
+        return "(?!)"  # no words: matches nothing
     for w in sorted({w.lower() for w in words}, key=lambda w: (-len(w), w)):
         by_first.setdefault(w[:1], []).append(w)
     parts = []
@@ -105,16 +107,25 @@ def unescape_entities(text: Column) -> Column:
     # The table is derived from the standard library; a JSON literal is folded to a constant map.
     named = {k[:-1]: v for k, v in _html.entities.html5.items() if k.endswith(";")}
     table = F.from_json(F.lit(json.dumps(named)), "map<string,string>")
+    # The names that the standard also accepts without a semicolon; the longest comes first.
+    old = "|".join(sorted((k for k in _html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
 
     def code_point(ref: Column) -> Column:
-        digits = F.when(ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10)).otherwise(F.substr(ref, F.lit(2)))
-        return F.decode(F.unhex(F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")), "UTF-32")
+        # Leading zeros do not count; more than 7 digits are beyond the last code point in either base.
+        digits = F.regexp_replace(F.substr(ref, F.when(ref.rlike("^#[xX]"), F.lit(3)).otherwise(F.lit(2))), "^0+(?=.)", "")
+        number = F.when(F.length(digits) > 7, F.lit(-1)).when(ref.rlike("^#[xX]"), F.conv(digits, 16, 10).try_cast("bigint")).otherwise(digits.try_cast("bigint"))
+        usable = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(usable, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
 
     def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,5}|[A-Za-z][A-Za-z0-9]*);", 1)
-        value = F.when(ref == "", None).when(ref.startswith("#"), code_point(ref)).otherwise(F.try_element_at(table, ref))
-        return F.when(i == 0, p).otherwise(
-            F.coalesce(F.concat(value, F.substr(p, F.length(ref) + 2)), F.concat(F.lit("&"), p)))
+        def replaced(pattern: str, closing: int) -> Column:
+            ref = F.regexp_extract(p, pattern, 1)
+            value = F.when(ref == "", None).when(ref.startswith("#"), code_point(ref)).otherwise(F.try_element_at(table, ref))
+            return F.concat(value, F.substr(p, F.length(ref) + 1 + closing))
+
+        numeric = "#[0-9]+|#[xX][0-9a-fA-F]+"
+        return F.when(i == 0, p).otherwise(F.coalesce(
+            replaced(rf"^({numeric}|[A-Za-z][A-Za-z0-9]*);", 1), replaced(rf"^({numeric}|{old})", 0), F.concat(F.lit("&"), p)))
 
     return F.when(F.contains(text, F.lit("&")),
                   F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
@@ -128,14 +139,19 @@ def html_text(html: Column) -> Column:
     return F.coalesce(squeeze(F.regexp_replace(unescape_entities(no_tags), "\u00a0", " ")), F.lit(""))
 
 
+def _base64_text(encoded: Column) -> Column:
+    """Decoded text; NULL where the input is no Base64 or its bytes are no UTF-8."""
+    return F.try_validate_utf8(F.try_to_binary(encoded, F.lit("base64")).cast("string"))
+
+
 def base64_html_text(encoded: Column) -> Column:
     """Base64 HTML to plain text; '' for NULL, empty or undecodable input."""
-    return html_text(F.decode(F.try_to_binary(encoded, F.lit("base64")), "UTF-8"))
+    return html_text(_base64_text(encoded))
 
 
 def decode_if_html(encoded: Column) -> Column:
     """Base64 to text, with tag removal only where the decoded text holds both '<' and '>'."""
-    raw = F.decode(F.try_to_binary(encoded, F.lit("base64")), "UTF-8")
+    raw = _base64_text(encoded)
     return F.coalesce(F.when(raw.contains("<") & raw.contains(">"), html_text(raw)).otherwise(squeeze(raw)), F.lit(""))
 
 
@@ -284,20 +300,22 @@ def _blob_value(blob: Column, key: str) -> Column:
     return F.when(blob.rlike(pattern), F.regexp_extract(blob, pattern, 1))
 
 
+MOST_DECODES = 16  # rounds of url-decoding; a value still encoded after them is left as it is
+
+
 def _url_decode(value: Column, times: int) -> Column:
-    for _ in range(times):
-        value = F.coalesce(F.try_url_decode(value), value)
-    return value
+    """Decoded again and again until nothing changes, at most ``times`` rounds; a round that fails leaves the value."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(times)), value, lambda v, _: F.coalesce(F.try_url_decode(v), v))
 
 
-def blob_ids(blob: Column, key: str = fv.SHOWN_SIGNALS_KEY, depth: int = 3) -> Column:
-    """Ids stored under ``key``: url-decoded (up to ``depth`` times), split on ',', '|', '[' and ']'."""
+def blob_ids(blob: Column, key: str = fv.SHOWN_SIGNALS_KEY, depth: int = MOST_DECODES) -> Column:
+    """Ids stored under ``key``: url-decoded until unchanged (at most ``depth`` times), split on ',', '|', '[' and ']'."""
     return F.split(_url_decode(_blob_value(blob, key), depth), r"[,|\[\]]")
 
 
-def blob_value(blob: Column, key: str, depth: int = 3) -> Column:
-    """One field, decoded once more than ``blob_ids`` does."""
-    return _url_decode(_blob_value(blob, key), depth + 1)
+def blob_value(blob: Column, key: str, depth: int = MOST_DECODES) -> Column:
+    """One field, decoded as ``blob_ids`` does."""
+    return _url_decode(_blob_value(blob, key), depth)
 
 
 # --- tokens -----------------------------------------------------------------------------------

@@ -9,11 +9,12 @@ from sigloom.operators.ordering import running_total
 
 
 def pair_annotations(annotations: DataFrame, pairs: DataFrame, keys: tuple[str, ...] = ("item_id", "signal"),
-                     values: tuple[str, ...] = ("label", "reason", "comment")) -> DataFrame:
+                     values: tuple[str, ...] = ("label", "reason", "comment"), context: tuple[str, ...] = ()) -> DataFrame:
     """Both annotators of a pair side by side for every (item, signal) that both have seen.
 
     One grouping pivots the long table instead of joining it with itself, so repeated annotations cannot
-    multiply: of several rows by one annotator the first by source file, then by label, is taken.
+    multiply: of several rows by one annotator the first by source file, then by label, is taken.  ``context``
+    names columns of the item (title, aspects, ...) that are kept; where the rows differ, the smallest set of values.
     """
     roles = (pairs.select(F.col("first_annotator").alias("annotator_name"), F.lit(1).alias("_role"), "first_annotator", "second_annotator")
              .unionByName(pairs.select(F.col("second_annotator").alias("annotator_name"), F.lit(2).alias("_role"),
@@ -25,10 +26,12 @@ def pair_annotations(annotations: DataFrame, pairs: DataFrame, keys: tuple[str,
         return F.min_by(F.when(F.col("_role") == role, F.struct(*values)), F.when(F.col("_role") == role, order))
 
     both = tagged.groupBy(*keys, "first_annotator", "second_annotator").agg(
-        side(1).alias("_a"), side(2).alias("_b"), F.count_if(F.col("_role") == 1).alias("_na"), F.count_if(F.col("_role") == 2).alias("_nb"))
+        side(1).alias("_a"), side(2).alias("_b"), F.count_if(F.col("_role") == 1).alias("_na"), F.count_if(F.col("_role") == 2).alias("_nb"),
+        *([F.min(F.struct(*context)).alias("_c")] if context else []))
     return both.filter((F.col("_na") > 0) & (F.col("_nb") > 0)).select(
         *keys, F.col("first_annotator").alias("annotator_name"), *[F.col(f"_a.{v}").alias(v) for v in values],
-        F.col("second_annotator").alias("annotator_name_2"), *[F.col(f"_b.{v}").alias(f"{v}_2") for v in values])
+        F.col("second_annotator").alias("annotator_name_2"), *[F.col(f"_b.{v}").alias(f"{v}_2") for v in values],
+        *[F.col(f"_c.{c}").alias(c) for c in context])
 
 
 def _unordered(a: str, b: str) -> Column:
@@ -84,9 +87,13 @@ def adjudicate(paired: DataFrame, decided: DataFrame, keys: tuple[str, ...] = ("
 
 
 def join_predictions(annotated: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Inner join on item and lower-cased, trimmed signal; the predicted label becomes pred_score."""
-    right = predictions.select("item_id", F.lower(F.trim("signal")).alias("_s"), F.col("label").alias("pred_score"))
-    return annotated.withColumn("_s", F.lower(F.trim("signal"))).join(right, ["item_id", "_s"]).drop("_s")
+    """Inner join on item and signal (lower case, trimmed, line breaks as blanks); the predicted label becomes pred_score.
+
+    Of several predictions for one signal the smallest counts, so repeated signals cannot multiply.
+    """
+    plain = F.lower(F.trim(F.translate("signal", "\r\n", "  ")))
+    right = predictions.groupBy("item_id", plain.alias("_s")).agg(F.min("label").alias("pred_score"))
+    return annotated.withColumn("_s", plain).join(right, ["item_id", "_s"]).drop("_s")
 
 
 def left_join_keep_all(left: DataFrame, right: DataFrame, on: list[str], unique: list[str]) -> DataFrame:

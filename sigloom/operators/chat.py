@@ -5,11 +5,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LABEL_MODES = (None, "number", "binary")
-MAX_SIGNALS_PER_CHAT = 1000
 
 
 @dataclass(frozen=True)
@@ -71,9 +70,9 @@ def numbered_template(n: int, line: str, separator: str = ",\n", start: int = 1)
     return separator.join(line.replace("{i}", str(i)) for i in range(start, n + 1))
 
 
-def numbered_lines(values: Column, number_single: bool = True) -> Column:
+def numbered_lines(values: Column, number_single: bool = True, first: Column | int = 1) -> Column:
     """'1. a\\n2. b'; a single value may stay without a number."""
-    text = F.array_join(F.transform(values, lambda v, i: F.concat((i + 1).cast("string"), F.lit(". "), v)), "\n")
+    text = F.array_join(F.transform(values, lambda v, i: F.concat((i + first).cast("string"), F.lit(". "), v)), "\n")
     return text if number_single else F.when(F.size(values) == 1, F.get(values, F.lit(0))).otherwise(text)
 
 
@@ -84,24 +83,28 @@ def chat_json(user: Column, assistant: Column) -> Column:
 
 def group_signals(df: DataFrame, position: str, key: str = "item_id", signal: str = "signal", label: str | None = None,
                   reason: str | None = None, keep: tuple[str, ...] = (), number_single: bool = True,
-                  chunk: int = MAX_SIGNALS_PER_CHAT) -> DataFrame:
+                  chunk: int | None = None) -> DataFrame:
     """One row per item: numbered signals, labels and reasons as lists in text, and the group size.
 
-    ``position`` numbers the signals of an item.  An item with more than ``chunk`` positions continues in
-    further parts (column ``part``), so no task gathers an unbounded group and nothing is cut off.
+    ``position`` orders the signals of an item.  A line break inside a signal becomes a blank, as a line is a signal.
+    With ``chunk`` an item with more signals than that continues in further rows (column ``part``) with running numbers.
     """
-    part = F.floor((F.col(position) - 1) / chunk).cast("bigint")
+    part, first_number = [], F.lit(1)
+    if chunk is not None:
+        number = F.row_number().over(Window.partitionBy(key).orderBy(position))
+        df = df.withColumn("part", F.floor((number - 1) / chunk).cast("bigint"))
+        part, first_number = ["part"], F.col("part") * chunk + 1
     entry = F.struct(F.col(position).alias("p"), F.col(signal).alias("s"),
                      (F.col(label) if label else F.lit(None)).cast("double").alias("l"),
                      (F.col(reason) if reason else F.lit(None)).cast("string").alias("r"))
     first = [F.min_by(c, position).alias(c) for c in keep]
-    grouped = df.withColumn("part", part).groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias("_g"), *first)
-    out = [numbered_lines(F.transform("_g", lambda e: F.coalesce(e["s"], F.lit(""))), number_single).alias("grouped_signals")]
+    grouped = df.groupBy(key, *part).agg(F.array_sort(F.collect_list(entry)).alias("_g"), *first)
+    out = [numbered_lines(F.transform("_g", lambda e: F.translate(F.coalesce(e["s"], F.lit("")), "\r\n", "  ")), number_single, first_number).alias("grouped_signals")]
     if label:
         out.append(F.array_join(F.transform("_g", lambda e: F.floor(e["l"]).cast("string")), ", ", "").alias("grouped_labels"))
     if reason:
         out.append(F.array_join(F.transform("_g", lambda e: F.coalesce(e["r"], F.lit(""))), ", ").alias("grouped_reasons"))
-    return grouped.select(key, "part", *keep, *out, F.size("_g").alias("num_signals"))
+    return grouped.select(key, *part, *keep, *out, F.size("_g").alias("num_signals"))
 
 
 def training_chats(df: DataFrame, prompt: Prompt, mode: str | None = "number", grouping: dict | None = None) -> DataFrame:

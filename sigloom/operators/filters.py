@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from sigloom.functions import fixed_values as fv
 
 
+def given(values: list | None, default: list) -> list:
+    """The caller's list, also an empty one; the default only where none is given."""
+    return default if values is None else values
+
+
 # --- projections ----------------------------------------------------------------------------
 def present_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """The listed columns that exist, in list order."""
@@ -89,31 +94,31 @@ def live_only(df: DataFrame) -> DataFrame:
 
 
 def valid_aspects(df: DataFrame, denied_names: list[str] | None = None, denied_values: list[str] | None = None,
-                  denied_sources: list[int] | None = None, types: list[str] | None = None) -> DataFrame:
+                  denied_sources: list[int] | None = None, types: list[str] | None = None, marketplace: str | None = None) -> DataFrame:
     """Aspect rows of a wanted type with a usable name, source and value (SQL three-valued logic)."""
     name, value = F.lower(F.col("prdct_aspct_nm")), F.col("aspct_vlu_nm")
     return df.filter(
-        F.col("ns_type_cd").isin(types or fv.VALID_ASPECT_TYPES)
-        & ~name.isin(denied_names or fv.denied_aspect_names())
-        & ~F.col("aspct_src").isin(denied_sources or fv.DENIED_ASPECT_SOURCES)
-        & value.isNotNull() & ~F.lower(value).isin(denied_values or fv.DENIED_ASPECT_VALUES))
+        F.col("ns_type_cd").isin(given(types, fv.VALID_ASPECT_TYPES))
+        & ~name.isin(given(denied_names, fv.denied_aspect_names(marketplace)))
+        & ~F.col("aspct_src").isin(given(denied_sources, fv.DENIED_ASPECT_SOURCES))
+        & value.isNotNull() & ~F.lower(value).isin(given(denied_values, fv.DENIED_ASPECT_VALUES)))
 
 
 def has_content(df: DataFrame) -> DataFrame:
     return df.filter(F.col("desc").isNotNull() | F.col("aspects").isNotNull())
 
 
-def drop_aspects_by_substring(aspects: Column, denied: list[str] | None = None) -> Column:
+def drop_aspects_by_substring(aspects: Column, denied: list[str] | None = None, marketplace: str | None = None) -> Column:
     """Remove entries with a NULL value or whose lower-cased key contains a deny name."""
     from sigloom.functions.text import contains_any
-    names = denied or fv.denied_aspect_names()
+    names = given(denied, fv.denied_aspect_names(marketplace))
     return F.map_filter(aspects, lambda k, v: v.isNotNull() & ~contains_any(k, names))
 
 
 def drop_aspects_exact(aspects: Column, denied_names: list[str] | None = None,
                        denied_values: list[str] | None = None) -> Column:
     """Remove entries with a NULL value, a denied key or a denied trimmed lower-cased value."""
-    names, values = denied_names or fv.denied_aspect_names(), denied_values or fv.DENIED_ASPECT_VALUES
+    names, values = given(denied_names, fv.denied_aspect_names()), given(denied_values, fv.DENIED_ASPECT_VALUES)
     return F.map_filter(aspects, lambda k, v: v.isNotNull() & ~k.isin(names) & ~F.lower(F.trim(v)).isin(values))
 
 

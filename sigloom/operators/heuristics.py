@@ -38,7 +38,7 @@ def repeated_words(text: Column) -> Column:
 
 
 def forbidden_words(text: Column, denied: list[str] | None = None) -> Column:
-    return _flag(tx.has_whole_word(text, denied or fv.denied_signal_words()))
+    return _flag(tx.has_whole_word(text, fv.denied_signal_words() if denied is None else denied))
 
 
 def has_number(text: Column) -> Column:

@@ -1,14 +1,18 @@
 """Running an injected text function over a table.
 
-``fn(list_of_prompts) -> list_of_texts`` is called once per Arrow batch on the executors; ``factory`` builds it
+``fn(list_of_prompts) -> list_of_texts`` is called with many prompts at once on the executors; ``factory`` builds it
 once per task, so a client is opened per partition.  Parsing stays in Column expressions.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,36 +22,96 @@ from sigloom.functions import parse as ps
 TextFunction = Callable[[list[str]], list[str]]
 
 
+class _Pace:
+    """At most ``per_minute`` starts a minute, evenly spaced, over all threads of a task."""
+
+    def __init__(self, per_minute: float | None):
+        self.gap, self.next, self.lock = 60 / per_minute if per_minute else 0.0, 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        if self.gap:
+            with self.lock:
+                start = max(self.next, time.monotonic())
+                self.next = start + self.gap
+            time.sleep(max(0.0, start - time.monotonic()))
+
+
+def _answers(fn: TextFunction, prompts: list[str], pace: _Pace, attempts: int) -> list[tuple[str, str]]:
+    """(text, error) per prompt: one call for all, and where it fails one call for each, tried ``attempts`` times."""
+    try:
+        pace.wait()
+        texts = list(fn(prompts))
+        if len(texts) != len(prompts):
+            raise ValueError(f"{len(texts)} texts for {len(prompts)} prompts")
+        return [(t, "") for t in texts]
+    except Exception:  # noqa: BLE001 - found out below, prompt by prompt
+        out = []
+        for p in prompts:
+            answer = ("", "")
+            for _ in range(attempts):
+                try:
+                    pace.wait()
+                    answer = (fn([p])[0], "")
+                    break
+                except Exception as e:  # noqa: BLE001 - reported per row
+                    answer = ("", str(e) or type(e).__name__)
+            out.append(answer)
+        return out
+
+
 def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], result: str = "result",
                       error: str = "error", concurrency: int | None = None, max_items: int | None = None,
-                      order: str | None = None) -> DataFrame:
+                      order: str | None = None, batch: int = 32, parallel: int = 1, per_minute: float | None = None, attempts: int = 1) -> DataFrame:
     """Adds ``result`` and ``error`` ('' rather than NULL).  A failing prompt does not fail its batch.
 
-    ``concurrency`` bounds the number of tasks, hence of clients at work at the same time.
+    ``fn`` gets up to ``batch`` prompts a call; a task has ``parallel`` calls in flight (``fn`` must then be thread-safe)
+    and starts at most ``per_minute`` of them a minute; a prompt of a failed call is tried alone, ``attempts`` times.
+    ``concurrency`` bounds the number of tasks.  ``max_items`` takes the first rows by ``order``, by prompt without one.
     """
-    rows = df if max_items is None else (df.orderBy(order) if order else df).limit(max_items)
+    rows = df if max_items is None else df.orderBy(order or prompt).limit(max_items)
     rows = rows if concurrency is None else rows.repartition(concurrency)
     schema = T.StructType([*df.schema.fields, T.StructField(result, T.StringType()), T.StructField(error, T.StringType())])
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = factory()
-        for batch in batches:
-            texts, errors = [], []
-            for p in batch[prompt]:
-                try:
-                    texts.append(fn([p])[0])
-                    errors.append("")
-                except Exception as e:  # noqa: BLE001 - reported per row
-                    texts.append("")
-                    errors.append(str(e) or type(e).__name__)
-            yield batch.assign(**{result: texts, error: errors})
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fn, pace = factory(), _Pace(per_minute)
+        with ThreadPoolExecutor(parallel) as pool:
+            for frame in frames:
+                prompts = list(frame[prompt])
+                calls = [prompts[i:i + batch] for i in range(0, len(prompts), batch)]
+                answers = [a for group in pool.map(lambda ps: _answers(fn, ps, pace, attempts), calls) for a in group]
+                yield frame.assign(**{result: [t for t, _ in answers], error: [e for _, e in answers]})
 
     return rows.mapInPandas(work, schema)
 
 
+def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id", **kw) -> DataFrame:
+    """Raw answers of all rows, written under ``path`` as the tasks finish; rows that an earlier run has written are not asked again.
+
+    Every run appends; a failed prompt is asked again by the next run.
+    """
+    spark = df.sparkSession
+    out = df.select(key, prompt)
+    schema = T.StructType([*out.schema.fields, T.StructField("result", T.StringType()), T.StructField("error", T.StringType())])
+    try:
+        done = spark.read.schema(schema).parquet(path)
+        done.take(0)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        done = spark.createDataFrame([], schema)
+    todo = unfinished(out, done.filter("error = ''"), key)
+    run_text_function(todo, prompt, factory, **kw).write.mode("append").parquet(path)
+    answers = spark.read.schema(schema).parquet(path)
+    return answers.groupBy(key).agg(F.min_by(F.struct("result", "error"), F.struct(F.col("error") != "", "result")).alias("_a")).select(key, "_a.result", "_a.error")
+
+
 def generate_signals(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], model: str, n: int = 5, **kw) -> DataFrame:
     """Raw output beside parsed signals: text_{model}, signal_{model}[_i], explanation_{model}[_i]."""
-    raw = run_text_function(df, prompt, factory, result=f"text_{model}", error=f"error_{model}", **kw)
+    return parsed_signals(run_text_function(df, prompt, factory, result=f"text_{model}", error=f"error_{model}", **kw), model, n)
+
+
+def parsed_signals(raw: DataFrame, model: str, n: int = 5) -> DataFrame:
+    """Adds the signals and explanations found in text_{model}."""
     parsed = raw.withColumn("_s", ps.signal_list(ps.first_dict(F.col(f"text_{model}")), n))
     if n == 1:
         first = F.get(F.col("_s"), F.lit(0))

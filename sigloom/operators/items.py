@@ -64,10 +64,13 @@ def aspects_map(pairs: DataFrame, keys: list[str], name: str, value: str, out: s
     return pairs.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
 
 
-def latest_aspects(aspects: DataFrame, order: list[str] = ["ord"]) -> DataFrame:  # noqa: B006
-    """Valid aspects per item, lower-cased; the last of duplicate names wins by ``order``, then by value."""
+def latest_aspects(aspects: DataFrame, order: tuple[str, ...] = ("auct_end_dt",), **denied) -> DataFrame:
+    """Valid aspects per item, lower-cased; the last of duplicate names wins by ``order``, then by value.
+
+    ``denied`` goes to ``valid_aspects``.
+    """
     name, value = F.lower(F.col("prdct_aspct_nm")), F.lower(F.col("aspct_vlu_nm"))
-    rows = valid_aspects(aspects).select("item_id", name.alias("name"), value.alias("value"), *order)
+    rows = valid_aspects(aspects, **denied).select("item_id", name.alias("name"), value.alias("value"), *order)
     unique = rows.groupBy("item_id", "name").agg(F.max_by("value", F.struct(*order, "value")).alias("value"))
     return aspects_map(unique, ["item_id"], "name", "value")
 
@@ -84,7 +87,7 @@ def shortest_aspects_ranked(aspects: DataFrame, keys: list[str]) -> DataFrame:
     return aspects.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def first_aspects(aspects: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
+def first_aspects(aspects: DataFrame, keys: list[str], order: str = "auct_end_dt") -> DataFrame:
     """Per (item, name): the first value by ``order``, then by value."""
     return aspects.groupBy(*keys, "prdct_aspct_nm").agg(
         F.min_by("aspct_vlu_nm", F.struct(order, "aspct_vlu_nm")).alias("aspct_vlu_nm"))

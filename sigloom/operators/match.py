@@ -174,7 +174,7 @@ def _per_model(models: list[str], mode: str, test) -> Column:
 
 def without_denied_words(df: DataFrame, models: list[str], mode: str = "any", denied: list[str] | None = None) -> DataFrame:
     """Flag ``valid``: the signal of any (or of all) models is free of deny words (substring test)."""
-    words = denied or fv.DENIED_SOURCE_WORDS
+    words = fv.DENIED_SOURCE_WORDS if denied is None else denied
     return df.withColumn("valid", _per_model(models, mode, lambda m: ~tx.contains_any(F.coalesce(F.col(f"signal_{m}"), F.lit("")), words)))
 
 
@@ -210,8 +210,12 @@ def curate(df: DataFrame, models: list[str], mode: str = "any", steps: tuple[str
 
 
 def align_models(first: DataFrame, second: DataFrame, columns: list[str], key: str = "item_id") -> DataFrame:
-    """Add the second model's columns by id."""
-    return first.join(second.select(key, *columns), key)
+    """Add the second model's columns by id.  An id that only one side has fails the query."""
+    right = second.select(key, *columns, F.lit(True).alias("_second"))
+    both = first.withColumn("_first", F.lit(True)).join(right, key, "full")
+    gap = F.raise_error(F.concat(F.lit("only one model has the id "), F.col(key).cast("string")))
+    whole = F.coalesce(F.col("_first") & F.col("_second"), F.lit(False))
+    return both.filter(F.when(whole, F.lit(True)).otherwise(gap.cast("boolean"))).drop("_first", "_second")
 
 
 def alignment_gaps(first: DataFrame, second: DataFrame, key: str = "item_id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_BUCKETS = 4096  # three hex digits; bounds every offset table built from hashes
-SMALL_LIMIT = 1_000_000  # up to here Spark's own top-k merge fits one task
+SAMPLES_PER_PART = 20
 
 
 def hash_order(keys: list[str], seed: int = 42) -> Column:
@@ -28,88 +28,102 @@ def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
     return counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0).cast("bigint")))
 
 
-def hash_position(df: DataFrame, keys: list[str], seed: int = 42, position: str = "pos", total: str | None = None) -> DataFrame:
-    """0-based position of every row in hash order.  ``keys`` must identify a row, so no bucket is hot."""
+def hash_position(df: DataFrame, keys: list[str], seed: int = 42, position: str = "pos", total: str | None = None,
+                  first: int | None = None) -> DataFrame:
+    """0-based position of every row in hash order.  ``keys`` must identify a row, so no bucket is hot.
+
+    With ``first`` only rows that may be among the first so many are returned.
+    """
     hashed = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", _bucket_of(F.col("_h")))
     counts = hashed.groupBy("_b").agg(F.count("*").alias("_cnt"))
     offsets = _offsets(counts, ["_b"])
     if total:
         offsets = offsets.withColumn(total, F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
+    if first is not None:
+        offsets = offsets.filter(F.col("_before") < first)
     local = Window.partitionBy("_b").orderBy("_h", *keys)
     joined = hashed.join(F.broadcast(offsets.drop("_cnt")), "_b")  # at most HASH_BUCKETS rows
     return joined.withColumn(position, F.col("_before") + F.row_number().over(local) - 1).drop("_h", "_b", "_before")
 
 
 def first_by_hash(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """The first ``n`` rows in hash order: a reproducible random sample of exactly min(n, rows) rows."""
-    if n <= SMALL_LIMIT:
-        return df.withColumn("_h", hash_order(keys, seed)).orderBy("_h", *keys).limit(n).drop("_h")
-    return hash_position(df, keys, seed, "_pos").filter(F.col("_pos") < n).drop("_pos")
+    """The first ``n`` rows in hash order: a reproducible random sample of exactly min(n, rows) rows.
+
+    Only buckets that begin before the cut reach the window: about n rows and one more bucket.
+    """
+    return hash_position(df, keys, seed, "_pos", first=n).filter(F.col("_pos") < n).drop("_pos")
+
+
+def _parts(df: DataFrame) -> int:
+    """Ranges to cut a table into: they follow the session's shuffle partitions, which are set for the data."""
+    return max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _search_tree(value: Column, cuts: list, low: int, high: int) -> Column:
-    """Number of cuts below ``value`` as a balanced tree of comparisons (stays inside generated code)."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(value <= F.lit(cuts[mid]), _search_tree(value, cuts, low, mid)).otherwise(
-        _search_tree(value, cuts, mid + 1, high))
+def _ranges(df: DataFrame, key: Column, ties: list[str], parts: int) -> tuple[Column, Column]:
+    """(cuts, hot values): quantiles of a sample of the key as one array each, computed inside the query.
 
+    The sample is the rows with the smallest hash of key and ties.  A value that fills more than one range is hot.
+    """
+    sample = (df.filter(key.isNotNull()).select(key.alias("k"), F.xxhash64(key, *ties).alias("r"))
+                .orderBy("r").limit(SAMPLES_PER_PART * parts).agg(F.array_sort(F.collect_list("k")).alias("ks")))
+    place = lambda i: F.element_at("ks", F.ceil(F.size("ks") * i / F.lit(parts)).cast("int"))
+    quantiles = F.when(F.size("ks") > 0, F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), place))
+    cut = sample.select(F.coalesce(quantiles, F.slice("ks", 1, 0)).alias("q"))
+    hot = F.array_distinct(F.filter("q", lambda v, i: (i > 0) & (F.get(F.col("q"), i - 1) == v)))
+    return cut.select(F.array_distinct("q")).scalar(), cut.select(hot).scalar()
+
+
+def _range_of(key: Column, cuts: Column, most: int) -> Column:
+    """Number of cuts at or below ``key``, by halving steps over the sorted array."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) <= key), at + step).otherwise(at))
 
-def ordered_position(df: DataFrame, key: str, ties: list[str], position: str = "pos", parts: int = 64) -> DataFrame:
-    """0-based position by (key, md5 of ties, ties), NULL keys first.
 
-    ``parts - 1`` quantiles of the key are read to the driver (a fixed, small number of values) and cut the
-    table into ranges.  A key value that fills a whole range by itself is cut further by hash, so one hot
-    value never ends in one task.  The result does not depend on where the cuts fall.
+def ordered_position(df: DataFrame, key: str | Column, ties: list[str], position: str = "pos", parts: int | None = None,
+                     first: int | None = None) -> DataFrame:
+    """0-based position by (key, md5 of ties, ties), NULL keys first; any orderable key.
+
+    Quantiles of a sample cut the table into ranges; rows of a hot value are cut further by hash, so one value never ends
+    in one task.  The result does not depend on where the cuts fall, and no job runs before the query does.  With
+    ``first`` only rows that may be among the first so many are returned.
     """
-    shares = [i / parts for i in range(1, parts)]
-    quantiles = df.agg(F.percentile_approx(F.col(key), shares, 10_000).alias("q")).first()["q"] or []
-    cuts = sorted(set(quantiles))
-    hot = [c for c in cuts if quantiles.count(c) > 1]
-    leaf = _search_tree(F.col(key), cuts, 0, len(cuts))
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    # A cut is the upper end of its range, so a hot value sorts after the rest of its range.
-    bucket = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(leaf * 2 + is_hot.cast("int"))
-    spread = F.col(key).isNull() | is_hot
-    placed = (df.withColumn("_h", hash_order(ties, 0))
-                .withColumn("_b", bucket)
-                .withColumn("_s", F.when(spread, _bucket_of(F.col("_h"))).otherwise(F.lit(0))))
+    parts = parts or _parts(df)
+    key = F.col(key) if isinstance(key, str) else key
+    cuts, hot = _ranges(df, key, ties, parts)
+    cut = df.withColumn("_k", key).withColumn("_h", hash_order(ties, 0)).withColumn("_cuts", cuts).withColumn("_hot", hot)
+    at = F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(_range_of(F.col("_k"), F.col("_cuts"), parts))
+    placed = cut.withColumn("_at", at)
+    # A cut is the lower end of its range: where it is hot, its rows come first and are spread by hash.
+    is_hot = F.col("_k").isNull() | F.coalesce(F.array_contains("_hot", F.col("_k")), F.lit(False))
+    slots = F.lit(parts)
+    placed = placed.select(*df.columns, "_k", "_h", (F.col("_at") * 2 + F.when(is_hot, 0).otherwise(1)).alias("_b"),
+                           F.when(is_hot, F.floor(_bucket_of(F.col("_h")) * slots / HASH_BUCKETS)).otherwise(F.lit(0)).cast("int").alias("_s"))
     counts = placed.groupBy("_b", "_s").agg(F.count("*").alias("_cnt"))
-    offsets = _offsets(counts, ["_b", "_s"]).drop("_cnt")  # at most parts + (hot + 1) * HASH_BUCKETS rows
-    local = Window.partitionBy("_b", "_s").orderBy(F.col(key).asc_nulls_first(), "_h", *ties)
+    offsets = _offsets(counts, ["_b", "_s"]).drop("_cnt")
+    if first is not None:
+        offsets = offsets.filter(F.col("_before") < first)
+    local = Window.partitionBy("_b", "_s").orderBy(F.col("_k").asc_nulls_first(), "_h", *ties)
+    # One row per range and slot: at most 2 * parts ranges and, as a hot value fills a range, parts / 2 hot values.
     return (placed.join(F.broadcast(offsets), ["_b", "_s"])
                   .withColumn(position, F.col("_before") + F.row_number().over(local) - 1)
-                  .drop("_h", "_b", "_s", "_before"))
+                  .drop("_k", "_h", "_b", "_s", "_before"))
 
 
-def top_by_rank(df: DataFrame, rank: str, key: str, k: int, small_limit: int = SMALL_LIMIT) -> DataFrame:
-    """The ``k`` rows with the highest rank, ties by ascending key.
+def top_by_rank(df: DataFrame, rank: str, key: str, k: int) -> DataFrame:
+    """The ``k`` rows with the highest rank, ties by ascending key, NULL ranks last; one path for every ``k``.
 
-    Small limits use Spark's top-k.  A large one would merge all kept rows in one task, so the cut-off rank
-    is found from counts per rank (few distinct integers) and only ties inside it are ordered, by position.
+    Meant for narrow rows: join wide columns afterwards.
     """
-    if k <= small_limit:
-        return df.orderBy(F.col(rank).desc_nulls_last(), F.col(key).asc()).limit(k)
-    counts = df.groupBy(rank).agg(F.count("*").alias("_n"))
-    above = Window.orderBy(F.col(rank).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    # Distinct ranks are at most about sqrt(2 * events): a rank is a number of events.
-    cut = (counts.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0).cast("bigint")))
-                 .filter((F.col("_above") < k) & (F.col("_above") + F.col("_n") >= k))
-                 .select(F.struct(F.col(rank).alias("rank"), (F.lit(k) - F.col("_above")).alias("room")).alias("cut")))
-    marked = df.withColumn("_cut", cut.scalar())  # NULL when all rows fit
-    sure = marked.filter(F.col("_cut").isNull() | (F.col(rank) > F.col("_cut.rank"))).drop("_cut")
-    ties = marked.filter(F.col(rank) == F.col("_cut.rank"))
-    # Positions by key alone: inside one rank the order is the key.
-    placed = ordered_position(ties, key, [key], "_pos")
-    return sure.unionByName(placed.filter(F.col("_pos") < F.col("_cut.room")).drop("_pos", "_cut"))
-
-
-def running_total(df: DataFrame, key: str, value: str, out: str, parts: int = 64) -> DataFrame:
+    order = F.struct(F.col(rank).isNull().alias("none"), (-F.col(rank)).alias("rank"), F.col(key).alias("key"))
+    return ordered_position(df, order, [key], "_pos", first=k).filter(F.col("_pos") < k).drop("_pos")
+
+
+def running_total(df: DataFrame, key: str, value: str, out: str, parts: int | None = None) -> DataFrame:
     """Sum of ``value`` over all rows with a smaller key (keys are distinct), range by range."""
-    quantiles = df.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 10_000).alias("q")).first()["q"]
-    cuts = sorted(set(quantiles or []))
-    placed = df.withColumn("_b", _search_tree(F.col(key), cuts, 0, len(cuts)))
+    parts = parts or _parts(df)
+    cuts, _ = _ranges(df, F.col(key), [], parts)
+    placed = df.withColumn("_cuts", cuts).withColumn("_b", _range_of(F.col(key), F.col("_cuts"), parts)).drop("_cuts")
     sums = placed.groupBy("_b").agg(F.sum(value).alias("_cnt"))
     local = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return (placed.join(F.broadcast(_offsets(sums, ["_b"]).drop("_cnt")), "_b")
@@ -129,9 +143,10 @@ def explode_once(df: DataFrame, keep: list[str], array: Column, name: str, posit
     return rows if position else rows.drop("_i")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder the cluster names in ``spark.checkpoint.dir``; unchanged where none is set."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)  # eager writes in the one job that computes it; lazy would compute twice
-    return df
+def stored(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """``df`` written under ``folder`` and reread, so that it is computed once; unchanged without a folder."""
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

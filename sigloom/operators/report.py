@@ -71,7 +71,7 @@ def denied_word_counts(df: DataFrame, column: str, denied: list[str] | None = No
 
     The words are compared as written, so an entry with capitals cannot match lower-cased text.
     """
-    words = denied or fv.DENIED_SOURCE_WORDS
+    words = fv.DENIED_SOURCE_WORDS if denied is None else denied
     listed_words = F.array(*[F.lit(w) for w in dict.fromkeys(words)])
     hits = tx.let(F.lower(F.col(column)), lambda t: F.filter(listed_words, lambda w: F.contains(t, w)))
     found = explode_once(df, [], hits, "word")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.operators.filters import arrange
-from sigloom.operators.ordering import SMALL_LIMIT, first_by_hash, hash_position, ordered_position
+from sigloom.operators.ordering import first_by_hash, hash_position, ordered_position
 
 ANNOTATION_COLUMNS = {"label": "", "reason": "", "comment": ""}
 
@@ -29,9 +29,7 @@ def _pick(names: list[str], index: Column) -> Column:
 
 def _positions_of_sample(df: DataFrame, keys: list[str], n: int, seed: int) -> DataFrame:
     """The sampled rows with their 0-based position in hash order."""
-    if n > SMALL_LIMIT:
-        return hash_position(df, keys, seed, "_pos").filter(F.col("_pos") < n)
-    return hash_position(first_by_hash(df, keys, n, seed), keys, seed, "_pos")
+    return hash_position(df, keys, seed, "_pos", first=n).filter(F.col("_pos") < n)
 
 
 def assign_blocks(df: DataFrame, keys: list[str], sample_size: int, annotators: list[str], second: bool = False,
@@ -99,10 +97,11 @@ def with_annotation_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 def restore_originals(sampled: DataFrame, original: DataFrame, columns: list[str], orig_signal: str = "signal_orig",
                       signal: str = "signal", key: str = "item_id") -> DataFrame:
     """Put the original text of the listed columns back; one original per (item, signal), so no row is repeated."""
-    lookup = original.groupBy(key, F.col(signal).alias(orig_signal)).agg(
-        *[F.min(c).alias(f"_o_{c}") for c in columns if c != signal])
+    others = [c for c in columns if c != signal]
+    # The smallest original as a whole row, so that values of different rows never mix; a match may hold NULLs.
+    lookup = original.groupBy(key, F.col(signal).alias(orig_signal)).agg(F.min(F.struct(F.lit(1).alias("_hit"), *others)).alias("_o"))
     joined = sampled.join(lookup, [key, orig_signal], "left")
-    restored = joined.withColumns({c: F.col(orig_signal) if c == signal else F.coalesce(f"_o_{c}", c) for c in columns})
+    restored = joined.withColumns({c: F.col(orig_signal) if c == signal else F.when(F.col("_o").isNotNull(), F.col(f"_o.{c}")).otherwise(F.col(c)) for c in columns})
     return restored.select([c for c in sampled.columns if c != orig_signal])
 
 

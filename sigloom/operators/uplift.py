@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.operators.filters import qualified_count
+from sigloom.operators.ordering import ordered_position
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,13 +69,14 @@ def sample_weights(df: DataFrame, method: str, qualified: list[str], shown: str
 
 # --- encoding --------------------------------------------------------------------------------
 def label_codes(df: DataFrame, label: str, code: str = "code") -> DataFrame:
-    """Distinct labels, sorted, numbered from 0.  Labels are classes: the set is small by definition."""
-    listed = df.filter(F.col(label).isNotNull()).agg(F.array_sort(F.collect_set(label)).alias("_l"))
-    return listed.select(F.posexplode("_l").alias(code, label))
+    """Distinct labels, sorted, numbered from 0."""
+    found = df.filter(F.col(label).isNotNull()).select(label).distinct()
+    return ordered_position(found, label, [label], code).select(F.col(code).cast("int").alias(code), label)
 
 
 def encode_labels(df: DataFrame, label: str, code: str = "code") -> DataFrame:
-    return df.join(label_codes(df, label, code), label)
+    """Rows without a label keep a NULL code."""
+    return df.join(label_codes(df, label, code), label, "left")
 
 
 def decode_labels(df: DataFrame, codes: DataFrame, code: str = "code") -> DataFrame:

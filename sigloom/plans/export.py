@@ -11,7 +11,7 @@ from sigloom.sources import export as ex
 
 
 def export_items(items: DataFrame, processor: str, factory: Callable[[], ex.Sender], results_path: str, force: bool = False,
-                 routing: bool = False, limit: int | None = None, tasks: int = 1) -> DataFrame:
+                 routing: bool = False, limit: int | None = None, tasks: int | None = None) -> DataFrame:
     """Results are written once, because sending is a side effect that must not be recomputed."""
     ex.require_routing_for_limit(limit, routing)
     shaped = ex.payload(items, processor, force)

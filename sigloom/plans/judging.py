@@ -40,9 +40,20 @@ def evaluate_judge(annotated: DataFrame, prompts: DataFrame, factory: Callable[[
     return score(annotated, ps.explode_predictions(judged), label)
 
 
+def train_and_evaluate(labelled_signals: DataFrame, prompt: Prompt, fraction: float, factory: Callable[[], infer.TextFunction], label: str = "label",
+                       key: str = "item_id", seed: int = 42, grouping: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Training chats of one part of the items, and the judge's confusion counts, rates and AUC on the others."""
+    split = sampling.split_by_key(labelled(labelled_signals, label), key, fraction, seed)
+    held = split.filter("role = 'test'").drop("role")
+    chats = training_chats(split.filter("role = 'train'"), prompt, grouping=grouping)
+    prompts = inference_prompts(held, prompt, [key, "grouped_signals"], grouping=grouping)
+    return chats, evaluate_judge(held, prompts, factory, label)
+
+
 def score(annotated: DataFrame, predictions: DataFrame, label: str = "label") -> DataFrame:
     joined = ag.join_predictions(annotated, predictions)
-    return ag.binary_metrics(joined, label, "pred_score")
+    # A judge's labels are few, so the area under the curve follows from counts per label.
+    return ag.binary_metrics(joined, label, "pred_score").withColumn("auc", ag.roc_auc(joined, label, "pred_score").scalar())
 
 
 def agreement_report(annotations: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Queries for unions, chats, text functions, sinks and export."""
 
 import json
-import tempfile
 
 from pyspark.sql import functions as F
 
@@ -10,22 +9,18 @@ from sigloom.operators import infer
 from sigloom.operators import items as it
 from sigloom.operators import report
 from sigloom.plans import judging
+from sigloom.plans.generation import generate
 from sigloom.registry.core import query
 from sigloom.registry.people import h
 from sigloom.registry.selection import LATEST_SQL
 from sigloom.sources import export as ex
 from sigloom.sources import readers, writers
+from sigloom.sources.folders import new_folder
 from sigloom.sources.tables import ANNOTATION_SCHEMA
 
 
 def scratch(b, name):
-    """A new folder for written data: under the cluster's shared folder, or a temporary one where none is set."""
-    shared = b.spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        unique = b.spark.sparkContext.applicationId
-        import uuid
-        return f"{shared.rstrip('/')}/{unique}/{name}-{uuid.uuid4().hex}"
-    return f"{tempfile.mkdtemp(prefix='sigloom-')}/{name}"
+    return new_folder(b.spark, name)
 
 
 # --- unions ---------------------------------------------------------------------------------
@@ -63,7 +58,7 @@ BOOK = chat.PromptBook({
 GROUPING = {"position": "pos", "label": "label", "reason": "reason", "keep": ("title",)}
 T = lambda c: f"trim(coalesce(cast({c} as varchar), ''))"
 SINGLE_USER = "'Title: ' || " + T("title") + " || ', aspects: ' || " + T("aspects") + " || ', description: ' || " + T('"desc"') + " || '. Signal: ' || " + T("signal") + " || ' {json}'"
-GROUP_SQL = """g as (select item_id, 0::bigint as part, arg_min(title, pos) as title, string_agg(n || '. ' || signal, chr(10) order by pos) as grouped_signals, string_agg(label, ', ' order by pos) as grouped_labels,
+GROUP_SQL = """g as (select item_id, arg_min(title, pos) as title, string_agg(n || '. ' || translate(signal, chr(13) || chr(10), '  '), chr(10) order by pos) as grouped_signals, string_agg(label, ', ' order by pos) as grouped_labels,
   string_agg(reason, ', ' order by pos) as grouped_reasons, count(*) as num_signals from (select *, row_number() over (partition by item_id order by pos) as n from {src}) group by item_id)"""
 
 
@@ -175,19 +170,19 @@ def _(b):
 def _(b):
     def factory():
         def fn(prompts):
-            if len(prompts[0]) % 7 == 0:
+            if any(len(p) % 7 == 0 for p in prompts):
                 raise ValueError("refused")
-            return [str(len(prompts[0]))]
+            return [str(len(p)) for p in prompts]
         return fn
-    return infer.run_text_function(b.documents.select("doc_id", "text"), "text", factory, concurrency=4).select("doc_id", "result", "error")
+    return infer.run_text_function(b.documents.select("doc_id", "text"), "text", factory, concurrency=4, batch=8, parallel=4).select("doc_id", "result", "error")
 
 
 @query("inf_03_judge_rows", """select doc_id, (doc_id % 4)::varchar as label_j, source as reason_j, '' as explanation_j from documents""")
 def _(b):
     def factory():
         def fn(prompts):
-            number, source = prompts[0].split("|")
-            return [f'```json\n{{"signal_label": "{int(number) % 4}", "reason": "{source}"}}\n```']
+            parts = [p.split("|") for p in prompts]
+            return [f'```json\n{{"signal_label": "{int(number) % 4}", "reason": "{source}"}}\n```' for number, source in parts]
         return fn
     rows = b.documents.select("doc_id", F.concat_ws("|", "doc_id", "source").alias("p"))
     return infer.judge_rows(rows, "p", factory, "j").select("doc_id", "label_j", "reason_j", "explanation_j")
@@ -195,13 +190,8 @@ def _(b):
 
 @query("inf_04_token_count", r"""select round_even(avg(length(text)), 1) as avg_chars, round_even(avg(len(regexp_extract_all(text, '[\p{L}]+'))), 1) as avg_tokens from documents""")
 def _(b):
-    from pyspark.sql.types import IntegerType
-
-    @F.pandas_udf(IntegerType())
-    def tokens(s):
-        import regex
-        word = regex.compile(r"\p{L}+")
-        return s.map(lambda t: len(word.findall(t)))
+    def tokens(text):
+        return F.size(F.regexp_extract_all(text, F.lit(r"\p{L}+"), F.lit(0)))
     return report.text_statistics(b.documents, ["text"], token_count=tokens)
 
 
@@ -210,27 +200,25 @@ def _(b):
     return infer.unfinished(b.documents.select("doc_id"), b.labels, "doc_id")
 
 
-@query("plan_03_generate_and_parse", """select item_id, signal, explanation from (select item_id, p, upper(p[1:1]) || lower(p[2:]) as x, p, length(p) as n from (select doc_id as item_id, source as p from documents)),
-  lateral (select regexp_replace(x, '^Src', 'Src') as signal, n::varchar as explanation)""")
+@query("plan_03_generate_and_parse", """select doc_id as item_id, lang, 'Source ' || upper(source[1:1]) || source[2:] as signal,
+  length('Source ' || trim(source) || ' says ' || trim(text))::varchar as explanation from documents""")
 def _(b):
-    from sigloom.functions.parse import long_signals
-    done = infer.generate_signals(b.documents.select(F.col("doc_id").alias("item_id"), "source"), "source", first_word_model, "m", n=3)
-    return long_signals(done, "item_id", [], "signal_m", "explanation_m").drop("rank")
+    prompt = chat.Template("Source {0} says {1}", ("source", "text"))
+    items = b.documents.select(F.col("doc_id").alias("item_id"), "source", "text", "lang")
+    return generate(items, prompt, first_word_model, scratch(b, "raw"), scratch(b, "signals"), n=3, keep=("lang",)).drop("rank")
 
 
-@query("plan_07_judge_and_score", """with n as (select conv_id, turn, text, row_number() over (partition by conv_id order by turn) as i, turn % 3 as label from conversations),
-  lines as (select conv_id, lower(trim(text)) as s, label, i, (select count(*) from n m where m.conv_id = n.conv_id) as k, text from n where not contains(text, chr(10))),
-  whole as (select conv_id from n group by conv_id having bool_and(not contains(text, chr(10)) and trim(text) <> '')),
-  pred as (select conv_id, s, label, 1 - length(i || '. ' || text) % 2 as pred from lines where conv_id in (select conv_id from whole)),
-  j as (select a.label, b.pred from pred a join pred b on a.conv_id = b.conv_id and a.s = b.s),
+@query("plan_07_judge_and_score", f"""with k as (select item_id, row_number() over (order by {h('item_id')}, item_id) - 1 as p, count(*) over () as n from (select distinct item_id from v_chat)),
+  held as (select v.item_id, pos, label, translate(signal, chr(13) || chr(10), '  ') as text, row_number() over (partition by v.item_id order by pos) as i,
+           count(*) over (partition by v.item_id) as c from v_chat v join k using (item_id) where p >= floor(n * 0.5::double)),
+  whole as (select item_id from held group by item_id having bool_and(trim(text) <> '')),
+  pred as (select item_id, lower(trim(text)) as s, min(1 - length(i || '. ' || text) % 2) as pred from held where item_id in (select item_id from whole) group by all),
+  j as (select a.label, b.pred from held a join pred b on a.item_id = b.item_id and lower(trim(a.text)) = b.s),
   c as (select count(*) filter (label <> 0 and pred <> 0) as tp, count(*) filter (label = 0 and pred <> 0) as fp, count(*) filter (label <> 0 and pred = 0) as fn, count(*) filter (label = 0 and pred = 0) as tn from j)
-  select tp, fp, fn, tn, tp / (tp + fp)::double as precision, tp / (tp + fn)::double as recall, 2 * tp / (2 * tp + fp + fn)::double as f1 from c""")
+  select tp, fp, fn, tn, tp / (tp + fp)::double as precision, tp / (tp + fn)::double as recall, 2 * tp / (2 * tp + fp + fn)::double as f1,
+  ((tp * tn) + (tp * fp + fn * tn) / 2) / ((tp + fn)::double * (fp + tn)) as auc from c""")
 def _(b):
-    prompts = chat.inference_prompts(b.v_chat, BOOK["grouped"], ["item_id", "grouped_signals"], grouping=GROUPING)
-    # A signal with line breaks cannot be told from several signals, so only one-line items are scored.
-    one_line = b.v_chat.groupBy("item_id").agg(F.bool_and(~F.contains("signal", F.lit("\n")) & (F.trim("signal") != "")).alias("ok")).filter("ok")
-    annotated = it.with_ids(b.v_chat, one_line)
-    return judging.evaluate_judge(annotated, it.with_ids(prompts, one_line), label_model)
+    return judging.train_and_evaluate(b.v_chat, BOOK["grouped"], 0.5, label_model, grouping=GROUPING)[1]
 
 
 # --- export --------------------------------------------------------------------------------------------

@@ -1,5 +1,7 @@
 """Queries for item selection and extraction: scans, filters, joins, aggregates, top-k."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from sigloom.functions import text as tx
@@ -9,6 +11,7 @@ from sigloom.operators.ordering import top_by_rank
 from sigloom.plans import extraction, selection
 from sigloom.plans.selection import SelectionRequest
 from sigloom.registry.core import query
+from sigloom.sources.folders import new_folder
 from sigloom.sources.tables import Tables
 
 REQUEST = SelectionRequest(start="1996-01-01", end="1996-12-31", limit=300, verticals=["ASIA", "EUROPE"],
@@ -18,9 +21,8 @@ REQUEST = SelectionRequest(start="1996-01-01", end="1996-12-31", limit=300, vert
 def bed_tables(b) -> Tables:
     # The ledger of the test bed has later dates than the views, so it is moved back to overlap.
     ledger = b.v_ledger.select("item_id", F.date_sub("session_start_dt", 730).alias("session_start_dt"))
-    aspects = b.v_aspects.drop("auct_end_dt")
     return Tables(b.spark, {"views": b.v_views, "categories": b.v_categories, "listings": b.v_listings,
-                            "descriptions": b.v_desc, "aspects": aspects, "ledger": ledger})
+                            "descriptions": b.v_desc, "aspects": b.v_aspects, "ledger": ledger})
 
 
 def as_json(df, column="aspects"):
@@ -50,7 +52,7 @@ fresh as (select item_id, rank from top t where exists (select 1 from cats c whe
           and item_id not in (select item_id from led))"""
 LATEST_SQL = f"""{VALID_SQL},
 latest as (select item_id, lower(prdct_aspct_nm) as name, lower(aspct_vlu_nm) as value from valid
-           qualify row_number() over (partition by item_id, lower(prdct_aspct_nm) order by ord desc, lower(aspct_vlu_nm) desc) = 1)"""
+           qualify row_number() over (partition by item_id, lower(prdct_aspct_nm) order by auct_end_dt desc, lower(aspct_vlu_nm) desc) = 1)"""
 PAIR_SQL = "string_agg(concat('{\"k\":', to_json(name), '}{\"v\":', to_json(value), '}'), ';' order by concat('{\"k\":', to_json(name), '}{\"v\":', to_json(value), '}'))"
 SELECTED_SQL = f"""with {NEW_SQL}, {LATEST_SQL},
 maps as (select item_id, {PAIR_SQL} as aspects from latest group by item_id),
@@ -62,19 +64,20 @@ selected as (select * from full_rows order by rank desc, item_id limit 300)"""
 
 @query("plan_01_item_selection", SELECTED_SQL + ' select item_id, title, aspects, "desc", rank from selected')
 def _(b):
-    return as_json(selection.select_items(bed_tables(b), REQUEST))
+    return as_json(selection.select_items(bed_tables(b), replace(REQUEST, scratch=new_folder(b.spark, "selection"))))
 
 
 @query("agg_21_selection_slots", SELECTED_SQL + """ select count(*) as total, count(*) filter (rank = 999999999) as vacant,
        count(*) filter (rank <> 999999999) as non_vacant from selected""")
 def _(b):
-    return selection.slot_report(selection.select_items(bed_tables(b), REQUEST))
+    return selection.slot_report(selection.final_ids(bed_tables(b), REQUEST, selection.new_candidates(bed_tables(b), REQUEST, selection.candidates(bed_tables(b), REQUEST))))
 
 
 # --- scans and projections -------------------------------------------------------------------
 @query("src_01_catalog_scan", "select l_returnflag, l_linestatus, count(*) as n from lineitem group by all")
 def _(b):
-    return Tables(b.spark, {"lines": b.lineitem})["lines"].groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+    b.lineitem.createOrReplaceTempView("catalog_lines")
+    return Tables(b.spark, {"lines": "catalog_lines"})["lines"].groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
 
 
 @query("src_03_parquet_scan", "select event_type, count(*) as n, count(distinct user_id) as users from events group by all")
@@ -181,12 +184,12 @@ def _(b):
 def raw_maps(b):
     """All aspects of an item as an unfiltered map; NULL values stay."""
     unique = b.v_aspects.groupBy("item_id", "prdct_aspct_nm").agg(
-        F.max_by("aspct_vlu_nm", F.struct("ord", "aspct_vlu_nm")).alias("aspct_vlu_nm"))
+        F.max_by("aspct_vlu_nm", F.struct("auct_end_dt", "aspct_vlu_nm")).alias("aspct_vlu_nm"))
     return it.aspects_map(unique, ["item_id"], "prdct_aspct_nm", "aspct_vlu_nm")
 
 
 RAW_SQL = """raw as (select item_id, prdct_aspct_nm as name, aspct_vlu_nm as value from v_aspects
-  qualify row_number() over (partition by item_id, prdct_aspct_nm order by ord desc, aspct_vlu_nm desc nulls last) = 1)"""
+  qualify row_number() over (partition by item_id, prdct_aspct_nm order by auct_end_dt desc, aspct_vlu_nm desc nulls last) = 1)"""
 
 
 @query("flt_08_aspects_by_substring", f"""with {RAW_SQL}, names as (select unnest({NAMES_SQL.replace('(', '[', 1)[:-1] + ']'}) as d)
@@ -348,15 +351,15 @@ def _(b):
 
 
 @query("agg_05_first_aspects", f"""with {VALID_SQL} select item_id, prdct_aspct_nm, aspct_vlu_nm from valid
-  qualify row_number() over (partition by item_id, prdct_aspct_nm order by ord, aspct_vlu_nm) = 1""")
+  qualify row_number() over (partition by item_id, prdct_aspct_nm order by auct_end_dt, aspct_vlu_nm) = 1""")
 def _(b):
     return it.first_aspects(flt.valid_aspects(b.v_aspects), ["item_id"])
 
 
-@query("agg_06_merge_maps", f"""with {VALID_SQL} select item_id, lower(prdct_aspct_nm) as name, arg_max(aspct_vlu_nm, row(ord, aspct_vlu_nm)) as value from valid group by all""")
+@query("agg_06_merge_maps", f"""with {VALID_SQL} select item_id, lower(prdct_aspct_nm) as name, arg_max(aspct_vlu_nm, row(auct_end_dt, aspct_vlu_nm)) as value from valid group by all""")
 def _(b):
-    one = flt.valid_aspects(b.v_aspects).select("item_id", "ord", F.create_map(F.lower("prdct_aspct_nm"), "aspct_vlu_nm").alias("m"))
-    return it.merge_maps(one, ["item_id"], "m", "ord", "aspects").select("item_id", F.explode("aspects").alias("name", "value"))
+    one = flt.valid_aspects(b.v_aspects).select("item_id", "auct_end_dt", F.create_map(F.lower("prdct_aspct_nm"), "aspct_vlu_nm").alias("m"))
+    return it.merge_maps(one, ["item_id"], "m", "auct_end_dt", "aspects").select("item_id", F.explode("aspects").alias("name", "value"))
 
 
 @query("agg_07_distinct_ids", "select count(distinct item_id) as items, count(distinct session_start_dt) as days, count(distinct soj) as blobs from v_views")
@@ -369,17 +372,15 @@ def _(b):
     return b.v_views.agg(F.min("session_start_dt").alias("first_day"), F.max("session_start_dt").alias("last_day"))
 
 
-@query("win_01_row_number_shortest", f"""with {VALID_SQL} select item_id, prdct_aspct_nm, aspct_vlu_nm, ord from valid
+@query("win_01_row_number_shortest", f"""with {VALID_SQL} select item_id, prdct_aspct_nm, aspct_vlu_nm, auct_end_dt from valid
   qualify row_number() over (partition by item_id, prdct_aspct_nm order by length(aspct_vlu_nm), aspct_vlu_nm) = 1""")
 def _(b):
-    return it.shortest_aspects_ranked(flt.valid_aspects(b.v_aspects), ["item_id"]).select("item_id", "prdct_aspct_nm", "aspct_vlu_nm", "ord")
+    return it.shortest_aspects_ranked(flt.valid_aspects(b.v_aspects), ["item_id"]).select("item_id", "prdct_aspct_nm", "aspct_vlu_nm", "auct_end_dt")
 
 
 @query("top_01_overfetch", f"with {RANKED_SQL} select item_id, rank from ranked order by rank desc, item_id limit 1200")
 def _(b):
-    # The large-limit form, forced here so the check covers it.
-    from sigloom.operators.ordering import top_by_rank as top
-    return top(ranked(b).select("item_id", "rank"), "rank", "item_id", 1200, small_limit=0)
+    return top_by_rank(ranked(b).select("item_id", "rank"), "rank", "item_id", 1200)
 
 
 @query("top_02_final", f"with {RANKED_SQL} select item_id from ranked order by rank desc, item_id limit 300")

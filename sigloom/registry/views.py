@@ -5,13 +5,13 @@ One SQL text per view serves both engines.  ``{table}`` stands for a table, ``{a
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.operators.ordering import evaluate_once
-from sigloom.sources.readers import spread_small_scan
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -50,19 +50,19 @@ select doc_id as item_id, text as item_desc, cast(date '2024-01-01' + cast(doc_i
 from {documents}"""
 
 VIEWS["v_aspects"] = """
-select p_partkey as item_id, 'Brand' as prdct_aspct_nm, p_brand as aspct_vlu_nm, 0 as aspct_src, 'df' as ns_type_cd, 1 as ord,
+select p_partkey as item_id, 'Brand' as prdct_aspct_nm, p_brand as aspct_vlu_nm, 0 as aspct_src, 'df' as ns_type_cd,
        cast(date '2024-01-01' + (p_size % 31) as date) as auct_end_dt from {part}
-union all select p_partkey, 'Type', p_type, 0, 'df', 1, cast(date '2024-01-01' + (p_size % 31) as date) from {part}
-union all select p_partkey, 'TYPE', concat(p_type,' x'), 0, 'df', 2, cast(date '2024-01-01' + (p_size % 31) as date)
+union all select p_partkey, 'Type', p_type, 0, 'df', cast(date '2024-01-01' + (p_size % 31) as date) from {part}
+union all select p_partkey, 'TYPE', concat(p_type,' x'), 0, 'df', cast(date '2024-01-01' + (p_size % 31) as date)
           from {part} where p_partkey % 3 = 0
-union all select p_partkey, 'Brand', concat(p_brand,' & co'), 0, 'df', 2, cast(date '2024-01-01' + (p_size % 31) as date)
+union all select p_partkey, 'Brand', concat(p_brand,' & co'), 0, 'df', cast(date '2024-01-01' + (p_size % 31) as date)
           from {part} where p_partkey % 5 = 0
-union all select p_partkey, 'UPC', '12345', 0, 'df', 1, cast(date '2024-01-01' + (p_size % 31) as date) from {part}
-union all select p_partkey, 'Colour', case when p_partkey % 2 = 0 then 'N/A' else 'Red' end, 0, 'df', 1,
+union all select p_partkey, 'UPC', '12345', 0, 'df', cast(date '2024-01-01' + (p_size % 31) as date) from {part}
+union all select p_partkey, 'Colour', case when p_partkey % 2 = 0 then 'N/A' else 'Red' end, 0, 'df',
                  cast(date '2024-01-01' + (p_size % 31) as date) from {part}
 union all select p_partkey, 'Size', case when p_size % 7 = 0 then null else cast(p_size as varchar(10)) end,
-                 case when p_size % 6 = 0 then 42 else 0 end, 'df', 1, cast(date '2024-01-01' + (p_size % 31) as date) from {part}
-union all select p_partkey, 'Origin', p_name, 0, 'xx', 1, cast(date '2024-01-01' + (p_size % 31) as date) from {part}"""
+                 case when p_size % 6 = 0 then 42 else 0 end, 'df', cast(date '2024-01-01' + (p_size % 31) as date) from {part}
+union all select p_partkey, 'Origin', p_name, 0, 'xx', cast(date '2024-01-01' + (p_size % 31) as date) from {part}"""
 
 VIEWS["v_ledger"] = """
 select o_custkey as item_id, max(cast(o_orderdate as date)) as session_start_dt from {orders} group by o_custkey"""
@@ -157,13 +157,16 @@ class Bed:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        # Partitions for tables of long texts that lie in a single row group; a caller who knows the files may set it.
+        self.spread = int(os.environ.get("SIGLOOM_SPREAD_TEXTS", "0"))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return spread_small_scan(self.table(name)) if name in LONG_TEXTS else self.table(name)
+            table = self.table(name)
+            return table.repartition(self.spread) if self.spread and name in LONG_TEXTS else table
         if name in VIEWS:
             sql = VIEWS[name].replace("{at}", "try_element_at").replace('"desc"', "`desc`")
             used = [t for t in TABLES if "{" + t + "}" in sql]

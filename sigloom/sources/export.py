@@ -82,8 +82,8 @@ RESULT = "batch_id bigint, rows int, attempts int, splits int, ok boolean, error
 
 
 def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.EXPORT_MAX_ATTEMPTS,
-         pause: Callable[[float], None] = time.sleep, tasks: int = 1) -> DataFrame:
-    """Send every batch; one result row per batch.  ``tasks`` is the number of senders at work at once.
+         pause: Callable[[float], None] = time.sleep, tasks: int | None = None) -> DataFrame:
+    """Send every batch; one result row per batch.  ``tasks`` bounds the senders at work at once; None keeps the table's partitions.
 
     The batch id is stable, so a receiver can drop the repeat of a batch whose task ran twice.
     """
@@ -101,7 +101,8 @@ def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.E
                     out.append((batch_id, len(rows), 0, 0, False, str(e) or type(e).__name__))
             yield pd.DataFrame(out, columns=["batch_id", "rows", "attempts", "splits", "ok", "error"])
 
-    return batched.repartition(tasks, "batch_id").mapInPandas(work, RESULT)
+    rows = batched if tasks is None else batched.repartition(tasks, "batch_id")
+    return rows.mapInPandas(work, RESULT)
 
 
 def single_records(df: DataFrame, limit: int | None, key: str = "itemId") -> DataFrame:

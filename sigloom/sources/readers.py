@@ -14,13 +14,14 @@ def read_ledger(spark: SparkSession, path: str, since: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path).filter(F.col("session_start_dt") >= F.lit(since).cast("date"))
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    return spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """``multi_line`` allows line breaks inside quotes, but then a file is one task."""
+    return spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"')
 
 
-def read_csv_with_source(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_csv_with_source(spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Many files in one scan, each row tagged with its file name."""
-    return read_csv(spark, paths, schema).withColumn("source_file", F.col("_metadata.file_name"))
+    return read_csv(spark, paths, schema, multi_line).withColumn("source_file", F.col("_metadata.file_name"))
 
 
 def read_raw_output(spark: SparkSession, path: str) -> DataFrame:
@@ -36,11 +37,3 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
 def sql_scan(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
 
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than cores, before costly per-row work.
-
-    A large table has many more splits than cores and is returned unchanged: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

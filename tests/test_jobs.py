@@ -29,11 +29,58 @@ def test_template_and_label_modes(spark):
 def test_big_group_continues_in_parts(spark):
     df = spark.range(1, 8).select(F.lit(1).alias("item_id"), F.col("id").alias("pos"), F.concat(F.lit("s"), "id").alias("signal"), F.lit(1).alias("label"))
     got = rows(chat.group_signals(df, "pos", label="label", chunk=3), "part", "grouped_signals", "grouped_labels", "num_signals")
-    assert got == [(0, "1. s1\n2. s2\n3. s3", "1, 1, 1", 3), (1, "1. s4\n2. s5\n3. s6", "1, 1, 1", 3), (2, "1. s7", "1", 1)]
+    assert got == [(0, "1. s1\n2. s2\n3. s3", "1, 1, 1", 3), (1, "4. s4\n5. s5\n6. s6", "1, 1, 1", 3), (2, "7. s7", "1", 1)]
     single = rows(chat.group_signals(df.filter("pos = 1"), "pos", number_single=False), "grouped_signals")
     assert single == [("s1",)]
 
 
+def test_one_chat_per_item(spark):
+    df = spark.range(0, 1002).select(F.lit(1).alias("item_id"), F.col("id").alias("pos"), F.concat(F.lit("s\n"), "id").alias("signal"))
+    row = chat.group_signals(df, "pos").collect()
+    assert len(row) == 1 and row[0].num_signals == 1002
+    lines = row[0].grouped_signals.split("\n")
+    assert (lines[0], lines[-1], len(lines)) == ("1. s 0", "1002. s 1001", 1002)  # positions from 0; a line is a signal
+
+
+def test_calls_in_batches(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def fn(prompts):
+            calls.add(1)
+            if "bad" in prompts:
+                raise ValueError("no")
+            return [p.upper() for p in prompts]
+        return fn
+
+    df = spark.createDataFrame([(i, "bad" if i == 7 else f"p{i}") for i in range(40)], "item_id long, p string").coalesce(1)
+    got = {r.item_id: (r.result, r.error) for r in infer.run_text_function(df, "p", factory, batch=10, parallel=3, per_minute=60_000, attempts=2).collect()}
+    assert got == {i: ("", "no") if i == 7 else (f"P{i}", "") for i in range(40)}
+    assert calls.value == 4 + 9 + 2  # four batches, then the failed one prompt by prompt, the bad one twice
+
+
+def test_resumed_run_asks_only_what_is_missing(spark, tmp_path):
+    asked = spark.sparkContext.accumulator(0)
+
+    def factory(broken):
+        def make():
+            def fn(prompts):
+                asked.add(len(prompts))
+                if broken and any(p.endswith("3") for p in prompts):
+                    raise ValueError("down")
+                return [p + "!" for p in prompts]
+            return fn
+        return make
+
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "item_id long, p string")
+    path = str(tmp_path / "raw")
+    first = infer.resumed(df, "p", factory(True), path, batch=1).filter("error <> ''").count()
+    before = asked.value
+    second = infer.resumed(df, "p", factory(False), path, batch=1)
+    assert first == 2 and rows(second, "item_id", "result", "error") == sorted([(i, f"p{i}!", "") for i in range(20)], key=repr)
+    assert asked.value - before == 2
+
+
 # --- text functions -----------------------------------------------------------------------------
 def echo():
     def fn(prompts):
@@ -94,7 +141,7 @@ def test_ledger_is_pruned_and_appended(spark, tmp_path):
 def test_csv_json_and_annotator_files(spark, tmp_path):
     df = spark.createDataFrame([("1", 'a "b", c', "ann", 1, "r\nr", None)], ANNOTATION_SCHEMA)
     writers.write_csv(df, str(tmp_path / "csv"))
-    back = readers.read_csv_with_source(spark, [str(tmp_path / "csv")], ANNOTATION_SCHEMA)
+    back = readers.read_csv_with_source(spark, [str(tmp_path / "csv")], ANNOTATION_SCHEMA, multi_line=True)
     assert rows(back.drop("source_file")) == rows(df) and back.first()["source_file"].endswith(".csv")
     writers.write_per_annotator(df, str(tmp_path / "people"))
     assert (tmp_path / "people" / "annotator_name=ann").is_dir()

@@ -119,3 +119,48 @@ def test_frequent_tokens_with_stems(spark):
 def test_value_counts_and_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
     assert rows(report.value_counts(df, "v")) == sorted([("a", 2, 50.0), ("b", 1, 25.0), ("Total Rows", 4, 100.0)], key=repr)
+
+
+def test_originals_come_as_whole_rows(spark):
+    cleaned = spark.createDataFrame([(1, "s", "S", "t", "d")], "item_id long, signal string, signal_orig string, title string, desc string")
+    original = spark.createDataFrame([(1, "S", "a", "z"), (1, "S", "b", "y")], "item_id long, signal string, title string, desc string")
+    assert rows(sm.restore_originals(cleaned, original, ["signal", "title", "desc"]), "signal", "title", "desc") == [("S", "a", "z")]
+    empty = original.limit(1).withColumn("title", F.lit(None).cast("string"))
+    assert rows(sm.restore_originals(cleaned, empty, ["signal", "title", "desc"]), "title") == [(None,)]
+
+
+def test_rows_without_a_label_stay(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "id long, label string")
+    assert rows(up.encode_labels(df, "label"), "id", "code") == [(1, 1), (2, None), (3, 0)]
+
+
+def test_predictions_do_not_multiply(spark):
+    annotated = spark.createDataFrame([(1, "A b", 1), (1, "a\nb ", 0)], "item_id long, signal string, label int")
+    predicted = spark.createDataFrame([(1, "a b", 1), (1, " A B", 0)], "item_id long, signal string, label int")
+    assert rows(ag.join_predictions(annotated, predicted), "label", "pred_score") == [(0, 0), (1, 0)]
+
+
+def test_models_must_have_the_same_ids(spark):
+    from sigloom.operators import match
+    one = spark.createDataFrame([(1, "x"), (2, "y")], "item_id long, a string")
+    two = spark.createDataFrame([(1, "p"), (2, "q")], "item_id long, b string")
+    assert rows(match.align_models(one, two, ["b"]), "item_id", "a", "b") == [(1, "x", "p"), (2, "y", "q")]
+    with pytest.raises(Exception, match="only one model has the id 2"):
+        match.align_models(one, two.filter("item_id = 1"), ["b"]).collect()
+
+
+def test_annotation_round(spark, tmp_path):
+    from sigloom.plans import annotation
+    cleaned = signals(spark, 12, 3).select("item_id", F.concat(F.lit("s"), "pos").alias("signal"), F.concat(F.lit("S "), "pos").alias("signal_orig"),
+                                           F.lit("t").alias("title"), "pos")
+    originals = cleaned.select("item_id", F.col("signal_orig").alias("signal"), F.lit("Title!").alias("title"))
+    handed = annotation.hand_out(cleaned, originals, PEOPLE, 3, str(tmp_path / "round"), ["signal", "title"], ["pos"])
+    assert rows(handed.groupBy("annotator_name").count()) == [(p, 9) for p in PEOPLE]
+    assert rows(handed.select("title", "label").distinct()) == [("Title!", "")]
+    filled = handed.withColumn("label", F.when((F.col("annotator_name") == "d") & (F.col("pos") == 1), "0").otherwise("1"))
+    pairs = spark.createDataFrame([("a", "b"), ("c", "d")], "first_annotator string, second_annotator string")
+    decided = spark.createDataFrame([], "item_id long, signal string, final_label int")
+    done = annotation.evaluate_round(filled, pairs, decided, context=("title",))
+    assert rows(done.paired.groupBy("annotator_name", "title").count()) == [("a", "Title!", 9), ("c", "Title!", 9)]
+    assert rows(done.disagreements, "pair", "kind", "n") == [("c|d", "0|1", 3)] and done.final.count() == 18
+    assert {r.pair for r in done.kappa.collect()} == {"a|b", "c|d"}

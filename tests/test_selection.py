@@ -39,7 +39,8 @@ def test_two_key_semi_join_and_ledger(spark):
 
 
 def aspects(spark, data):
-    return spark.createDataFrame(data, "item_id long, ns_type_cd string, aspct_src int, prdct_aspct_nm string, aspct_vlu_nm string, ord int")
+    return spark.createDataFrame(data, "item_id long, ns_type_cd string, aspct_src int, prdct_aspct_nm string, aspct_vlu_nm string, n int").select(
+        "*", F.date_add(F.lit("2024-05-01").cast("date"), F.col("n")).alias("auct_end_dt")).drop("n")
 
 
 def test_latest_valid_aspect_wins(spark):
@@ -80,7 +81,30 @@ def test_end_to_end_with_files(spark, tmp_path):
 @pytest.mark.parametrize("k", [1, 5, 37, 60, 500])
 def test_large_top_k_equals_small(spark, k):
     df = spark.range(0, 300).select(F.col("id").alias("item_id"), F.when(F.col("id") % 3 == 0, 999).otherwise(F.col("id") % 7).cast("bigint").alias("rank"))
-    assert rows(top_by_rank(df, "rank", "item_id", k, small_limit=0), "item_id") == rows(top_by_rank(df, "rank", "item_id", k), "item_id")
+    assert rows(top_by_rank(df, "rank", "item_id", k), "item_id") == rows(df.orderBy(F.col("rank").desc(), "item_id").limit(k), "item_id")
+
+
+def test_top_k_starts_no_job_while_it_is_built(spark):
+    df = spark.range(0, 1000).select(F.col("id").alias("item_id"), (F.col("id") % 5).alias("rank"))
+    spark.sparkContext.setJobGroup("building", "")
+    plan = top_by_rank(df, "rank", "item_id", 2_000_000_000)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count() == 1000
+
+
+def test_positions_of_text_keys(spark):
+    df = spark.range(0, 500).select("id", F.when(F.col("id") % 4 == 0, "hot").otherwise(F.md5(F.col("id").cast("string"))).alias("k"))
+    got = ordered_position(df, "k", ["id"], "pos", parts=16).orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(500)) and [r.k for r in got] == sorted(r.k for r in got)
+    assert ordered_position(df.filter("id < 0"), "k", ["id"]).collect() == []
+
+
+def test_deny_lists_are_parameters(spark):
+    df = aspects(spark, [(1, "df", 0, "UPC", "1", 1), (1, "df", 0, "Colour", "N/A", 1), (1, "df", 42, "Size", "L", 1), (1, "df", 0, "Shop product id (EPID)", "7", 1)])
+    names = lambda **kw: {k for r in it.latest_aspects(df, **kw).collect() for k in r.aspects}
+    assert names() == {"shop product id (epid)"} and names(marketplace="Shop") == set()
+    assert names(denied_names=[], denied_values=[], denied_sources=[]) == {"upc", "colour", "size", "shop product id (epid)"}
 
 
 def test_positions_with_hot_and_null_keys(spark):

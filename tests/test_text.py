@@ -97,3 +97,36 @@ def test_labels(spark):
 def test_judge_json(spark):
     assert tuple(one(spark, ps.judge_json(F.lit('```json\n{"signal_label": "2", "reason": "r"}\n```')))) == ("2", "r", "")
     assert tuple(one(spark, ps.judge_json(F.lit("broken {")))) == (None, "", "")
+
+
+def test_undecodable_descriptions_are_empty(spark):
+    import base64
+    bad = [base64.b64encode(b"caf\xe9").decode(), "%%%", None, ""]
+    df = spark.createDataFrame([(x,) for x in [*bad, base64.b64encode("<b>café</b>".encode()).decode()]], "t string")
+    assert [r[0] for r in df.select(tx.base64_html_text(F.col("t"))).collect()] == ["", "", "", "", "café"]
+    assert [r[0] for r in df.select(tx.decode_if_html(F.col("t"))).collect()] == ["", "", "", "", "café"]
+
+
+def test_character_references(spark):
+    import html
+    good = ["&#x01F600;", "&#0000039;", "&#1114111;", "&amp", "&notit;", "&copy 2", "&lt;&gt", "&unknown;", "&", "&#", "&#;", "&eacute", "x&nbsp;y", "&#65 b", "&#0;", "&#xD800;", "&#x110000;", "&#99999999999;"]
+    df = spark.createDataFrame([(x,) for x in good], "t string")
+    got = [r[0] for r in df.select(tx.unescape_entities(F.col("t"))).collect()]
+    for text, out in zip(good, got):
+        if text != "&#1114111;":  # the standard library drops the last code point
+            assert out == html.unescape(text)
+    assert got[good.index("&#1114111;")] == "\U0010ffff"
+
+
+def test_no_words_match_nothing(spark):
+    df = spark.createDataFrame([("any text",)], "t string")
+    assert not df.select(tx.contains_any(F.col("t"), [])).first()[0] and not df.select(tx.has_whole_word(F.col("t"), [])).first()[0]
+
+
+def test_blob_is_decoded_until_unchanged(spark):
+    from urllib.parse import quote
+    value = "1,2"
+    for _ in range(9):
+        value = quote(value, safe="")
+    df = spark.createDataFrame([(f"a=b&k={value}",)], "t string")
+    assert df.select(tx.blob_ids(F.col("t"), "k")).first()[0] == ["1", "2"]
