@@ -2,40 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-PIECE_BYTES = 4 << 20  # text handled at once inside a task; bounds the temporary arrays
+from sigloom.sources.folders import new_folder as new_path
+
+PIECE_BYTES = 1 << 20  # text handled at once inside a task; bounds the temporary arrays
 SHINGLE = 5
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a session in one JVM may go without it: there a temporary folder is seen by all tasks.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sigloom-llm-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/sigloom-llm/{uuid.uuid4().hex}/{name}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, reread: lineage is cut and survives a lost executor."""
     path = new_path(df.sparkSession, name)
@@ -43,15 +27,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as the Python worker, which Spark keeps for many tasks.  For memory only, never for results."""
+    module = sys.modules.setdefault("sigloom_worker_store", types.ModuleType("sigloom_worker_store"))
+    return module.__dict__.setdefault(name, {})
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``limit`` bytes of text each (one row at least)."""
+    """Parts of a batch with about ``limit`` bytes of text each (one row at least)."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    if len(cuts) == 2:
+        yield batch
+        return
     for a, b in zip(cuts, cuts[1:]):
-        yield batch.slice(a, b - a)
+        yield batch.take(pa.array(np.arange(a, b)))  # copied: some string kernels misread an array that begins inside a buffer
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ register with probability J_P, their probability Jaccard similarity, which for w
 Equal texts are counted once.  Bands of registers put texts in buckets; texts of a bucket are linked to its smallest
 member only, so a bucket of n texts costs n rows.  The connected parts of these unverified links are the clusters in which
 all similar pairs lie.  Inside a cluster texts are compared exactly, in blocks of bounded size: first every block with
-block 0; then, in clusters of several blocks, the texts outside the largest class found so far with every other block.
+block 0; then, in clusters of several blocks, the texts outside the main class found so far with every other block.
 Pairs inside one class need no further look, so no link between classes is lost; tasks give back spanning trees, not pairs.
 """
 
@@ -26,7 +26,7 @@ from sigloom.llm.common import SHINGLE, U64, Words, mix, pieces, written
 BANDS, ROWS = 24, 5
 SIMILARITY = 0.8
 BLOCK_TEXTS = 256
-BLOCK_BYTES = 16 << 20  # of shingles
+BLOCK_BYTES = 4 << 20  # of shingles; the comparison takes about 25 times as much
 _STEP = 0xD1342543DE82EF95
 
 
@@ -107,22 +107,23 @@ def candidate_links(texts: DataFrame) -> DataFrame:
     return written(links.select(F.col("node").alias("a"), "b").distinct(), "candidates")
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node either points to one centre or is a centre itself: then the stars are the components."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("out")).unionByName(links.select(F.col("b").alias("x"), F.lit(0).alias("out")))
+    seen = ends.groupBy("x").agg(F.sum("out").alias("out"), F.count(F.lit(1)).alias("n"))
+    return seen.filter((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("n") > 1))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of all linked nodes, root being the smallest node: alternating large and small stars until nothing changes."""
+    """(node, root) of all linked nodes from distinct links (a, b): large and small stars in turn until only stars are left."""
     links = links.select("a", "b")
-    seen = None
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = written(large, "large")
         root = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(root, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = written(small.unionByName(root.select("a", F.col("low").alias("b"))).distinct(), "small")
-        now = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if now == seen or now.n == 0:
-            break
-        seen = now
+        links = written(small.unionByName(root.select("a", F.col("low").alias("b"))).distinct(), "stars")
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
@@ -140,42 +141,52 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 
 def _similar(sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndarray:
-    """Which pairs of the given texts reach the similarity, as a boolean matrix.
+    """Pairs of the given texts as a boolean matrix: its connected parts are those of all pairs that reach the similarity.
 
-    The share of either text's weight on common shingles bounds J_P from above; where all weights are one, J_P follows
-    from the counts, and only the other pairs within the bound are summed one by one.
+    A common shingle with weight one on both sides adds exactly 1 / (sum of the larger weights) to J_P; any other one adds
+    at most its share of either text's weight.  That gives a lower and an upper bound, equal where all weights are one.
+    Only pairs whose bounds leave it open, and whose texts are not connected yet, are summed term by term.
     """
     n = len(sets)
-    owner = np.repeat(np.arange(n), [len(h) for h, _ in sets])
-    values, column, df = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
-    weight = np.concatenate([w for _, w in sets]).astype(np.float32)
-    even = np.array([bool((w == 1).all()) for _, w in sets])
-    size = np.array([len(h) for h, _ in sets], float)
-    total = np.array([w.sum() for _, w in sets], float)
-    shared = df > 1
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    owner, column, weight = owner[keep], place[column[keep]], weight[keep]
-    common, mass = np.zeros((n, n)), np.zeros((n, n))
-    order = np.argsort(column, kind="stable")
-    owner, column, weight = owner[order], column[order], weight[order]
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(h) for h, _ in sets])
+    weight = np.concatenate([w for _, w in sets])
+    _, column, df = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    total = np.bincount(owner, weights=weight, minlength=n)
+    heavy = np.zeros(len(df), bool)
+    heavy[column[weight > 1]] = True
+    both = np.zeros((n, n))  # sums of the smaller weights over common shingles
+    light = (df > 1) & ~heavy
+    place = np.cumsum(light) - 1
+    keep = light[column]
+    rows, columns = owner[keep], place[column[keep]]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
     width = 2048
-    for start in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, (start, start + width))
+    for start in range(0, int(light.sum()), width):
+        a, b = np.searchsorted(columns, (start, start + width))
         one = np.zeros((n, width), np.float32)
-        one[owner[a:b], column[a:b] - start] = 1
-        common += one @ one.T
-        if not even.all():
-            heavy = np.zeros((n, width), np.float32)
-            heavy[owner[a:b], column[a:b] - start] = weight[a:b]
-            mass += heavy @ one.T
-    out = (common >= least * (size[:, None] + size[None, :] - common) - 1e-9) & even[:, None] & even[None, :]
-    if not even.all():
-        mass /= total[:, None]
-        bound = (mass >= least - 1e-6) & (mass.T >= least - 1e-6) & ~(even[:, None] & even[None, :])
-        for i, j in zip(*np.nonzero(np.triu(bound, 1))):
-            if not out[i, j] and probability_jaccard(*sets[i], *sets[j]) >= least - 1e-9:
+        one[rows[a:b], columns[a:b] - start] = 1
+        both += one @ one.T
+    ones, others = both.copy(), np.zeros((n, n))
+    keep = (heavy & (df > 1))[column]
+    order = np.argsort(column[keep], kind="stable")
+    rows, weights, columns = owner[keep][order], weight[keep][order], column[keep][order]
+    for a, b in zip(cuts := np.flatnonzero(np.diff(columns, prepend=-1)), [*cuts[1:], len(columns)]):
+        r, w = rows[a:b], weights[a:b].astype(float)
+        cell = np.ix_(r, r)
+        plain = np.logical_and.outer(w == 1, w == 1)
+        both[cell] += np.minimum.outer(w, w)
+        ones[cell] += plain
+        others[cell] += np.where(plain, 0, (w / total[r])[:, None])
+    low = ones / (total[:, None] + total[None, :] - both)
+    out = low >= least - 1e-9
+    open_ = ~out & (low + np.minimum(others, others.T) >= least - 1e-9)
+    if np.triu(open_, 1).any():
+        root = _forest(out)
+        for i, j in zip(*np.nonzero(np.triu(open_, 1))):
+            if root[i] != root[j] and probability_jaccard(*sets[i], *sets[j]) >= least - 1e-9:
                 out[i, j] = out[j, i] = True
+                root[root == root[j]] = root[i]
     return out
 
 
@@ -193,33 +204,45 @@ def _forest(similar: np.ndarray) -> np.ndarray:
 
 
 def _compare(tasks: DataFrame, least: float) -> DataFrame:
-    """Written (cluster, a, b): links that connect what is similar inside each (cluster, task)."""
+    """Written (cluster, a, b, main): links that connect what is similar inside each (cluster, task).
+
+    Where a task holds rows of the ``first`` block, the one of these with most similar ones among them is the same in all
+    tasks of the cluster; what is connected with it links to it directly, marked ``main``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, {}
+        key, held, lead = None, {}, set()
 
         def links() -> Iterator[pa.RecordBatch]:
             if len(held) < 2:
                 return
-            nodes = sorted(held)
-            root = _forest(_similar([held[x] for x in nodes], least))
-            own = np.arange(len(nodes))
-            nodes = np.array(nodes)
-            linked = root != own
+            nodes = np.array(sorted(held))
+            similar = _similar([held[x] for x in nodes.tolist()], least)
+            root = _forest(similar)
+            centre = -1
+            if lead:
+                of_first = np.array([x in lead for x in nodes.tolist()])
+                degree = np.where(of_first, (similar & of_first).sum(1), -1)
+                centre = int(degree.argmax())
+                root = np.where(root == root[centre], centre, root)
+            linked = root != np.arange(len(nodes))
             if linked.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(linked.sum()), key[0])), pa.array(nodes[linked]), pa.array(nodes[root[linked]])], ["cluster", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(linked.sum()), key[0])), pa.array(nodes[linked]), pa.array(nodes[root[linked]]),
+                                                  pa.array(root[linked] == centre)], ["cluster", "a", "b", "main"])
 
         for batch in batches:
-            for cluster, task, node, shingles, weights in zip(*(c.to_pylist() for c in batch.columns)):
+            for cluster, task, node, shingles, weights, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (cluster, task):
                     yield from links()
-                    key, held = (cluster, task), {}
+                    key, held, lead = (cluster, task), {}, set()
                 h = np.frombuffer(shingles, np.uint32)
                 held[node] = (h, np.frombuffer(weights, np.uint32) if weights else np.ones(len(h), np.uint32))
+                if first:
+                    lead.add(node)
         yield from links()
 
-    dealt = tasks.select("cluster", "task", "node", "shingles", "weights").repartition("cluster", "task").sortWithinPartitions("cluster", "task")
-    return written(dealt.mapInArrow(run, "cluster bigint, a bigint, b bigint"), "links")
+    dealt = tasks.select("cluster", "task", "node", "shingles", "weights", "first").repartition("cluster", "task").sortWithinPartitions("cluster", "task")
+    return written(dealt.mapInArrow(run, "cluster bigint, a bigint, b bigint, main boolean"), "links")
 
 
 def _shingle_table(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -252,50 +275,42 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``class_id`` is the smallest id of all documents in the class (null ids are passed over), ``class_size`` their number.
     """
     texts = representatives(docs, id_col, text_col)
-    clusters = written(components(candidate_links(texts)).select("node", F.col("root").alias("cluster")), "clusters")
-    members = clusters.join(texts.select("node", "digest", "id"), "node")
+    members = components(candidate_links(texts)).select("node", F.col("root").alias("cluster")).join(texts.select("node", "digest", "id"), "node")
     shingles = _shingle_table(docs, members, id_col, text_col)
-    sizes = shingles.groupBy("cluster").agg(F.countDistinct("node").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
-    blocks = written(sizes.select("cluster", F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)).cast("bigint").alias("blocks")), "blocks")
-    split = shingles.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    sizes = shingles.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    blocks = sizes.select("cluster", F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)).cast("bigint").alias("blocks"))
+    large = written(blocks.filter("blocks > 1"), "large")
+    split = (shingles.join(large, "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
+                     .withColumn("block", F.pmod(F.xxhash64("node"), "blocks")))
     tasks = F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).otherwise(F.array("block"))
-    first = _compare(split.withColumn("task", F.explode(tasks)), least)
-    large = blocks.filter("blocks > 1")
-    # A cluster of one block is done: its links are stars already.
-    done = first.join(large, "cluster", "left_anti").select("a", "b")
-    if large.isEmpty():
-        links = done
-    else:
-        begun = first.join(large, "cluster", "left_semi").select("a", "b")
-        second = _compare(_rest(shingles, large, components(begun)), least)
-        later = components(begun.unionByName(second.select("a", "b")))
-        links = done.unionByName(later.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    links = _compare(split.withColumn("first", (F.col("blocks") > 1) & (F.col("block") == 0)).withColumn("task", F.explode(tasks)), least)
+    if not large.isEmpty():
+        # A cluster of one block is done: its links are stars already.
+        second = _compare(_rest(shingles, large, links).withColumn("first", F.lit(False)), least)
+        begun = links.join(large, "cluster", "left_semi").unionByName(second).select("a", "b").distinct()
+        later = components(begun).filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        links = links.join(large, "cluster", "left_anti").select("a", "b").unionByName(later)
     roots = links.groupBy("a").agg(F.min("b").alias("root"))
     classed = texts.join(roots, F.col("node") == F.col("a"), "left").select("digest", "id", "copies", F.coalesce("root", "node").alias("class"))
-    classed = written(classed, "classed")
     per_class = classed.groupBy("class").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size"),
                                              F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("keep"))
-    return written(classed.join(per_class, "class").select("digest", "class", "class_id", "class_size", (F.col("digest") == F.col("keep.digest")).alias("keeps"), "id"), "classes")
-
-
-def _rest(shingles: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
-    """Tasks that compare the texts outside the largest class of a cluster with each other and with that class."""
-    placed = (shingles.join(large, "cluster").join(classes, "node", "left")
-                      .select("cluster", "node", "shingles", "weights", F.coalesce("root", "node").alias("root")))
-    tally = placed.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
-    main = tally.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    shares = (tally.join(main, "cluster").withColumn("out", F.col("root") != F.col("main")).groupBy("cluster", "main")
-                   .agg(*[F.ceil(F.greatest(F.sum(F.when(side, F.col("n"))) / BLOCK_TEXTS, F.sum(F.when(side, F.col("bytes"))) / BLOCK_BYTES)).cast("bigint").alias(name)
-                          for name, side in (("outer", F.col("out")), ("inner", ~F.col("out")))])
-                   .filter("outer is not null"))
-    shares = written(shares, "shares")
-    out = F.col("root") != F.col("main")
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.when(out, F.col("outer")).otherwise(F.col("inner")))
-    zero, width = F.lit(0).cast("bigint"), F.col("outer") + F.col("inner")
-    with_outer = F.transform(F.sequence(zero, F.col("outer") - 1), lambda j: F.least(j, F.col("block")) * width + F.greatest(j, F.col("block")))
-    with_inner = F.transform(F.sequence(zero, F.col("inner") - 1), lambda j: F.col("block") * width + F.col("outer") + j)
-    of_inner = F.transform(F.sequence(zero, F.col("outer") - 1), lambda i: i * width + F.col("outer") + F.col("block"))
-    tasks = F.when(out, F.concat(with_outer, with_inner)).otherwise(of_inner)
+    return classed.join(per_class, "class").select("digest", "class", "class_id", "class_size", (F.col("digest") == F.col("keep.digest")).alias("keeps"), "id")
+
+
+def _rest(shingles: DataFrame, large: DataFrame, links: DataFrame) -> DataFrame:
+    """Tasks that compare the texts outside the main class of a large cluster with each other and with that class."""
+    main = links.filter("main").select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("out", F.lit(False))
+    placed = (shingles.join(large, "cluster").join(main, "node", "left")
+                      .select("cluster", "node", "shingles", "weights", F.coalesce("out", F.lit(True)).alias("out")))
+    size = lambda side: F.ceil(F.greatest(F.count_if(side) / BLOCK_TEXTS, F.sum(F.when(side, F.octet_length("shingles")).otherwise(0)) / BLOCK_BYTES)).cast("bigint")
+    shares = placed.groupBy("cluster").agg(size(F.col("out")).alias("outer"), size(~F.col("out")).alias("inner")).filter(F.col("outer") > 0)
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("out"), F.col("outer")).otherwise(F.col("inner")))
+    upto = lambda n: F.filter(F.sequence(F.lit(0).cast("bigint"), n), lambda j: j < n)
+    width = F.col("outer") + F.col("inner")
+    with_outer = F.transform(upto(F.col("outer")), lambda j: F.least(j, F.col("block")) * width + F.greatest(j, F.col("block")))
+    with_inner = F.transform(upto(F.col("inner")), lambda j: F.col("block") * width + F.col("outer") + j)
+    of_inner = F.transform(upto(F.col("outer")), lambda i: i * width + F.col("outer") + F.col("block"))
+    tasks = F.when(F.col("out"), F.concat(with_outer, with_inner)).otherwise(of_inner)
     return placed.join(shares, "cluster").withColumn("block", block).withColumn("task", F.explode(tasks))
 
 
