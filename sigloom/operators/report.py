@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
@@ -134,11 +134,11 @@ def column_health(df: DataFrame, nullable: str, pair: tuple[str, str], flag: Col
 
 
 # --- tokens by corpus frequency -------------------------------------------------------------------
-def frequent_tokens(df: DataFrame, key: str, column: str, top: int = 3, stem: bool = True, salts: int = 16) -> DataFrame:
+def frequent_tokens(df: DataFrame, key: str, column: str, top: int = 3, stem: bool = True) -> DataFrame:
     """The first ``top`` tokens of each row by corpus frequency (ties by position, repeats kept).
 
-    A common word can be in a third of all rows, so the lookup joins on (word, salt): each frequency is
-    repeated once per salt and each row uses one salt.  The vocabulary is not assumed to fit a broadcast.
+    A common word can be in a third of all rows: the lookup is a plain join, which adaptive execution splits there, and
+    the vocabulary is not assumed to fit a broadcast.  The row-number limit keeps ``top`` tokens per row before the shuffle.
     """
     text = tx.normalize(F.col(column)) if stem else F.lower(F.col(column))
     base = df.select(key, text.alias("_t"))
@@ -146,9 +146,7 @@ def frequent_tokens(df: DataFrame, key: str, column: str, top: int = 3, stem: bo
     tokens = explode_once(base, [key], found, "word", "pos")
     once = explode_once(base, [], F.array_distinct(found), "word")
     counts = once.groupBy("word").agg(F.count("*").alias("n"))
-    spread = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = tokens.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    ranked = salted.join(spread, ["word", "_salt"]).groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "pos", "word"))).alias("_r"))
-    picked = [F.get(F.col("_r"), F.lit(i))["word"].alias(f"token{i + 1}") for i in range(top)]
-    return df.select(key).join(ranked.select(key, *picked), key, "left")
+    best = Window.partitionBy(key).orderBy(F.col("n").desc(), "pos")
+    first = tokens.join(counts, "word").withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= top)
+    ranked = first.groupBy(key).agg(*[F.max(F.when(F.col("_rn") == i + 1, F.col("word"))).alias(f"token{i + 1}") for i in range(top)])
+    return df.select(key).join(ranked, key, "left")
