@@ -22,8 +22,11 @@ KEEP_FROM = 0.3  # score from which a document stays
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, fitted on the labels of these documents, does not reject."""
     labels = training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.scored(docs, quality.fit(docs, labels), score_col="_quality_score")
-    return scored.filter(F.col("_quality_score") >= KEEP_FROM).select(*[F.col(f"`{c}`") for c in docs.columns])
+    score = "_quality_score"
+    while score in docs.columns:
+        score += "_"
+    scored = quality.scored(docs, quality.fit(docs, labels), score_col=score)
+    return scored.filter(F.col(score) >= KEEP_FROM).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
