@@ -10,52 +10,52 @@ from sigloom.operators.filters import qualified_count
 from sigloom.operators.ordering import ordered_position
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner equi-join where NULL equals NULL, so rows with a missing key are kept."""
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join where NULL equals NULL, so rows with a missing key are kept."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _with_group_counts(df: DataFrame, group: list[str], cls: str) -> DataFrame:
-    """Adds rows per (group, class), rows per group and classes per group.
+def _with_group_counts(df: DataFrame, group: list[str], cls: str, among: Column | None = None) -> DataFrame:
+    """Adds rows per (group, class), rows per group and classes per group, counted ``among`` some rows if given.
 
     Counts are aggregated first (partial sums on every task) and joined back, so a group that holds a third
     of the table is never gathered in one task as a window over it would do.
     """
-    cells = df.groupBy(*group, cls).agg(F.count("*").alias("_nc"))
+    cells = (df if among is None else df.filter(among)).groupBy(*group, cls).agg(F.count("*").alias("_nc"))
     if not group:
         totals = cells.agg(F.struct(F.sum("_nc").alias("n"), F.count("*").alias("k"))).scalar()
         cells = cells.withColumn("_t", totals).withColumns({"_n": F.col("_t.n"), "_k": F.col("_t.k")}).drop("_t")
     else:
         cells = _join_null_safe(cells, cells.groupBy(*group).agg(F.sum("_nc").alias("_n"), F.count("*").alias("_k")), group)
-    return _join_null_safe(df, cells, [*group, cls])
+    return _join_null_safe(df, cells, [*group, cls], "inner" if among is None else "left")
 
 
-def class_share(df: DataFrame, group: list[str], cls: str, out: str = "share") -> DataFrame:
+def class_share(df: DataFrame, group: list[str], cls: str, out: str = "share", among: Column | None = None) -> DataFrame:
     """p(class | group) on every row."""
-    return _with_group_counts(df, group, cls).withColumn(out, F.col("_nc") / F.col("_n")).drop("_nc", "_n", "_k")
+    return _with_group_counts(df, group, cls, among).withColumn(out, F.col("_nc") / F.col("_n")).drop("_nc", "_n", "_k")
 
 
-def balanced_weight(df: DataFrame, group: list[str], cls: str, out: str = "weight") -> DataFrame:
+def balanced_weight(df: DataFrame, group: list[str], cls: str, out: str = "weight", among: Column | None = None) -> DataFrame:
     """n / (classes * rows of the class), inside each group."""
     w = F.col("_n") / (F.col("_k") * F.col("_nc"))
-    return _with_group_counts(df, group, cls).withColumn(out, w).drop("_nc", "_n", "_k")
+    return _with_group_counts(df, group, cls, among).withColumn(out, w).drop("_nc", "_n", "_k")
 
 
 def sample_weights(df: DataFrame, method: str, qualified: list[str], shown: str = "shown", conversion: str = "conversion",
                    positive_scale: float = 1.0, not_shown_scale: float = 1.0, non_choiceable_scale: float = 1.0,
-                   not_shown: str = fv.NOT_SHOWN, out: str = "weight") -> DataFrame:
-    """Methods: per_qualification_set, by_labels, none, only_pos, ivp."""
+                   not_shown: str = fv.NOT_SHOWN, out: str = "weight", among: Column | None = None) -> DataFrame:
+    """Methods: per_qualification_set, by_labels, none, only_pos, ivp.  With ``among`` other rows neither count nor get a weight."""
     is_positive = F.col(conversion) == 1
     positive = F.when(is_positive, positive_scale).otherwise(1.0)
     if method == "per_qualification_set":
-        df = balanced_weight(df, qualified, shown, "_w")
+        df = balanced_weight(df, qualified, shown, "_w", among)
         weight = F.col("_w") * positive * F.when(F.col(shown) == not_shown, not_shown_scale).otherwise(1.0)
     elif method == "by_labels":
-        df = balanced_weight(df, [], conversion, "_w")
+        df = balanced_weight(df, [], conversion, "_w", among)
         weight = F.col("_w") * positive
     elif method == "ivp":
-        df = class_share(df, qualified, shown, "_w")
+        df = class_share(df, qualified, shown, "_w", among)
         weight = 1 / F.col("_w") * positive
     elif method == "none":
         weight = F.lit(1.0)
@@ -64,7 +64,8 @@ def sample_weights(df: DataFrame, method: str, qualified: list[str], shown: str
     else:
         raise ValueError(f"unknown weight method: {method}")
     scale = F.when(qualified_count(qualified) <= 1, non_choiceable_scale).otherwise(1.0)
-    return df.withColumn(out, weight * scale).drop("_w")
+    full = weight * scale
+    return df.withColumn(out, full if among is None else F.when(among, full)).drop("_w")
 
 
 # --- encoding --------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sigloom.operators import filters as flt
 from sigloom.operators import sampling, uplift
@@ -23,10 +24,11 @@ def training_table(df: DataFrame, qualified: list[str], fraction: float = 0.8, s
     rows = rows.withColumn("label", uplift.composite_label())
     split = sampling.split_by_time(rows, time, [row_key], fraction) if split_by == "time" else \
         sampling.split_by_key(rows, split_by, fraction, seed)
-    train, test = split.filter("role = 'train'"), split.filter("role = 'test'")
+    train = F.col("role") == "train"
     if only_converted:
-        train = flt.converted_rows(train)
+        split = split.filter(~train | (F.col("conversion") == 1))
     elif negatives_per_positive is not None:
-        train = sampling.keep_positives(train, [row_key], "conversion", negatives_per_positive, seed)
-    weighted = uplift.sample_weights(train, method, qualified, positive_scale=positive_scale)
-    return weighted.unionByName(test, allowMissingColumns=True)
+        kept = sampling.keep_positives(split.filter(train), [row_key], "conversion", negatives_per_positive, seed)
+        split = kept.unionByName(split.filter(~train))
+    # One frame for both parts: weights are counted among the training rows and joined to them.
+    return uplift.sample_weights(split, method, qualified, positive_scale=positive_scale, among=train)

@@ -180,13 +180,14 @@ def _(b):
 @query("plan_09_uplift_table", f"""with kept as (select * from v_uplift where shown <> 'nsh' and qual_a + qual_b + qual_c > 1),
   t as (select *, row_number() over (order by ts, md5(concat(event_id, '-0')), event_id) - 1 as pos, count(*) over () as total from kept),
   tr as (select * from t where pos < floor(total * 0.8::double))
-  select event_id, coalesce(feature, 0) as feature, shown || ',' || conversion as label, round(count(*) over (partition by qual_a, qual_b, qual_c)
+  select event_id, coalesce(feature, 0) as feature, shown || ',' || conversion as label, 'test' as role, null::double as weight from t where pos >= floor(total * 0.8::double)
+  union all select event_id, coalesce(feature, 0) as feature, shown || ',' || conversion as label, 'train' as role, round(count(*) over (partition by qual_a, qual_b, qual_c)
     / ((select count(distinct shown) from tr u where u.qual_a = tr.qual_a and u.qual_b = tr.qual_b and u.qual_c = tr.qual_c) * count(*) over (partition by qual_a, qual_b, qual_c, shown))::double
     * case when conversion = 1 then 2.0::double else 1 end, 9) as weight from tr""")
 def _(b):
     from sigloom.plans.uplift import training_table
     out = training_table(b.v_uplift, QUALS, fraction=0.8, drop_not_shown=True, only_choiceable=True, categorical=["shown"], positive_scale=2.0)
-    return out.filter("role = 'train'").select("event_id", "feature", "label", F.round("weight", 9).alias("weight"))
+    return out.select("event_id", "feature", "label", "role", F.round("weight", 9).alias("weight"))
 
 
 # --- annotators -------------------------------------------------------------------------------------
