@@ -38,16 +38,14 @@ def exact_match(signal: Column, text: Column) -> Column:
     return F.contains(tx.squeeze(F.lower(text)), tx.squeeze(F.lower(signal)))
 
 
-def end_pairs(words: Column) -> Column:
-    """For every ordered pair of word positions: struct(head, tail, rest), rest being the other words sorted."""
-    at = F.sequence(F.lit(1), F.size(words))
+def _left_over(words: Column, taken: Column) -> Column:
+    """Words of a sorted list that remain after taking another sorted list out of it; NULL if some were not there."""
+    def step(state: Column, w: Column) -> Column:
+        used = F.coalesce(F.get(taken, state["at"]) == w, F.lit(False))
+        return F.struct((state["at"] + used.cast("int")).alias("at"), F.when(used, state["rest"]).otherwise(F.array_append(state["rest"], w)).alias("rest"))
 
-    def pair(i: Column, j: Column) -> Column:
-        rest = F.filter(words, lambda w, p: (p + 1 != i) & (p + 1 != j))
-        return F.struct(F.get(words, i - 1).alias("head"), F.get(words, j - 1).alias("tail"), F.sort_array(rest).alias("rest"))
-
-    pairs = F.flatten(F.transform(at, lambda i: F.transform(F.filter(at, lambda j: j != i), lambda j: pair(i, j))))
-    return F.array_distinct(pairs)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("rest"))
+    return F.aggregate(words, begin, step, lambda state: F.when(state["at"] == F.size(taken), state["rest"]))
 
 
 def permutation_match(signal_words: Column, text_words: Column) -> Column:
@@ -64,12 +62,16 @@ def _permuted(v: Column) -> Column:
     k, n = F.size(words), F.size(text)
     possible = F.forall(words, lambda w: F.contains(v["joined"], w))  # cheap and almost always false
 
-    def fits(i: Column, pairs: Column) -> Column:
+    def fits(i: Column, ordered: Column) -> Column:
         first, last = F.get(text, i), F.get(text, i + k - 1)
-        return F.exists(pairs, lambda p: first.endswith(p["head"]) & last.startswith(p["tail"])
-                        & (F.sort_array(F.slice(text, i + 2, k - 2)) == p["rest"]))
-
-    some_window = tx.let(end_pairs(words), lambda pairs: F.exists(F.sequence(F.lit(0), n - k), lambda i: fits(i, pairs)))
+        ends = lambda rest: F.coalesce((F.size(rest) == 2) & (
+            (first.endswith(F.get(rest, F.lit(0))) & last.startswith(F.get(rest, F.lit(1))))
+            | (first.endswith(F.get(rest, F.lit(1))) & last.startswith(F.get(rest, F.lit(0))))), F.lit(False))
+        likely = F.exists(ordered, lambda w: first.endswith(w)) & F.exists(ordered, lambda w: last.startswith(w))
+        inner = F.sort_array(F.slice(text, i + 2, k - 2))
+        return F.when(likely, tx.let(_left_over(ordered, inner), ends)).otherwise(F.lit(False))
+
+    some_window = tx.let(F.sort_array(words), lambda ordered: F.exists(F.sequence(F.lit(0), n - k), lambda i: fits(i, ordered)))
     return (F.when(k == 0, F.lit(True)).when(~possible, F.lit(False)).when(k == 1, F.lit(True))
              .when(n < k, F.lit(False)).otherwise(some_window))
 
