@@ -7,56 +7,90 @@ the stream at multiples of the window.  A document that crosses a cut gives one
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import PIECE_BYTES, pieces, written
+from sigloom.llm.common import PIECE_BYTES, pieces, worker_store, written
 
 WINDOW = 4096
 END_ID = 2
-CACHE_ENTRIES = 400_000  # chunks whose ids a task remembers; only speed depends on it
+CACHE_ENTRIES = 800_000  # chunks and words whose ids a worker remembers; only speed depends on it
+TEXT_BYTES = 8 << 20  # text encoded at once
 
 IDS_SCHEMA = "part int, before bigint, n bigint, ids binary, id bigint"
 PIECE_SCHEMA = "id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    No token of this vocabulary reaches over white space (its pattern has no white space and its merges stay inside a
-    word), so a text's ids are those of its chunks between ASCII white space, in order.  Chunks come back often and are
-    remembered; the tokenizer itself encodes every chunk.
+    No token of this vocabulary reaches over white space (its pattern has none and its merges stay inside a word), so a
+    text's ids are those of its chunks between ASCII white space, in order.  Chunks come back often: a piece of text is
+    reduced to its distinct chunks, and what was encoded before is remembered.  A chunk of plain letters, digits and
+    symbols falls into the vocabulary's words, which are encoded many at a time; each of them ends in a word-end token.
+    Every other chunk goes to the tokenizer as it is.
     """
 
+    LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"  # Latin-1 letters in UTF-8: nothing to normalise
+    SYMBOLS = rb"[!-&(-/:-@\[-`{-~]+"  # ASCII without the apostrophe, which may begin a contraction
+    TOGETHER = 500
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        out = []
-        known = self.known
-        for text in texts:
-            chunks = text.split()  # bytes: splits at ASCII white space only
-            try:
-                out.append(b"".join([known[c] for c in chunks]))
-            except KeyError:
-                self._learn(set(chunks))
-                known = self.known
-                out.append(b"".join([known[c] for c in chunks]))
-        return out
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        new = [c for c in chunks if c not in self.known]
+        self.words, self.others = worker_store(f"words of {path}"), worker_store(f"other chunks of {path}")
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.word = re.compile(self.LETTERS + rb"|[0-9]|" + self.SYMBOLS)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        marked = pc.any(pc.match_substring(texts, "<|")).as_py()  # special tokens depend on case
+        split = pc.ascii_split_whitespace(texts if marked else pc.ascii_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        ids = self._of_chunks(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        length = sizes[at]
+        before = np.cumsum(length) - length
+        out = flat[np.repeat(start[at] - before, length) + np.arange(int(length.sum()))]
+        ends = np.append(before, len(out))[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return out, np.diff(ends)
+
+    def _of_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        known, others = self.words, self.others
+        for store in (known, others):
+            if len(store) > CACHE_ENTRIES:
+                store.clear()
+        plain = list(map(self.word.findall, chunks))
+        for i, (c, ws) in enumerate(zip(chunks, plain)):
+            if sum(map(len, ws)) != len(c) or b"<|" in c:
+                plain[i] = None
+        self._learn_words(list({w for ws in plain if ws for w in ws if w not in known}))
+        new = [c for c, ws in zip(chunks, plain) if ws is None and c not in others]
         for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
-            self.known[c] = np.asarray(e.ids, "<u4").tobytes()
+            others[c] = np.asarray(e.ids, "<u4").tobytes()
+        return [others[c] if ws is None else known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for c, ws in zip(chunks, plain)]
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), self.TOGETHER):
+            group = words[i:i + self.TOGETHER]
+            ids = np.asarray(self.tokenizer.encode(b" ".join(group).decode(), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(group):
+                raise ValueError("this vocabulary does not close every word with a word-end token")
+            for w, a, b in zip(group, [0, *stops], stops):
+                self.words[w] = ids[a:b].tobytes()
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
@@ -66,16 +100,17 @@ def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # cores belong to Spark's tasks
         encoder, part, before = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            for piece in pieces(batch, "text", PIECE_BYTES):
-                texts = piece.column(1).fill_null("").cast(pa.binary()).to_pylist()
-                ids = [x + end for x in encoder.encode(texts)]
-                n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            for piece in pieces(batch, "text", TEXT_BYTES):
+                flat, n = encoder.encode(piece.column(1))
+                ids = np.insert(flat, np.cumsum(n), end_id).astype("<u4")
+                n = n + 1
                 first = before + np.cumsum(n) - n
                 before += int(n.sum())
+                offsets = np.concatenate(([0], np.cumsum(n))) * 4
+                packed_ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int32)), pa.array(first), pa.array(n), pa.array(ids, pa.binary()), piece.column(0)],
+                    [pa.array(np.full(len(n), part, np.int32)), pa.array(first), pa.array(n), packed_ids.cast(pa.binary()), piece.column(0)],
                     ["part", "before", "n", "ids", "id"])
 
     narrow = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
