@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import new_path
+from sigloom.llm.common import new_path, written
 
 FIRST_DIGIT = 64
 GROWTH = 64
@@ -44,9 +44,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         content = F.coalesce(F.col("body"), F.lit("")).cast("binary")
         placed = (rows.withColumn("path", F.substring(content, 1, path_bytes))
                       .withColumn("ended", F.octet_length(content) <= path_bytes))
-        cells = (placed.groupBy("path", "ended").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
-                       .filter(F.col("n") > 1))
-        found = placed.join(cells, ["path", "ended"], "left")
+        # Written, so that the join deals out both sides itself and can split the rows of a hot group over tasks.
+        cells = written(placed.groupBy("path", "ended").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+                              .filter(F.col("n") > 1), "cells")
+        found = placed.join(cells.hint("merge"), ["path", "ended"], "left")  # the same plan at every size
         alone = F.col("n").isNull()
         open_ = ~alone & ~F.col("ended")
         body = F.col("body") if with_text else F.when(open_, F.col("body"))
