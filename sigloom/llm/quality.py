@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sigloom.llm.common import pieces
 
@@ -113,16 +114,18 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", score_c
     if model is None:
         return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(0.5).alias(score_col))
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
+    # Plain names inside: a name with a dot cannot pass through mapInArrow.
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    text = f"c{kept.index(text_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = _Sizes(model.good, model.bad)
         mean, scale, w = np.array(model.mean), np.array(model.scale), np.array(model.weights)
         for batch in batches:
-            for piece in pieces(batch, text_col):
-                texts = piece.column(piece.schema.get_field_index(text_col)).fill_null("").cast(pa.binary()).to_pylist()
+            for piece in pieces(batch, text):
+                texts = piece.column(piece.schema.get_field_index(text)).fill_null("").cast(pa.binary()).to_pylist()
                 x = (np.array([sizes.features(t) for t in texts]) - mean) / scale
                 score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(score)], [*piece.schema.names, score_col])
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(score)], [*piece.schema.names, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema.add(score_col, "double"))
+    return inner.mapInArrow(run, StructType([*inner.schema.fields, StructField("score", DoubleType())])).toDF(*kept, score_col)
