@@ -140,12 +140,13 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     return float(total)
 
 
-def _similar(sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndarray:
+def _similar(sets: list[tuple[np.ndarray, np.ndarray]], least: float, lead: np.ndarray | None = None) -> np.ndarray:
     """Pairs of the given texts as a boolean matrix: its connected parts are those of all pairs that reach the similarity.
 
     A common shingle with weight one on both sides adds exactly 1 / (sum of the larger weights) to J_P; any other one adds
     at most its share of either text's weight.  That gives a lower and an upper bound, equal where all weights are one.
-    Only pairs whose bounds leave it open, and whose texts are not connected yet, are summed term by term.
+    Only pairs whose bounds leave it open, and whose texts are not connected yet, are summed term by term.  Pairs inside
+    ``lead`` (flags) come first and are settled among themselves, so the parts of ``lead`` alone do not depend on the others.
     """
     n = len(sets)
     owner = np.repeat(np.arange(n, dtype=np.int32), [len(h) for h, _ in sets])
@@ -181,12 +182,15 @@ def _similar(sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndar
     low = ones / (total[:, None] + total[None, :] - both)
     out = low >= least - 1e-9
     open_ = ~out & (low + np.minimum(others, others.T) >= least - 1e-9)
-    if np.triu(open_, 1).any():
-        root = _forest(out)
-        for i, j in zip(*np.nonzero(np.triu(open_, 1))):
-            if root[i] != root[j] and probability_jaccard(*sets[i], *sets[j]) >= least - 1e-9:
-                out[i, j] = out[j, i] = True
-                root[root == root[j]] = root[i]
+    open_ = np.triu(open_, 1)
+    among = np.zeros((n, n), bool) if lead is None else np.logical_and.outer(lead, lead)
+    for part, within in ((open_ & among, among), (open_ & ~among, True)):
+        if part.any():
+            root = _forest(out & within)
+            for i, j in zip(*np.nonzero(part)):
+                if root[i] != root[j] and probability_jaccard(*sets[i], *sets[j]) >= least - 1e-9:
+                    out[i, j] = out[j, i] = True
+                    root[root == root[j]] = root[i]
     return out
 
 
@@ -206,8 +210,8 @@ def _forest(similar: np.ndarray) -> np.ndarray:
 def _compare(tasks: DataFrame, least: float) -> DataFrame:
     """Written (cluster, a, b, main): links that connect what is similar inside each (cluster, task).
 
-    Where a task holds rows of the ``first`` block, the one of these with most similar ones among them is the same in all
-    tasks of the cluster; what is connected with it links to it directly, marked ``main``.
+    Where a task holds rows of the ``first`` block, the smallest text of the largest part of these rows alone is its centre,
+    the same in all tasks of the cluster; what is connected with it links to it directly, marked ``main``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,13 +221,13 @@ def _compare(tasks: DataFrame, least: float) -> DataFrame:
             if len(held) < 2:
                 return
             nodes = np.array(sorted(held))
-            similar = _similar([held[x] for x in nodes.tolist()], least)
+            of_first = np.array([x in lead for x in nodes.tolist()])
+            similar = _similar([held[x] for x in nodes.tolist()], least, of_first)
             root = _forest(similar)
             centre = -1
             if lead:
-                of_first = np.array([x in lead for x in nodes.tolist()])
-                degree = np.where(of_first, (similar & of_first).sum(1), -1)
-                centre = int(degree.argmax())
+                alone = _forest(similar[np.ix_(of_first, of_first)])
+                centre = int(np.flatnonzero(of_first)[np.bincount(alone).argmax()])
                 root = np.where(root == root[centre], centre, root)
             linked = root != np.arange(len(nodes))
             if linked.any():

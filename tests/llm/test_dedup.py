@@ -84,6 +84,23 @@ def test_near_classes(spark, monkeypatch, block):
     assert all(r.class_size == len(classes[r.class_id]) and r.class_id == min(classes[r.class_id]) for r in got)
 
 
+def test_main_class_is_the_same_in_all_tasks(spark):
+    import numpy as np
+    rows = []
+    for cluster in range(12):  # two neighbouring families of texts that repeat their lines, in three blocks
+        rng = random.Random(cluster)
+        for node in range(36):
+            first = 2 * (node % 2)
+            base = random.Random(100 * cluster + node % 2)
+            weights = [max(1, base.randrange(2, 6) + (rng.choice((-1, 1)) if rng.random() < 0.3 else 0)) for _ in range(20)]
+            block = rng.randrange(3)
+            text = [np.arange(first, first + 20, dtype=np.uint32).tobytes(), np.array(weights, np.uint32).tobytes()]
+            rows += [(cluster, task, node, *map(bytearray, text), block == 0) for task in (range(3) if block == 0 else [block])]
+    tasks = spark.createDataFrame(rows, "cluster bigint, task bigint, node bigint, shingles binary, weights binary, first boolean")
+    centres = near._compare(tasks, 0.8).filter("main").groupBy("cluster").agg(F.count_distinct("b").alias("n")).collect()
+    assert [r.n for r in centres] == [1] * 12
+
+
 def test_near_awkward(spark):
     df = awkward(spark)
     got = sorted(((r.id, r.class_id, r.class_size) for r in near.near_classes(clashing(df)).collect()), key=repr)
