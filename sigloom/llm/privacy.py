@@ -70,31 +70,32 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written table of all documents: uid, id, one array of spans per kind, and the text where there is any span."""
+    """Written table of all documents: uid, id, one array of spans per kind, and the text and its digest where there is any span."""
     body = F.coalesce(F.col("body"), F.lit(""))
     kinds = base_spans(body)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("body"))
     boxed = rows.select("id", "body", F.array(F.struct(*[c.alias(k) for k, c in kinds.items()])).alias("box"))
     marked = boxed.select("id", "body", F.inline("box"))  # behind a generator, so that the patterns run once
     some = sum((F.size(k) for k in KINDS), F.lit(0)) > 0
-    return written(marked.select(F.monotonically_increasing_id().alias("uid"), "id", *KINDS, F.when(some, F.col("body")).alias("body")), "spans")
+    digest = F.unhex(F.substring(F.sha2("body", 256), 1, 32))
+    return written(marked.select(F.monotonically_increasing_id().alias("uid"), "id", *KINDS, F.when(some, F.col("body")).alias("body"), F.when(some, digest).alias("digest")), "spans")
 
 
 def _entities(marked: DataFrame) -> DataFrame:
-    """One row per found value: uid, entity (kind and value), context (the text on either side)."""
+    """One row per found value: uid, digest, entity (kind and value), context (the text on either side)."""
     def named(kind: str) -> Column:
         value = F.lower if kind in ("email", "ip") else _digits
         return F.transform(kind, lambda s: F.struct(F.concat(F.lit(f"{kind}:"), value(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
 
     values = F.concat(*map(named, KINDS))
-    rows = marked.filter("body is not null").select("uid", "body", F.explode(values).alias("e"))
+    rows = marked.filter("body is not null").select("uid", "digest", "body", F.explode(values).alias("e"))
     first = F.greatest(F.col("e.start") - CONTEXT_CHARS, F.lit(0))
     left = F.substring("body", first + 1, F.col("e.start") - first)
     right = F.substring("body", F.col("e.end") + 1, F.lit(CONTEXT_CHARS))
     # The outermost word on a side may be cut, so it does not count.
     left = F.when(first > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
     right = F.when(F.length(right) == CONTEXT_CHARS, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-    return rows.select("uid", F.col("e.entity").alias("entity"), F.lower(F.concat(left, F.lit(" | "), right)).alias("context"))
+    return rows.select("uid", "digest", F.col("e.entity").alias("entity"), F.lower(F.concat(left, F.lit(" | "), right)).alias("context"))
 
 
 def _share(of_term: Column) -> Column:
@@ -107,23 +108,25 @@ def _share(of_term: Column) -> Column:
 def disclosing(docs: DataFrame, entities: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """(entity, term, share) of all terms that disclose at least ``disclosed`` of an entity.
 
-    Copies of a context count once.  Terms are counted over the documents of the whole corpus.
+    Copies of a context count once.  Everything a share is made of is counted in distinct texts: copies of a text count
+    once, for the value as for the term and the corpus.
     """
-    contexts = entities.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("copies"))
-    terms_of = F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))).alias("term")
-    words = contexts.select("entity", terms_of)
-    per_entity = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))  # one row
-    # Documents in whose contexts a term stands: no more than hold it at all, so the share counted with them is the
+    body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    terms_of = lambda text: F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term")
+    places = entities.select("digest", "entity", "context", terms_of("context"))
+    words = (places.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts")).filter(F.col("contexts") >= support)
+                   .join(places.select("entity", "term", "digest").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), ["entity", "term"]))
+    per_entity = entities.select("entity", "digest").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
+    digest = F.unhex(F.substring(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256), 1, 32)).alias("digest")
+    total = docs.select(digest).distinct().agg(F.count(F.lit(1)).alias("total"))  # one row
+    # Texts in whose contexts a term stands: no more than hold it at all, so the share counted with them is the
     # highest possible and rules out the common words before the corpus is counted.
-    seen = entities.select("uid", terms_of).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
-    possible = (words.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
-                     .join(per_entity, "entity").join(seen, "term").withColumn("total", total.scalar()))
+    seen = places.select("digest", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    possible = words.drop("contexts").join(per_entity, "entity").join(seen, "term").withColumn("total", total.scalar())
     pairs = written(possible.filter(_share(F.col("seen")) >= disclosed).drop("seen"), "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
-    body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    corpus = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)))).alias("term"))
-    per_term = corpus.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
+    corpus = docs.select(digest, terms_of(body))
+    per_term = corpus.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
     rated = pairs.join(per_term, "term")
     return rated.select("entity", "term", _share(F.col("of_term")).alias("share")).filter(F.col("share") >= disclosed)
 
@@ -148,7 +151,7 @@ def protected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     entities = _entities(marked)
     terms = written(disclosing(docs, entities, text_col, support, disclosed), "disclosing")
     extra = term_spans(marked, entities, terms)
-    return marked.join(extra, "uid", "left").withColumn("term", F.coalesce("term", F.array().cast(SPAN))).drop("uid")
+    return marked.join(extra, "uid", "left").withColumn("term", F.coalesce("term", F.array().cast(SPAN))).drop("uid", "digest")
 
 
 def as_text(*kinds: str) -> Column:

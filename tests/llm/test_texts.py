@@ -87,6 +87,13 @@ def test_disclosing_terms(spark):
     assert clean[0] == "filler0 words here  writes from [email] about topic0 and the weather number0" and clean[100] is None
 
 
+def test_disclosing_terms_with_copies(spark):
+    secret = [(i, f"filler{i} words here zorbanix writes from jo@corp.example about topic{i} and the weather number{i}", "en", "s", 0) for i in range(3)] * 20
+    noise = [(100 + i, f"the weather and words about filler{i} here from topic{i} writes number{i}", "en", "s", 0) for i in range(300)]
+    spanned = privacy.protected(spark.createDataFrame(secret + noise, SCHEMA)).collect()
+    assert all([s.value for s in r.term] == (["zorbanix"] if r.id < 3 else []) for r in spanned) and len(spanned) == 360
+
+
 def test_personal_data_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op9_personal_data"](spark, SF).collect():
