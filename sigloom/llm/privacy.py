@@ -1,10 +1,10 @@
 """Personal data: patterns first, then terms that give a protected value away.
 
-Patterns find e-mail addresses, IP addresses, card and phone numbers.  For every found value the words around it are
-counted over the whole corpus.  By pointwise mutual information a word tells as many bits about a value as knowing the
+Patterns find e-mail addresses, IP addresses, card and phone numbers.  For every found value the words of the
+texts that hold it are counted over the whole corpus.  By pointwise mutual information a word tells as many bits about a value as knowing the
 word makes the value likelier; measured against the information content of the value itself (the bits needed to name
 it), that is the share of the secret that the word discloses.  Words that disclose at least ``DISCLOSED`` of a value in
-at least ``SUPPORT`` different contexts are marked in the documents that hold the value.  DataFrame operations only.
+at least ``SUPPORT`` different contexts of the value are marked in the documents that hold the value.  DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from sigloom.llm.common import written
 from sigloom.llm.spans import SPAN, listed, spans
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT_CHARS = 60  # looked at on either side of a value
+CONTEXT_CHARS = 60  # on either side of a value: tells its contexts apart; terms come from the whole text
 SUPPORT = 3
 DISCLOSED = 0.8
-MIN_TERM = 3
+MIN_TERM = 2
 
 _DIGIT = listed("0-9")
 _WORD = listed("A-Z", "a-z", "0-9")
@@ -31,7 +31,7 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_HOST}++(?:\.{_HOST}++)++"
 IP = rf"(?<![{_DIGIT}])[{_DIGIT}]++\.[{_DIGIT}]++\.[{_DIGIT}]++\.[{_DIGIT}]++"
 CARD = rf"[{_DIGIT}](?:[{listed(' -')}]?[{_DIGIT}]){{15,}}+"
 PHONE = rf"\+[{_DIGIT}][{listed(' ().-', '0-9')}]+[{_DIGIT}]"
-TERM = rf"\p{{L}}{{{MIN_TERM},}}+"
+TERM = rf"[\p{{L}}\p{{N}}]{{{MIN_TERM},}}+"
 
 
 def _digits(value: Column) -> Column:
@@ -105,27 +105,45 @@ def _share(of_term: Column) -> Column:
     return F.when(secret > 0, told / secret)
 
 
-def disclosing(docs: DataFrame, entities: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
+def _told_apart(entities: DataFrame, support: int) -> DataFrame:
+    """(entity, of_entity) with the number of distinct texts, of values in at least ``support`` different contexts: no other one can have a term."""
+    distinct = entities.select("entity", "digest", "context").distinct()
+    contexts = distinct.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= support)
+    texts = distinct.select("entity", "digest").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
+    return contexts.join(texts, "entity").select("entity", "of_entity")
+
+
+def disclosing(docs: DataFrame, marked: DataFrame, entities: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """(entity, term, share) of all terms that disclose at least ``disclosed`` of an entity.
 
-    Copies of a context count once.  Everything a share is made of is counted in distinct texts: copies of a text count
-    once, for the value as for the term and the corpus.
+    Terms are taken from the whole texts that hold a value, outside the values themselves.  Copies of a context count
+    once.  Everything a share is made of is counted in distinct texts: copies of a text count once, for the value as for
+    the term and the corpus.
     """
-    body = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    terms_of = lambda text: F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))).alias("term")
-    places = entities.select("digest", "entity", "context", terms_of("context"))
-    words = (places.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts")).filter(F.col("contexts") >= support)
-                   .join(places.select("entity", "term", "digest").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), ["entity", "term"]))
-    per_entity = entities.select("entity", "digest").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
+    listed_terms = lambda text: F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    terms_of = lambda text: F.explode(listed_terms(text)).alias("term")
+    per_entity = written(_told_apart(entities, support), "entities")
+    held = written(entities.join(per_entity, "entity").select("digest", "entity", "context", "of_entity").distinct().withColumn("near", listed_terms("context")), "held")
+    values = F.array_distinct(F.flatten(F.array(*[F.transform(k, lambda s: s["value"]) for k in KINDS])))
+    apart = F.regexp_replace("body", F.concat(F.lit("\\Q"), F.array_join(values, "\\E|\\Q"), F.lit("\\E")), F.lit(" | "))
+    texts = marked.filter("body is not null").join(held.select("digest").distinct(), "digest", "left_semi")
+    words = written(texts.select("digest", terms_of(apart)).distinct(), "words")
     digest = F.unhex(F.substring(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256), 1, 32)).alias("digest")
     total = docs.select(digest).distinct().agg(F.count(F.lit(1)).alias("total"))  # one row
-    # Texts in whose contexts a term stands: no more than hold it at all, so the share counted with them is the
-    # highest possible and rules out the common words before the corpus is counted.
-    seen = places.select("digest", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
-    possible = words.drop("contexts").join(per_entity, "entity").join(seen, "term").withColumn("total", total.scalar())
-    pairs = written(possible.filter(_share(F.col("seen")) >= disclosed).drop("seen"), "pairs")
+    # A term cannot stand in fewer texts than those in which it was seen here, and it tells most if it stands in every text
+    # of an entity: what is too common even for the most frequent entity is ruled out before terms meet entities.
+    most = per_entity.agg(F.max("of_entity").alias("of_entity"))
+    seen = words.groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    bound = seen.withColumns({"total": total.scalar(), "of_entity": most.scalar()}).withColumn("both", F.least("of_entity", "seen"))
+    rare = bound.filter(F.coalesce(_share(F.col("seen")), F.lit(1.0)) >= disclosed).select("term", "seen", "total")
+    places = words.join(rare, "term").join(held, "digest").withColumn("beside", F.when(F.array_contains("near", F.col("term")), F.col("context"))).drop("near")
+    # Support: contexts that hold the term, or else contexts in as many texts that hold it anywhere.
+    whole = places.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("beside").alias("beside"), F.count_distinct("digest").alias("both"),
+                                              F.min("seen").alias("seen"), F.min("total").alias("total"), F.min("of_entity").alias("of_entity"))
+    enough = (F.col("beside") >= support) | (F.least("contexts", "both") >= support)
+    pairs = written(whole.filter(enough & (_share(F.col("seen")) >= disclosed)).drop("seen", "contexts", "beside"), "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
-    corpus = docs.select(digest, terms_of(body))
+    corpus = docs.select(digest, terms_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
     per_term = corpus.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
     rated = pairs.join(per_term, "term")
     return rated.select("entity", "term", _share(F.col("of_term")).alias("share")).filter(F.col("share") >= disclosed)
@@ -136,7 +154,7 @@ def term_spans(marked: DataFrame, entities: DataFrame, terms: DataFrame) -> Data
     per_doc = (entities.select("uid", "entity").distinct().join(terms, "entity")
                        .groupBy("uid").agg(F.array_sort(F.collect_set("term")).alias("terms")))
     rows = per_doc.join(marked.filter("body is not null"), "uid")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("terms", "|"), F.lit(r")(?![\p{L}\p{N}])"))
     apart = lambda s: ~F.exists(F.concat(*KINDS), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     return rows.select("uid", F.filter(spans(F.col("body"), pattern), apart).alias("term"))
 
@@ -149,7 +167,7 @@ def protected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     marked = found(docs, id_col, text_col)
     entities = _entities(marked)
-    terms = written(disclosing(docs, entities, text_col, support, disclosed), "disclosing")
+    terms = written(disclosing(docs, marked, entities, text_col, support, disclosed), "disclosing")
     extra = term_spans(marked, entities, terms)
     return marked.join(extra, "uid", "left").withColumn("term", F.coalesce("term", F.array().cast(SPAN))).drop("uid", "digest")
 

@@ -94,6 +94,14 @@ def test_disclosing_terms_with_copies(spark):
     assert all([s.value for s in r.term] == (["zorbanix"] if r.id < 3 else []) for r in spanned) and len(spanned) == 360
 
 
+def test_disclosing_terms_far_from_the_value(spark):
+    fill = lambda i: " ".join(f"common{j}" for j in range(i, i + 30))
+    secret = [(i, f"Zorbanix and Xu with ticket AB12345. {fill(i)} mail{i} to jo@corp.example", "en", "s", 0) for i in range(5)]
+    noise = [(100 + i, f"and with ticket to mail{i}. {fill(i % 7)}", "en", "s", 0) for i in range(60)]
+    spanned = {r.id: [s.value for s in r.term] for r in privacy.protected(spark.createDataFrame(secret + noise, SCHEMA)).collect()}
+    assert all(spanned[i] == (["Zorbanix", "Xu", "AB12345"] if i < 5 else []) for i in spanned)
+
+
 def test_personal_data_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op9_personal_data"](spark, SF).collect():
