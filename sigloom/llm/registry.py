@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import sigloom
-from sigloom.llm import fingerprint, licenses, mixing, near, pack, privacy, quality, radix, tools, warc
+from sigloom.llm import crosstoken, fingerprint, licenses, mixing, near, pack, phrases, privacy, quality, radix, sharding, tools, warc
 from sigloom.llm.common import new_path
 
 cloudpickle.register_pickle_by_value(sigloom)
@@ -40,9 +40,9 @@ def _(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op10_packing")
@@ -140,3 +140,43 @@ def _(spark, sf_dir):
 @query("op5_near_dedup")
 def _(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+SHARDS = sharding.even_tree(16)
+
+
+@query("op11_hash_tree")
+def _(spark, sf_dir):
+    more = sharding.with_shard(SHARDS, 16, "region0", "rack1")
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS, more)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", F.col("later_shard").alias("grown_shard"))
+
+
+@query("op12_collocations", """
+  with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+  worded as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from pieces),
+  grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+            from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from worded, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)),
+  counted as (select lang, phrase, k as m, count(*) as f from grams group by all),
+  totals as (select lang, sum(f)::bigint as n from counted where m = 1 group by lang),
+  candidates as (select * from counted where m > 1 and f >= 30),
+  inside as (select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, max(f) as longer
+             from (select lang, string_split(phrase, ' ') as w, f, m, k, unnest(range(1, m - k + 2)) as i from candidates, (select unnest([2, 3]) as k) where m > k) group by all),
+  kept as (select c.* from candidates c left join inside i on c.lang = i.lang and c.phrase = i.phrase where i.longer is null or i.longer::hugeint * 100 < c.f::hugeint * 80),
+  cuts as (select lang, phrase, f as a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') as head, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') as tail
+           from (select *, unnest(range(1, m)) as k from kept)),
+  rated as (select c.lang, c.phrase, c.a, c.k, h.f as l, t.f as r, ((c.a::hugeint * 2000000) // (h.f + t.f))::bigint as score
+            from cuts c join counted h on h.lang = c.lang and h.phrase = c.head join counted t on t.lang = c.lang and t.phrase = c.tail),
+  best as (select * from rated qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+  select b.lang, row_number() over (partition by b.lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, score
+  from best b join totals t on t.lang = b.lang qualify rank <= 2000""")
+def _(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_links")
+def _(spark, sf_dir):
+    found = crosstoken.counted_links(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
