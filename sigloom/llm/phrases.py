@@ -1,9 +1,8 @@
 """Phrase collocations, counted in tries of word ids with hash containers.
 
-A task reads each place in a text as the window of the words that begin there.  Windows go into a trie: its root branches
-by language and first word; a branch is a hash container of the remaining words and bursts into a node of its own, with
-a container per next word, when it holds too many.  A full trie spills its largest subtrees whole, as sorted runs of
-(window, count).  Runs of all tasks meet by range of the window, so all windows that share a prefix lie together; a
+A task reads each place in a text as the window of the words that begin there.  Windows go into a trie of word ids that
+begins as one hash container; a container bursts between first words and, where a first word is too common, between
+its next words.  A full trie spills its largest subtrees whole, as sorted runs of (window, count).  Runs of all tasks meet by range of the window, so all windows that share a prefix lie together; a
 prefix that is too common for one range is cut by its next words.  Each range is merged in one sweep: the count of a
 phrase is the sum over the windows that it begins.  The phrases open at either end of a range are summed once more.
 
@@ -28,9 +27,9 @@ LEAST = 30  # occurrences of a candidate
 WORDS = 4  # of a phrase at most
 TOP = 2000  # phrases reported per language
 SHARE = 80  # per cent of a phrase's places inside one longer phrase from which it is dropped
-TRIE_ENTRIES = 1_200_000  # entries at which a trie spills
+TRIE_ENTRIES = 2_000_000  # entries at which a trie spills: about 100 MB
 TRIE_BYTES = 96 << 20  # bytes of its distinct words at which it spills as a whole
-BURST = 4096  # entries at which a container bursts
+BURST = 1 << 17  # entries at which a container bursts
 TEXT_BYTES = 4 << 20  # text handled at once
 STEP = 1 << 18  # words that go into a trie at once
 RUN_BYTES = 8 << 20  # of windows in one output batch
@@ -40,7 +39,7 @@ FILTER_HASHES = 3
 
 SCORE = "cast(a as decimal(19,0)) * 2000000 div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))"  # products may pass 64 bits
 _CHUNK = 1 << 20  # ids of a trie stay below this, so that two of them fit a key of 40 bits
-RUNS = "lang string, window binary, n bigint"
+RUNS = "window binary, n bigint"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -98,20 +97,58 @@ def _positions(pair: np.ndarray, bits: int) -> list[np.ndarray]:
         return [(mix(pair + U64(0x9E3779B97F4A7C15) * U64(i + 1)) & U64(bits - 1)).astype(np.int64) for i in range(FILTER_HASHES)]
 
 
+class _Container:
+    """Hash table of windows in a range of the trie: open addressing over arrays, filled many windows at a time."""
+
+    def __init__(self, low: tuple[int, int], size: int = 1 << 10):
+        self.low, self.count = low, 0
+        self.root, self.rest, self.n = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, np.int64)
+
+    def add(self, root: np.ndarray, rest: np.ndarray, n: np.ndarray) -> int:
+        """Adds distinct windows; the number of new ones."""
+        before, size = self.count, len(self.root)
+        if 2 * (before + len(root)) > size:
+            old = self.items()
+            while 2 * (before + len(root)) > size:
+                size *= 2
+            self.__init__(self.low, size)
+            self.add(*old)
+        with np.errstate(over="ignore"):
+            slot = (mix(root.astype(U64) * U64(0x9E3779B97F4A7C15) + rest.astype(U64)) & U64(size - 1)).astype(np.int64)
+        left = np.arange(len(root))
+        while len(left):
+            at = slot[left]
+            free = self.root[at] < 0
+            if free.any():  # of the windows that want a free slot the last one gets it
+                self.root[at[free]] = -2 - left[free]
+                won = np.flatnonzero(self.root[at] == -2 - left)
+                self.root[at[won]], self.rest[at[won]] = root[left[won]], rest[left[won]]
+                self.count += len(won)
+            same = (self.root[at] == root[left]) & (self.rest[at] == rest[left])
+            self.n[at[same]] += n[left[same]]
+            left = left[~same]
+            slot[left] = (slot[left] + 1) & (size - 1)
+        return self.count - before
+
+    def items(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        held = self.root >= 0
+        return self.root[held], self.rest[held], self.n[held]
+
+
 class HatTrie:
-    """Counts of windows of word ids.  Root: (language, first word) -> container or node.
+    """Counts of windows of word ids, kept as (language and first word, remaining words).
 
-    A container is a dict from the remaining ids, packed in one integer, to a count.  A node maps the next id to a
-    container.  Id 0 stands for no word.
+    The trie starts as one hash container.  A container that holds more than ``BURST`` windows bursts: one over several first
+    words is split between two of them, one over a single first word by its next words.  Id 0 stands for no word.
     """
 
     def __init__(self, words: int):
-        self.deep = words > 2
+        self.words_of_window = words
         self.ids: dict[bytes, int] = {}
         self.words: list[bytes] = [b""]
         self.langs: dict[str, int] = {}
-        self.root: dict[int, dict | _Node] = {}
-        self.sizes: dict[int, int] = {}
+        self.totals: list[int] = []
+        self.leaves = [_Container((-1, -1))]
         self.entries = self.bytes = 0
 
     def number(self, words: list[bytes]) -> np.ndarray:
@@ -125,102 +162,106 @@ class HatTrie:
             ids[i] = k
         return ids
 
-    def add(self, root: np.ndarray, rest: np.ndarray, n: np.ndarray) -> None:
-        """Windows as root key (language and first id) and packed rest, distinct and in order."""
-        cuts = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1], [True])))
-        keys, counts, roots = rest.tolist(), n.tolist(), root[cuts[:-1]].tolist()
-        cuts = cuts.tolist()
-        for r, a, b in zip(roots, cuts, cuts[1:]):
-            branch = self.root.get(r)
-            if branch is None:
-                branch = self.root[r] = {}
-                self.sizes[r] = 0
-            if isinstance(branch, _Node):
-                grown = branch.add(keys[a:b], counts[a:b])
-            else:
-                before = len(branch)
-                for k, c in zip(keys[a:b], counts[a:b]):
-                    branch[k] = branch.get(k, 0) + c
-                grown = len(branch) - before
-                if self.deep and len(branch) > BURST:
-                    self.root[r] = _Node.burst(branch)
-            self.sizes[r] += grown
-            self.entries += grown
+    def languages(self, names: list[str], counts: np.ndarray) -> np.ndarray:
+        """Numbers of languages; ``counts`` are their words."""
+        out = np.empty(len(names), np.int64)
+        for i, (name, n) in enumerate(zip(names, counts.tolist())):
+            out[i] = self.langs.setdefault(name, len(self.langs))
+            if out[i] == len(self.totals):
+                self.totals.append(0)
+            self.totals[out[i]] += n
+        return out
+
+    def add(self, root: np.ndarray, rest: np.ndarray) -> None:
+        """Windows in any order, repeated or not."""
+        if self.words_of_window == 2:
+            key = np.sort(root << 20 | rest >> 40)
+            new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            root, rest, n = key[new] >> 20, (key[new] & (_CHUNK - 1)) << 40, np.diff(np.append(new, len(key)))
+        else:
+            order = np.lexsort((rest, root))
+            root, rest = root[order], rest[order]
+            new = np.flatnonzero(np.concatenate(([True], (root[1:] != root[:-1]) | (rest[1:] != rest[:-1]))))
+            root, rest, n = root[new], rest[new], np.diff(np.append(new, len(order)))
+        cuts = []
+        for leaf in self.leaves:
+            a, b = np.searchsorted(root, leaf.low[0]), np.searchsorted(root, leaf.low[0], "right")
+            cuts.append(a + np.searchsorted(rest[a:b], leaf.low[1]))
+        cuts.append(len(root))
+        grown = []
+        for leaf, a, b in zip(self.leaves, cuts, cuts[1:]):
+            if b > a:
+                self.entries += leaf.add(root[a:b], rest[a:b], n[a:b])
+            grown += self._burst(leaf) if leaf.count > BURST else [leaf]
+        self.leaves = grown
+
+    def _burst(self, leaf: _Container) -> list[_Container]:
+        root, rest, n = leaf.items()
+        order = np.lexsort((rest, root))
+        root, rest, n = root[order], rest[order], n[order]
+        half = len(root) // 2
+        cut = np.searchsorted(root, root[half]) or np.searchsorted(root, root[half], "right")
+        low = (int(root[min(cut, len(root) - 1)]), -1)
+        if cut == len(root):  # one first word: the next words decide
+            cut, low = half, (int(root[half]), int(rest[half]))
+        parts = [_Container(leaf.low), _Container(low)]
+        parts[0].add(root[:cut], rest[:cut], n[:cut])
+        parts[1].add(root[cut:], rest[cut:], n[cut:])
+        return parts
 
     def full(self) -> bool:
         """Whether another ``STEP`` of words might not fit."""
-        return self.bytes > TRIE_BYTES or len(self.words) > _CHUNK - 2 * STEP
+        return self.bytes > TRIE_BYTES or len(self.words) > _CHUNK - 2 * STEP or len(self.langs) > _CHUNK
 
     def spill(self, least: int) -> Iterator[pa.RecordBatch]:
-        """Takes out whole subtrees, largest first, until ``least`` entries are gone, as sorted runs."""
-        taken, roots = 0, []
-        for r in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
-            if taken >= least:
+        """Takes out whole subtrees, largest first, until ``least`` entries are gone, as sorted runs.
+
+        With them go the words of each language counted so far, as windows of an empty word.
+        """
+        names = [x.encode().hex().encode() + b" " for x in self.langs]
+        if self.words_of_window == 2 and any(self.totals):
+            yield pa.RecordBatch.from_arrays([pa.array([b" " + x for x in names]), pa.array(self.totals, pa.int64())], ["window", "n"])
+            self.totals = [0] * len(self.totals)
+        taken = 0
+        for i in sorted(range(len(self.leaves)), key=lambda i: -self.leaves[i].count):
+            leaf = self.leaves[i]
+            if taken >= least or not leaf.count:
                 break
-            taken += self.sizes.pop(r)
-            roots.append(r)
-        if not roots:
-            return
-        root, rest, n = [], [], []
-        for r in roots:
-            branch = self.root.pop(r)
-            for keys in ([branch] if isinstance(branch, dict) else branch.flat()):
-                rest.extend(keys.keys())
-                n.extend(keys.values())
-                root.append((r, len(keys)))
-        self.entries -= taken
-        first = np.repeat(np.array([r for r, _ in root], np.int64), [k for _, k in root])
-        packed = np.array(rest, np.int64)
-        count = np.array(n, np.int64)
+            taken += leaf.count
+            self.entries -= leaf.count
+            self.leaves[i] = _Container(leaf.low)
+            yield from self._run(*leaf.items(), names)
+
+    def _run(self, root: np.ndarray, rest: np.ndarray, n: np.ndarray, names: list[bytes]) -> Iterator[pa.RecordBatch]:
         mask = _CHUNK - 1
-        ids = np.stack([first & mask, packed >> 40, (packed >> 20) & mask, packed & mask])
-        used, where = np.unique(ids, return_inverse=True)
-        where = where.reshape(ids.shape)
-        vocabulary = pa.array([self.words[i] + b" " if i else b"" for i in used.tolist()], pa.large_binary())
-        rank = np.empty(len(used), np.int64)
-        rank[pc.sort_indices(vocabulary).to_numpy()] = np.arange(len(used))
-        lang = first >> 20
-        order = np.lexsort((rank[where[3]], rank[where[2]], rank[where[1]], rank[where[0]], lang))
-        names = pa.array(list(self.langs), pa.string())
+        ids = [root & mask, *[(rest >> (20 * (3 - j))) & mask for j in range(1, self.words_of_window)]]
+        used = np.zeros(len(self.words), bool)
+        for i in ids:
+            used[i] = True
+        chosen = np.flatnonzero(used)
+        vocabulary = pa.array([self.words[i] + b" " if i else b"" for i in chosen.tolist()], pa.large_binary())
+        rank = np.empty(len(chosen), np.int64)
+        rank[pc.sort_indices(vocabulary).to_numpy()] = np.arange(len(chosen))
+        place = np.cumsum(used) - 1
+        ids = [place[i] for i in ids]
+        lang = root >> 20
+        # In the order of a window's bytes: first word, language, other words.
+        order = np.lexsort((*[rank[i] for i in ids[:0:-1]], lang, rank[ids[0]]))
         lengths = pc.binary_length(vocabulary).to_numpy().astype(np.int64)
-        volume = np.cumsum(lengths[where].sum(0)[order]) // RUN_BYTES
+        volume = np.cumsum(sum(lengths[i] for i in ids)[order]) // RUN_BYTES
         cuts = np.flatnonzero(np.concatenate(([True], volume[1:] != volume[:-1], [True])))
+        spoken = pa.array(names, pa.large_binary())
         for a, b in zip(cuts, cuts[1:]):
             at = order[a:b]
-            window = pc.binary_join_element_wise(*[vocabulary.take(pa.array(w[at])) for w in where], pa.scalar(b"", pa.large_binary()))
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(lang[at])), window.cast(pa.binary()), pa.array(count[at])], ["lang", "window", "n"])
-
-
-class _Node:
-    """A burst container: one container per second word."""
-
-    def __init__(self):
-        self.below: dict[int, dict[int, int]] = {}
-
-    @classmethod
-    def burst(cls, container: dict[int, int]) -> _Node:
-        node = cls()
-        node.add(list(container), list(container.values()))
-        return node
-
-    def add(self, keys: list[int], counts: list[int]) -> int:
-        grown, below, mask = 0, self.below, (1 << 40) - 1
-        for k, c in zip(keys, counts):
-            box = below.get(k >> 40)
-            if box is None:
-                box = below[k >> 40] = {}
-            before = len(box)
-            box[k & mask] = box.get(k & mask, 0) + c
-            grown += len(box) - before
-        return grown
-
-    def flat(self) -> Iterator[dict[int, int]]:
-        for second, box in self.below.items():
-            yield {second << 40 | k: c for k, c in box.items()}
+            words = [vocabulary.take(pa.array(i[at])) for i in ids]
+            window = pc.binary_join_element_wise(words[0], spoken.take(pa.array(lang[at])), *words[1:], pa.scalar(b"", pa.large_binary()))
+            yield pa.RecordBatch.from_arrays([window.cast(pa.binary()), pa.array(n[at])], ["window", "n"])
 
 
 def runs(docs: DataFrame, name: str, words: int, gate=None, lang_col: str = "lang", text_col: str = "text", trie_entries: int = TRIE_ENTRIES) -> DataFrame:
-    """Written runs of windows of up to ``words`` words; every word in a window ends in a blank.
+    """Written runs of windows of up to ``words`` words: first word, language in hexadecimal, other words, each with a blank after it.
+
+    So whatever begins with the same words of a language lies together in byte order.
 
     With a ``gate`` (broadcast bits of frequent pairs) a window grows over pairs in it only, and short ones are left out.
     """
@@ -244,9 +285,10 @@ def runs(docs: DataFrame, name: str, words: int, gate=None, lang_col: str = "lan
                         near[at[(bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 0]] = False
                 for s in range(0, len(near), STEP):
                     window = slice(s, s + STEP + WORDS)
-                    used, local = np.unique(places.word[window], return_inverse=True)
-                    ids = trie.number(places.words.take(pa.array(used)).to_pylist())[local]
-                    own = np.array([trie.langs.setdefault(x, len(trie.langs)) for x in names], np.int64)[lang[window]]
+                    used = np.zeros(len(places.words), bool)
+                    used[places.word[window]] = True
+                    ids = trie.number(places.words.take(pa.array(np.flatnonzero(used))).to_pylist())[(np.cumsum(used) - 1)[places.word[window]]]
+                    spoken = trie.languages(names, np.bincount(lang[s:s + STEP], minlength=len(names)))
                     linked, rest = near[window], np.zeros(len(ids), np.int64)
                     follow = linked
                     for j in range(1, words):
@@ -254,15 +296,12 @@ def runs(docs: DataFrame, name: str, words: int, gate=None, lang_col: str = "lan
                         there = there[there + j < len(ids)]
                         rest[there] |= ids[there + j] << (20 * (3 - j))
                         follow = follow & np.concatenate((linked[j:], np.zeros(min(j, len(ids)), bool)))
-                    root, rest = (own << 20 | ids)[:STEP], rest[:STEP]
+                    root, rest = (spoken[lang[window]] << 20 | ids)[:STEP], rest[:STEP]
                     if bits is not None:
                         long_ = np.flatnonzero((rest >> 20) & (_CHUNK - 1))  # at least three words
                         root, rest = root[long_], rest[long_]
                     if len(root):
-                        order = np.lexsort((rest, root))
-                        root, rest = root[order], rest[order]
-                        new = np.flatnonzero(np.concatenate(([True], (root[1:] != root[:-1]) | (rest[1:] != rest[:-1]))))
-                        trie.add(root[new], rest[new], np.diff(np.append(new, len(root))))
+                        trie.add(root, rest)
                     if trie.full():
                         yield from trie.spill(trie.entries + 1)
                         trie = HatTrie(words)
@@ -279,12 +318,11 @@ class _Sweep:
 
     def __init__(self, shortest: int, longest: int, least: int):
         self.depths, self.least = range(shortest, longest + 1), least
-        self.open: dict[int, tuple[str, bytes, int, bool]] = {}  # depth: language, phrase, count, whether it opens the range
+        self.open: dict[int, tuple[bytes, int, bool]] = {}  # depth: phrase with language, count, whether it opens the range
 
-    def batch(self, batch: pa.RecordBatch) -> Iterator[tuple[list[str], list[bytes], list[int]]]:
-        langs = batch.column(0).dictionary_encode()
-        windows = batch.column(1).cast(pa.large_binary())
-        n = batch.column(2).to_numpy()
+    def batch(self, batch: pa.RecordBatch) -> tuple[list[bytes], list[int]]:
+        windows = batch.column(0).cast(pa.large_binary())
+        n = batch.column(1).to_numpy()
         rows = len(n)
         ends = np.frombuffer(windows.buffers()[1], np.int64)[windows.offset:windows.offset + rows + 1]
         data = np.frombuffer(windows.buffers()[2], np.uint8)[ends[0]:ends[-1]]
@@ -295,13 +333,13 @@ class _Sweep:
         # Words as numbers, so that neighbours are compared exactly and all at once.
         begins = np.concatenate(([0], stops + 1)).astype(np.int64)
         word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(begins), pa.py_buffer(data.copy())]).dictionary_encode().indices.to_numpy()
-        names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        changed = np.concatenate(([True], lang[1:] != lang[:-1]))
+        changed = np.concatenate(([True], word[first[1:]] != word[first[:-1]]))
         begins_range = not self.open
+        out: tuple[list[bytes], list[int]] = ([], [])
         for d in range(1, self.depths[-1] + 1):
             at = np.full(rows, -1, np.int64)
-            deep = size >= d
-            at[deep] = word[first[deep] + d - 1]
+            deep = size > d  # the language comes between
+            at[deep] = word[first[deep] + d]
             changed = changed | np.concatenate(([True], at[1:] != at[:-1]))
             if d not in self.depths:
                 continue
@@ -311,50 +349,53 @@ class _Sweep:
             if not kept.any():
                 continue
             heads, sums = heads[kept], sums[kept]
-            # A phrase's rows may be parted from its head only by rows that are too short, and those come first.
-            phrase = lambda i: data[ends[heads[i]]:stops[first[heads[i]] + d - 1]].tobytes()
+            phrase = lambda i: data[ends[heads[i]]:stops[first[heads[i]] + d]].tobytes()
             start = 0
-            out: tuple[list[str], list[bytes], list[int]] = ([], [], [])
-            opens = begins_range and d not in self.open
+            opens = begins_range
             if d in self.open:
-                l, p, c, o = self.open[d]
-                if (l, p) == (names[lang[heads[0]]], phrase(0)):
+                p, c, o = self.open[d]
+                if p == phrase(0):
                     sums[0] += c
                     opens = o
                 elif c >= self.least or o:
-                    for box, v in zip(out, (l, p, c)):
-                        box.append(v)
+                    out[0].append(p)
+                    out[1].append(c)
             last = len(heads) - 1
             closed = np.flatnonzero(sums[start:last] >= self.least).tolist()
-            if opens and last > 0 and 0 not in closed:
+            if opens and last > 0 and closed[:1] != [0]:
                 closed = [0, *closed]
             for i in closed:
-                for box, v in zip(out, (names[lang[heads[i]]], phrase(i), int(sums[i]))):
-                    box.append(v)
-            self.open[d] = (names[lang[heads[last]]], phrase(last), int(sums[last]), opens and last == 0)
-            yield out
+                out[0].append(phrase(i))
+                out[1].append(int(sums[i]))
+            self.open[d] = (phrase(last), int(sums[last]), opens and last == 0)
+        return out
+
+    def rest(self) -> tuple[list[bytes], list[int]]:
+        return [p for p, _, _ in self.open.values()], [c for _, c, _ in self.open.values()]
+
 
-    def rest(self) -> tuple[list[str], list[bytes], list[int]]:
-        langs, phrases, counts, _ = zip(*self.open.values()) if self.open else ((), (), (), ())
-        return list(langs), list(phrases), list(counts)
+def _named(found: tuple[list[bytes], list[int]]) -> pa.RecordBatch:
+    langs, phrases = [], []
+    for p in found[0]:
+        first, lang, *others = p.decode().split(" ")
+        langs.append(bytes.fromhex(lang).decode())
+        phrases.append(" ".join([first, *others]))
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(found[1], pa.int64())], ["lang", "phrase", "f"])
 
 
 def merged(written_runs: DataFrame, shortest: int, longest: int, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, f) of all phrases of ``shortest`` to ``longest`` words that occur ``least`` times."""
+    """(lang, phrase, f) of all phrases of ``shortest`` to ``longest`` words that occur ``least`` times; '' counts all words."""
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Sweep(shortest, longest, least)
-        as_batch = lambda t: pa.RecordBatch.from_arrays([pa.array(t[0], pa.string()), pa.array(t[1], pa.binary()).cast(pa.string()), pa.array(t[2], pa.int64())], ["lang", "phrase", "f"])
         for batch in batches:
             for piece in pieces(batch, "window", RUN_BYTES):
-                for out in state.batch(piece):
-                    if out[0]:
-                        yield as_batch(out)
-        yield as_batch(state.rest())
+                yield _named(state.batch(piece))
+        yield _named(state.rest())
 
-    ranged = written_runs.repartitionByRange("lang", "window").sortWithinPartitions("lang", "window")
+    ranged = written_runs.repartitionByRange("window").sortWithinPartitions("window")
     swept = ranged.mapInArrow(sweep, "lang string, phrase string, f bigint")
-    return swept.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    return swept.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
 def frequent_pairs(counted: DataFrame) -> bytes:
@@ -387,8 +428,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", t
     A null lang is ``und``, a null text empty.  Rows that repeat count as often.  An empty table gives no rows.
     """
     short = runs(docs, "pairs", 2, None, lang_col, text_col, trie_entries)
-    totals = short.groupBy("lang").agg(F.sum("n").alias("n"))
-    counted = written(merged(short, 1, 2, least), "counts2")
+    both = written(merged(short, 1, 2, least), "counts2")
+    totals = both.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    counted = both.filter("phrase <> ''")
     gate = docs.sparkSession.sparkContext.broadcast(frequent_pairs(counted))
     long_ = runs(docs, "windows", WORDS, gate, lang_col, text_col, trie_entries)
     return written(counted.unionByName(merged(long_, 3, WORDS, least)), "counts"), totals
