@@ -21,23 +21,45 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import U64, mix, pieces, worker_store, written
+from sigloom.llm.common import U64, mix, pieces, written
 
 SEGMENT = 1 << 16  # pairs per segment of the hash, on average
 BLOCK = 64  # segments whose tables a worker holds at once: about 4 million pairs, 24 bytes each
 SLICE = 1 << 16  # counters per row of a summed vector
 FAN = 64  # vectors added at once
-STORE_BYTES = 64 << 20  # ids of known units that a worker remembers; only speed depends on it
 TEXT_BYTES = 4 << 20  # text handled at once
-TOGETHER = 1 << 15  # bytes of units encoded in one call
+ID_BYTES = 1 << 19  # ids of one side aligned at once
+TOGETHER = 1 << 12  # bytes of units encoded in one call
+# Fixed value: how byte-level BPE splits a text before it merges.
+BYTE_LEVEL_SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 TOKENS = "uid bigint, id bigint, a binary, b binary"
 
 
-class ByteLevel:
-    """Tokenizer A: byte-level BPE from a ``tokenizers`` file."""
+class _Vocabulary:
+    """Bytes of all tokens of a tokenizer, also end to end in one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.bytes = tokens
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spelled(self, ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The bytes of tokens, one after the other."""
+        return self.flat[np.repeat(self.start[ids] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+class ByteLevel(_Vocabulary):
+    """Tokenizer A: byte-level BPE from a ``tokenizers`` file.
+
+    Plain text (ASCII and Latin letters) goes through ``tiktoken`` with the same vocabulary, which is faster, if the file's
+    merges are in the order of their ids, as ranks are; all other text through ``tokenizers``.
+    """
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
         self.tool = Tokenizer.from_file(path)
         self.tool.encode_special_tokens = True  # their strings in a text are plain text
@@ -45,16 +67,30 @@ class ByteLevel:
         others = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
         vocabulary = self.tool.get_vocab()
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            self.bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-
-    def encode(self, text: bytes) -> list[int]:
+            tokens[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        super().__init__(tokens)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        model, before, added = told["model"], told["pre_tokenizer"] or {}, {t["id"] for t in told["added_tokens"]}
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+        order = [model["vocab"].get(x + y, -1) for x, y in merges]
+        self.ranked = None
+        if (model.get("type", "BPE") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+                and told.get("normalizer") is None and not model.get("ignore_merges") and order == sorted(order) and len(set(order)) == len(order) == len(set(model["vocab"].values()) - added) - 256):
+            import tiktoken
+            ranks = {t: i for i, t in enumerate(tokens) if i not in added}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: bytes, plain: bool = False) -> list[int]:
         """Ids of a text that begins with the added space."""
+        if plain and self.ranked:
+            return self.ranked.encode_ordinary(text.decode())
         return self.tool.encode(text.decode(), add_special_tokens=False).ids
 
 
-class Pieces:
+class Pieces(_Vocabulary):
     """Tokenizer B: a ``sentencepiece`` model, which adds the space itself."""
 
     def __init__(self, path: str):
@@ -62,13 +98,13 @@ class Pieces:
         self.tool = sentencepiece.SentencePieceProcessor(model_file=path)
         n = self.tool.get_piece_size()
         piece = self.tool.id_to_piece
-        self.bytes = [bytes([int(piece(i)[1:-1], 16)]) if self.tool.is_byte(i) else piece(i).replace("▁", " ").encode() for i in range(n)]
+        super().__init__([bytes([int(piece(i)[1:-1], 16)]) if self.tool.is_byte(i) else piece(i).replace("▁", " ").encode() for i in range(n)])
 
-    def encode(self, text: bytes) -> list[int]:
+    def encode(self, text: bytes, plain: bool = False) -> list[int]:
         return self.tool.encode(text[1:].decode(), num_threads=1)
 
 
-def id_type(tokenizer) -> str:
+def id_type(tokenizer: _Vocabulary) -> str:
     return "<u2" if len(tokenizer.bytes) <= 1 << 16 else "<u4"
 
 
@@ -77,18 +113,17 @@ class Encoder:
 
     A text (with its space in front) is cut before single blanks between two characters that are plain ASCII or Latin
     letters.  Neither pattern nor vocabulary reaches over such a blank (``safe`` checks the vocabularies), so a text's ids
-    are those of its units; units that come back are encoded once, new ones many in a call.
+    are those of its units.  Each distinct unit of a piece of text is encoded once, many in a call.
     """
 
     _CUT = rb"(?:[!-~]|\xc3.) [!-~\xc3]"
 
-    def __init__(self, a: ByteLevel, b: Pieces, name: str):
+    def __init__(self, a: ByteLevel, b: Pieces):
         import re
         self.a, self.b = a, b
         crossing = re.compile(self._CUT, re.S)
         self.safe = not any(crossing.search(t) for tool in (a, b) for t in tool.bytes)
         self.kinds = id_type(a), id_type(b)
-        self.known = worker_store(f"units of {name}")
 
     def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """(units of all texts, index of each text's first unit and the end)."""
@@ -96,7 +131,7 @@ class Encoder:
         ends = np.frombuffer(spaced.buffers()[1], np.int64)[spaced.offset:spaced.offset + len(spaced) + 1]
         data = np.frombuffer(spaced.buffers()[2], np.uint8)
         cut = np.zeros(len(data) + 1, bool)
-        if self.safe and ends[-1] - ends[0] > 2:
+        if self.safe and len(data) > 2:
             plain = (data > 32) & (data < 127)
             latin = data == 0xC3
             before = plain.copy()
@@ -108,70 +143,71 @@ class Encoder:
         units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), spaced.buffers()[2]])
         return units, np.searchsorted(at, ends)
 
-    def _ids(self, tool, kind: str, joined: bytes, stops: np.ndarray) -> list[bytes] | None:
-        """Ids per unit of a joined text; null where they do not give its bytes back or a token crosses a unit's end."""
-        ids = tool.encode(joined)
-        if b"".join([tool.bytes[i] for i in ids]) != joined:
+    def _ids(self, tool: _Vocabulary, joined: bytes, stops: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids of a joined text, number per unit); null where they do not give its bytes back or a token crosses a unit's end."""
+        ids = np.array(tool.encode(joined, plain), np.int64)
+        sizes = tool.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids) or ends[-1] != len(joined) or tool.spelled(ids, sizes, ends).tobytes() != joined:
             return None
-        ends = np.cumsum([len(tool.bytes[i]) for i in ids])
         last = np.searchsorted(ends, stops)
-        if not np.array_equal(ends[last], stops):
-            return None
-        flat, cuts = np.asarray(ids, kind), [0, *(last + 1).tolist()]
-        return [flat[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
-
-    def learn(self, units: list[bytes]) -> dict[bytes, tuple[bytes, bytes] | None]:
-        """Ids of units; null for a unit that one of the tokenizers changes."""
-        out: dict[bytes, tuple[bytes, bytes] | None] = {}
-        group: list[bytes] = []
-        size = 0
-        for i, u in enumerate(units):
-            group.append(u)
-            size += len(u)
-            if size < TOGETHER and i + 1 < len(units):
-                continue
-            joined, stops = b"".join(group), np.cumsum([len(g) for g in group])
-            both = [self._ids(tool, kind, joined, stops) for tool, kind in zip((self.a, self.b), self.kinds)]
-            for j, g in enumerate(group):
-                one = [ids[j] if ids else (self._ids(tool, kind, g, np.array([len(g)])) or [None])[0] for ids, tool, kind in zip(both, (self.a, self.b), self.kinds)]
-                out[g] = None if None in one else (one[0], one[1])
-            group, size = [], 0
-        return out
+        return (ids, np.diff(last + 1, prepend=0)) if np.array_equal(ends[last], stops) else None
+
+    def _of_units(self, tool: _Vocabulary, kind: str, units: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, number of ids of each; none for a unit that the tokenizer changes)."""
+        if not len(units):
+            return np.zeros(0, kind), np.zeros(0, np.int64)
+        ends = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+        data = memoryview(units.buffers()[2])
+        group = ends[1:] // TOGETHER
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(units)]
+        all_ids, counts = [], []
+        for x, y in zip(cuts, cuts[1:]):
+            found = self._ids(tool, data[ends[x]:ends[y]].tobytes(), ends[x + 1:y + 1] - ends[x], plain)
+            if found:
+                parts = [found]
+            else:
+                alone = [self._ids(tool, data[ends[i]:ends[i + 1]].tobytes(), ends[i + 1:i + 2] - ends[i], plain) for i in range(x, y)]
+                parts = [p or (np.zeros(0, np.int64), np.zeros(1, np.int64)) for p in alone]
+            for ids, n in parts:
+                all_ids.append(ids.astype(kind))
+                counts.append(n)
+        return np.concatenate(all_ids), np.concatenate(counts)
 
     def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """Both id sequences of each text as bytes; empty ones for texts that are null, empty or changed."""
         there = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False)
         units, first = self.units(pc.fill_null(texts, ""))
         coded = units.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        found = self.learn(new)
-        held = self.known
-        ids = [found[w] if w in found else held[w] for w in words]
-        if sum(len(w) for w in new) < STORE_BYTES // 8:
-            # About 300 bytes of every entry are Python's own.
-            size = held.get(b"", 0) + sum(300 + 4 * len(w) for w in new)
-            if size > STORE_BYTES:
-                held.clear()
-            else:
-                held.update(found)
-                held[b""] = size
-        at = coded.indices.to_numpy()
-        bad = np.fromiter((x is None for x in ids), bool, len(ids))[at] if len(ids) else np.zeros(0, bool)
-        wrong = np.concatenate(([0], np.cumsum(bad)))
+        words, at = coded.dictionary, coded.indices.to_numpy()
+        # Plain units first, so that either kind can be joined.
+        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        odd = ~((data >= 32) & (data < 127) | (data == 0xC3))
+        odd[1:] &= ~((data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] == 0xC3))
+        before = np.concatenate(([0], np.cumsum(odd)))
+        strange = before[ends[1:]] > before[ends[:-1]]
+        order = np.argsort(strange, kind="stable")
+        split = len(order) - int(strange.sum())
+        parts = [words.take(pa.array(order[:split])), words.take(pa.array(order[split:]))]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        at = place[at]
+        sides = []
+        for tool, kind in zip((self.a, self.b), self.kinds):
+            found = [self._of_units(tool, kind, p, plain) for p, plain in zip(parts, (True, False))]
+            sides.append((np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])))
+        changed = (sides[0][1] == 0) | (sides[1][1] == 0)
+        wrong = np.concatenate(([0], np.cumsum(changed[at])))
         there &= wrong[first[1:]] == wrong[first[:-1]]
+        kept = np.repeat(there, np.diff(first))
         out = []
-        for side in (0, 1):
-            parts = [x[side] if x else b"" for x in ids]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-            flat, start = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes
-            length = sizes[at] * np.repeat(there, np.diff(first))
-            before = np.concatenate(([0], np.cumsum(length)))
-            kind = np.dtype(self.kinds[side]).itemsize
-            wide = flat.view(self.kinds[side])
-            step = length // kind
-            body = wide[np.repeat(start[at] // kind - before[:-1] // kind, step) + np.arange(int(step.sum()))]
-            out.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(before[first].astype(np.int64)), pa.py_buffer(body)]))
+        for (flat, n), kind in zip(sides, self.kinds):
+            length = n[at] * kept
+            ends = np.concatenate(([0], np.cumsum(length)))
+            body = flat[np.repeat((np.cumsum(n) - n)[at] - ends[:-1], length) + np.arange(int(ends[-1]))]
+            offsets = ends[first] * np.dtype(kind).itemsize
+            out.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body)]))
         return out[0], out[1]
 
 
@@ -181,7 +217,7 @@ def tokens(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # cores belong to Spark's tasks
-        encoder = Encoder(ByteLevel(a_path), Pieces(b_path), f"{a_path} {b_path}")
+        encoder = Encoder(ByteLevel(a_path), Pieces(b_path))
         for batch in batches:
             for piece in pieces(batch, "text", TEXT_BYTES):
                 a, b = encoder.encode(piece.column(2))
@@ -200,7 +236,7 @@ class Sides:
 
     @classmethod
     def of(cls, a: ByteLevel, b: Pieces) -> Sides:
-        return cls(np.array([len(t) for t in a.bytes], np.int64), np.array([len(t) for t in b.bytes], np.int64), (id_type(a), id_type(b)))
+        return cls(a.sizes, b.sizes, (id_type(a), id_type(b)))
 
 
 def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -223,36 +259,51 @@ class Aligned:
         self.a, self.n_a = _flat(a_column, sides.kinds[0])
         self.b, self.n_b = _flat(b_column, sides.kinds[1])
         a_ends, b_ends = np.cumsum(sides.a_sizes[self.a]), np.cumsum(sides.b_sizes[self.b])
-        ends = np.unique(np.concatenate((a_ends, b_ends)))
-        at_a, at_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        rows = len(self.n_a)
-        self.row = np.repeat(np.arange(rows), self.n_a)[at_a]
-        self.pair = (self.a[at_a].astype(U64) << U64(32)) | self.b[at_b].astype(U64)
-        shared = (a_ends[at_a] == ends) & (b_ends[at_b] == ends) if len(ends) else np.zeros(0, bool)
-        self.n_links = np.bincount(self.row, minlength=rows)
-        self.n_groups = np.bincount(self.row[shared], minlength=rows)
-        closes = np.cumsum(shared) - shared  # number of the group a link is in
-        self.a_group = closes[np.searchsorted(ends, a_ends)] if len(ends) else at_a
-        self.b_group = closes[np.searchsorted(ends, b_ends)] if len(ends) else at_b
-
-    def groups_as_text(self) -> tuple[bytes, np.ndarray]:
+        rows, size = len(self.n_a), int(a_ends[-1]) if len(a_ends) else 0
+        # One mark per byte at which a token of a side ends.
+        marks = np.zeros((2, size + 1), bool)
+        marks[0, a_ends], marks[1, b_ends] = True, True
+        ends = np.flatnonzero(marks[0] | marks[1])
+        shared = (marks[0] & marks[1])[ends]
+        at_a, at_b = (np.cumsum(m, dtype=np.int32)[ends - 1] for m in marks)
+        self.pair = self.a[at_a] << 32 | self.b[at_b]
+        row = np.repeat(np.arange(rows, dtype=np.int32), self.n_a)[at_a]
+        self.n_links = np.bincount(row, minlength=rows)
+        self.n_groups = np.bincount(row[shared], minlength=rows)
+        closed = np.cumsum(shared) - shared  # number of the group a link is in
+        self.a_group, self.b_group = (closed[m[ends]] for m in marks)
+
+    def groups_as_text(self, numbers: pa.Array) -> tuple[bytes, np.ndarray]:
         """(``a1,a2|b1;a3|b2,b3;`` of all rows one after the other, end of each row's text)."""
         last_a = np.append(self.a_group[1:] != self.a_group[:-1], True)[:len(self.a)]
         last_b = np.append(self.b_group[1:] != self.b_group[:-1], True)[:len(self.b)]
         # A token's place: all tokens of its side before it, and those of the other side in earlier (or, for b, the same) groups.
-        place_a = np.arange(len(self.a)) + np.searchsorted(self.b_group, self.a_group, "left")
-        place_b = np.arange(len(self.b)) + np.searchsorted(self.a_group, self.b_group, "right")
+        groups = int(self.a_group[-1]) + 1 if len(self.a) else 0
+        of_a, of_b = (np.cumsum(np.bincount(g, minlength=groups)) for g in (self.a_group, self.b_group))
+        place_a = np.arange(len(self.a)) + np.concatenate(([0], of_b))[self.a_group]
+        place_b = np.arange(len(self.b)) + of_a[self.b_group]
         code = np.empty(len(self.a) + len(self.b), np.int64)
         code[place_a] = self.a * 3 + last_a  # 0: comma, 1: bar
         code[place_b] = self.b * 3 + np.where(last_b, 2, 0)  # 2: semicolon
-        most = int(max(self.a.max(initial=0), self.b.max(initial=0))) + 1
-        table = pa.array([f"{i}{end}".encode() for i in range(most) for end in ",|;"], pa.large_binary())
-        text = table.take(pa.array(code))
+        text = numbers.take(pa.array(code))
         ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
         body = text.buffers()[2]
         return (body.to_pybytes() if body else b""), ends[np.cumsum(self.n_a + self.n_b)] if len(text) else np.zeros(len(self.n_a), np.int64)
 
 
+def _numbers(sides: Sides) -> pa.Array:
+    """Every id as text with each of the three characters that can follow it."""
+    most = max(len(sides.a_sizes), len(sides.b_sizes))
+    return pa.array([f"{i}{end}" for i in range(most) for end in ",|;"], pa.large_string()).cast(pa.large_binary())
+
+
+def _counted(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct pairs in order, how often each comes)."""
+    pair = np.sort(pair)
+    new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))[:len(pair)]
+    return pair[new].astype(U64), np.diff(np.append(new, len(pair)))
+
+
 def _round(keys: np.ndarray, number: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(keys + U64(0x9E3779B97F4A7C15) * U64(number + 1))
@@ -316,11 +367,11 @@ def _hashes(written_tokens: DataFrame, sides: Sides) -> tuple[DataFrame, int]:
     """(written segments: segment, n, sizes, bits, keys; number of segments)."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, size = np.zeros(0, U64), 0
+        seen = np.zeros(0, U64)
         for batch in batches:
-            for piece in pieces(batch, "a"):
-                new = np.unique(Aligned(piece.column(0), piece.column(1), sides).pair)
-                seen = np.union1d(seen, new)
+            for piece in pieces(batch, "a", ID_BYTES):
+                new = _counted(Aligned(piece.column(0), piece.column(1), sides).pair)[0]
+                seen = _counted(np.concatenate((seen, new)))[0]
                 if len(seen) > 2_000_000:  # bounds the memory; what is said twice is merged below
                     yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64))], ["pair"])
                     seen = seen[:0]
@@ -362,8 +413,8 @@ def _summed(written_tokens: DataFrame, table, sides: Sides, name: str) -> np.nda
         perfect_hash = table.value
         total = np.zeros(len(perfect_hash.keys), np.int64)
         for batch in batches:
-            for piece in pieces(batch, "a"):
-                pair, n = np.unique(Aligned(piece.column(0), piece.column(1), sides).pair, return_counts=True)
+            for piece in pieces(batch, "a", ID_BYTES):
+                pair, n = _counted(Aligned(piece.column(0), piece.column(1), sides).pair)
                 slot = perfect_hash(pair)
                 total[slot[slot >= 0]] += n[slot >= 0]
         part = TaskContext.get().partitionId()
@@ -422,11 +473,12 @@ def _looked_up(spark: SparkSession, both: DataFrame, block: Perfect, counts: np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         perfect_hash, n, top = table.value
+        numbers = _numbers(sides) if with_groups else None
         for batch in batches:
-            for piece in pieces(batch, "a"):
+            for piece in pieces(batch, "a", ID_BYTES):
                 x = Aligned(piece.column(2), piece.column(3), sides)
                 pair, back = np.unique(x.pair, return_inverse=True)
-                slot = perfect_hash(pair)
+                slot = perfect_hash(pair.astype(U64))
                 here = slot >= 0
                 number, is_best = np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
                 number[here], is_best[here] = n[slot[here]], top[slot[here]]
@@ -434,7 +486,7 @@ def _looked_up(spark: SparkSession, both: DataFrame, block: Perfect, counts: np.
                 per_row = lambda v: np.diff(np.concatenate(([0], np.cumsum(v[back])))[np.concatenate(([0], stop))])
                 digests = [None] * piece.num_rows
                 if with_groups:
-                    text, ends = x.groups_as_text()
+                    text, ends = x.groups_as_text(numbers)
                     view, starts = memoryview(text), np.concatenate(([0], ends[:-1]))
                     digests = [hashlib.sha256(view[s:e - 1]).hexdigest() if e > s else "" for s, e in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
