@@ -59,6 +59,41 @@ def problems(value, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+_CHECKED = {"type", "enum", "properties", "required", "additionalProperties", "items", "minLength", "maxLength", "minimum", "maximum"}
+_NOTES = {"$schema", "$id", "$comment", "title", "description", "default", "examples", "deprecated"}
+
+
+def require_known(schema: dict, at: str = "$") -> None:
+    """An error for a schema with a keyword that ``problems`` does not check, as it would let wrong arguments pass."""
+    unknown = sorted(set(schema) - _CHECKED - _NOTES)
+    if unknown:
+        raise ValueError(f"{at}: schema keywords that are not checked: {', '.join(unknown)}")
+    if schema.get("type", "null") not in list(_TYPES) or schema.get("additionalProperties", True) not in (True, False):
+        raise ValueError(f"{at}: only a single type and a plain additionalProperties are checked")
+    for k, field in schema.get("properties", {}).items():
+        require_known(field, f"{at}.{k}")
+    if "items" in schema:
+        require_known(schema["items"], f"{at}[]")
+
+
+def read_arguments(raw: str | None, schema: dict) -> tuple[object, list[str]]:
+    """(arguments, violations); null and one violation for what is no JSON or has no canonical form.
+
+    That are numbers beyond the range of doubles, half surrogate pairs and nesting beyond Python's stack.
+    """
+    def refuse(name: str):
+        raise ValueError(name)
+
+    try:
+        value = json.loads(raw or "", parse_constant=refuse)
+        found = problems(value, {"type": "object"} | schema)
+        canonical(value).encode()
+        "".join(found).encode()
+    except (ValueError, RecursionError):
+        return None, ["$: not JSON"]
+    return value, found
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, call_id, level) from (conv, call_id, after): null for calls on a circle or behind one.
 
@@ -84,8 +119,11 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
     ``calls``: conv, call_id, turn, name, arguments (JSON text), after; ``results``: conv, call_id, turn, content.
     Of calls (or results) that repeat an id in a conversation the first by turn counts, ties by the smaller content.
     Arguments that are null, no JSON or no object are not valid; a tool without a schema accepts any object.  A call
-    without an id is dropped, as nothing can refer to it; a missing result is null in the canonical form.
+    without an id is dropped, as nothing can refer to it; a missing result is null in the canonical form.  Results that
+    no call asked for are left out here: ``orphans`` gives them.  A schema with a keyword that is not checked is an error.
     """
+    for name, schema in schemas.items():
+        require_known(schema, name)
     first_call = (calls.filter("call_id is not null").groupBy(*KEYS)
                        .agg(F.min(F.struct("turn", "arguments", "name", "after")).alias("c")).select(*KEYS, "c.turn", "c.name", "c.arguments", "c.after"))
     first_call = written(first_call, "calls")
@@ -101,11 +139,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
                 cols = dict(zip(piece.schema.names, (c.to_pylist() for c in piece.columns)))
                 found, texts = [], []
                 for call_id, name, raw, content in zip(cols["call_id"], cols["name"], cols["arguments"], cols["content"]):
-                    try:
-                        args = json.loads(raw or "", parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
-                        bad = problems(args, {"type": "object"} | schemas.get(name, {}))
-                    except (ValueError, RecursionError):
-                        args, bad = None, ["$: not JSON"]
+                    args, bad = read_arguments(raw, schemas.get(name, {}))
                     found.append(bad)
                     texts.append(canonical({"arguments": args, "id": call_id, "name": name, "result": content}))
                 yield pa.RecordBatch.from_arrays(
@@ -118,6 +152,12 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
     return joined.select("conv", "call_id", F.col("turn").cast("bigint").alias("turn"), "level", "name", "arguments", "content").mapInArrow(check, schema)
 
 
+def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """Results whose (conv, call_id) no call has, or that name no call."""
+    asked = calls.filter("call_id is not null").select(F.col("conv").alias("ac"), F.col("call_id").alias("ai")).distinct()
+    return results.join(asked, F.col("conv").eqNullSafe(F.col("ac")) & (F.col("call_id") == F.col("ai")), "left_anti")
+
+
 def transcripts(links: DataFrame) -> DataFrame:
     """(conv, position, canonical): the calls of each conversation in topological order, by level, then turn, then id.
 

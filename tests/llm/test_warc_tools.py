@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from sigloom.llm import tools, warc
@@ -81,3 +82,20 @@ def test_tool_call_levels_long_chain(spark):
     assert {r.call_id: r.level for r in tools.levels(calls).collect()} == {f"c{i}": i for i in range(n)}
     none = calls.filter("conv = 9")
     assert tools.linked(none, spark.createDataFrame([], RESULTS), {}).collect() == []
+
+
+@pytest.mark.parametrize("raw", ['{"z": 1e400}', '{"q": "\\ud800"}', '{"a": ' + "[" * 3000 + "]" * 3000 + "}", '{"x": NaN}', "[1]", None])
+def test_arguments_that_cannot_be_written_are_invalid(spark, raw):
+    calls = spark.createDataFrame([("c", "1", 1, "f", raw, None)], "conv string, call_id string, turn int, name string, arguments string, after string")
+    results = spark.createDataFrame([("c", "1", 2, "x"), ("c", "9", 3, "lost"), ("c", None, 4, "lost")], "conv string, call_id string, turn int, content string")
+    row = tools.linked(calls, results, {}).first()
+    assert not row.valid and row.answered and '"id":"1"' in row.canonical
+    assert tools.orphans(calls, results).count() == 2
+
+
+def test_unknown_schema_keywords_are_an_error(spark):
+    calls = spark.createDataFrame([], "conv string, call_id string, turn int, name string, arguments string, after string")
+    results = spark.createDataFrame([], "conv string, call_id string, turn int, content string")
+    for schema in ({"pattern": "x"}, {"properties": {"a": {"anyOf": []}}}, {"items": {"$ref": "#"}}, {"type": ["string", "null"]}):
+        with pytest.raises(ValueError):
+            tools.linked(calls, results, {"f": schema})
