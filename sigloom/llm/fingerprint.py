@@ -2,7 +2,7 @@
 
 A paragraph is hashed to a wide vector: eight 64-bit lanes from a keyless BLAKE2b digest, and ``LANES`` small lanes to
 which each run of three words adds plus or minus one.  A fingerprint is the sum over all paragraphs, modulo 2**64 in the
-wide lanes and modulo 2**16 in the small ones.  So the order of paragraphs does not matter, and paragraphs can be put in
+wide lanes and modulo 2**32 in the small ones, more than one text can have runs.  So the order of paragraphs does not matter, and paragraphs can be put in
 or taken out by adding or subtracting their vectors.  The wide lanes tell equality; the squared difference of the small
 lanes estimates by how many runs two texts differ.
 """
@@ -46,7 +46,7 @@ class Sums:
         cell = owner[paragraph] * LANES + (h % U64(LANES)).astype(np.int64) if len(h) else np.zeros(0, np.int64)
         sign = ((h >> U64(32)) & U64(1)).astype(np.float64) * 2 - 1
         small = np.bincount(cell, weights=sign, minlength=len(texts) * LANES).reshape(len(texts), LANES)
-        return cls(wide, small.astype(np.int64).astype(np.uint16))
+        return cls(wide, small.astype(np.int64).astype(np.uint32))
 
     def __add__(self, other: Sums) -> Sums:
         return Sums(self.wide + other.wide, self.small + other.small)
@@ -55,12 +55,12 @@ class Sums:
         return Sums(self.wide - other.wide, self.small - other.small)
 
     def hex(self) -> list[str]:
-        return [(w.astype("<u8").tobytes() + s.astype("<u2").tobytes()).hex() for w, s in zip(self.wide, self.small)]
+        return [(w.astype("<u8").tobytes() + s.astype("<u4").tobytes()).hex() for w, s in zip(self.wide, self.small)]
 
     def likeness(self, other: Sums) -> np.ndarray:
         """1 for equal fingerprints, about the share of common word runs for others, 0 for unrelated ones."""
-        a, b = self.small.astype(np.int16).astype(np.float64), other.small.astype(np.int16).astype(np.float64)
-        apart = (self.small - other.small).astype(np.int16).astype(np.float64)
+        a, b = self.small.astype(np.int32).astype(np.float64), other.small.astype(np.int32).astype(np.float64)
+        apart = (self.small - other.small).astype(np.int32).astype(np.float64)
         size = (a * a).sum(1) + (b * b).sum(1)
         near = np.clip(1 - (apart * apart).sum(1) / np.where(size > 0, size, 1), 0, 1) * (size > 0)
         return np.where((self.wide == other.wide).all(1) & (self.small == other.small).all(1), 1.0, near)
