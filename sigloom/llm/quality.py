@@ -15,11 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sigloom.llm.common import pieces
 
 SAMPLE_ROWS = 2000  # labelled rows per class that a fit reads at most
-SAMPLE_BYTES = 8 << 20  # and their text bytes per class; a row that passes the bound ends the sample
+SAMPLE_BYTES = 8 << 20  # and their text bytes per class
+LONGEST_SAMPLED = 1 << 20  # bytes of a text from which a fit passes it over, so that no text fills the sample by itself
 DICTIONARY_BYTES = 112 << 10
 DICTIONARY_SHARE = 0.6  # of the sample; the rest fits the curve
 LEVEL = 3
@@ -68,17 +70,19 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     clean = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).filter("id is not null and label in (0, 1)")
                    .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other"))
     out = {}
+    short = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).alias("bytes")).filter(F.col("bytes") <= LONGEST_SAMPLED)
     for label in (0, 1):
-        chosen = clean.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+        chosen = clean.filter(F.col("label") == label).join(short, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
         rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                    .filter(F.octet_length("text") <= LONGEST_SAMPLED)
                     .join(F.broadcast(chosen), "id")  # SAMPLE_ROWS ids at most
                     .orderBy(F.xxhash64("id"), "id", F.xxhash64("text"), "text").limit(SAMPLE_ROWS))
         texts, size = [], 0
         for row in rows.toLocalIterator():
-            size += len(row.text.encode())
-            if size > SAMPLE_BYTES and texts:
-                break
-            texts.append(row.text.encode())
+            text = row.text.encode()
+            if size + len(text) <= SAMPLE_BYTES:
+                size += len(text)
+                texts.append(text)
         out[label] = texts
     return out
 
@@ -113,16 +117,18 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", score_c
     if model is None:
         return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(0.5).alias(score_col))
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
+    # Plain names inside: a name with a dot cannot pass through mapInArrow.
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    text = f"c{kept.index(text_col)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = _Sizes(model.good, model.bad)
         mean, scale, w = np.array(model.mean), np.array(model.scale), np.array(model.weights)
         for batch in batches:
-            for piece in pieces(batch, text_col):
-                texts = piece.column(piece.schema.get_field_index(text_col)).fill_null("").cast(pa.binary()).to_pylist()
+            for piece in pieces(batch, text):
+                texts = piece.column(piece.schema.get_field_index(text)).fill_null("").cast(pa.binary()).to_pylist()
                 x = (np.array([sizes.features(t) for t in texts]) - mean) / scale
                 score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(score)], [*piece.schema.names, score_col])
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(score)], [*piece.schema.names, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema.add(score_col, "double"))
+    return inner.mapInArrow(run, StructType([*inner.schema.fields, StructField("score", DoubleType())])).toDF(*kept, score_col)

@@ -174,3 +174,18 @@ def test_quality_awkward(spark):
 def test_term_pattern(spark, text, count):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(F.size(privacy.spans(F.col("t"), "a b"))).first()[0] == count
+
+
+def test_fingerprint_of_one_word_repeated(spark):
+    text = "again " * 65_536
+    df = spark.createDataFrame([(1, text, None, None, 1), (2, "something else entirely here " * 30_000, None, None, 1)], SCHEMA)
+    first = fingerprint.compared(df).filter("id = 1").first()
+    assert 0.5 < first.near_edited < 1
+
+
+def test_quality_sample_passes_long_texts_over(spark):
+    rows = [(i, "good words stand here in order " * 20, "en", "a", 1) for i in range(8)] + [(i, "zzz qqq ### " * 20, "en", "a", 1) for i in range(8, 16)]
+    rows += [(99, "x" * (quality.LONGEST_SAMPLED + 1), "en", "a", 1)]
+    labels = spark.createDataFrame([(i, int(i < 8)) for i in range(16)] + [(99, 1), (500, 1)], "doc_id bigint, quality int")
+    sample = quality.labelled(spark.createDataFrame(rows, SCHEMA), labels)
+    assert len(sample[1]) == 8 and len(sample[0]) == 8
