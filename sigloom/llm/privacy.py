@@ -128,25 +128,25 @@ def disclosing(docs: DataFrame, marked: DataFrame, entities: DataFrame, text_col
     apart = F.regexp_replace("body", F.concat(F.lit("\\Q"), F.array_join(values, "\\E|\\Q"), F.lit("\\E")), F.lit(" | "))
     texts = marked.filter("body is not null").join(held.select("digest").distinct(), "digest", "left_semi")
     words = written(texts.select("digest", terms_of(apart)).distinct(), "words")
-    digest = F.unhex(F.substring(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256), 1, 32)).alias("digest")
-    total = docs.select(digest).distinct().agg(F.count(F.lit(1)).alias("total"))  # one row
-    # A term cannot stand in fewer texts than those in which it was seen here, and it tells most if it stands in every text
-    # of an entity: what is too common even for the most frequent entity is ruled out before terms meet entities.
+    # Frequencies first, one row per distinct text: a text's terms are distinct, so they are counted where they are read.
+    body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    digest = F.unhex(F.substring(F.sha2(body, 256), 1, 32))
+    distinct = docs.select(digest.alias("digest"), body.alias("body")).dropDuplicates(["digest"])
+    per_term = distinct.select(terms_of(F.col("body"))).groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
+    total = docs.select(digest.alias("digest")).distinct().agg(F.count(F.lit(1)).alias("total"))  # one row
+    # A term tells most if it stands in every text of an entity: what is too common even for the most frequent entity is
+    # ruled out before terms meet entities.
     most = per_entity.agg(F.max("of_entity").alias("of_entity"))
-    seen = words.groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
-    bound = seen.withColumns({"total": total.scalar(), "of_entity": most.scalar()}).withColumn("both", F.least("of_entity", "seen"))
-    rare = bound.filter(F.coalesce(_share(F.col("seen")), F.lit(1.0)) >= disclosed).select("term", "seen", "total")
-    places = words.join(rare, "term").join(held, "digest").withColumn("beside", F.when(F.array_contains("near", F.col("term")), F.col("context"))).drop("near")
+    bound = per_term.withColumns({"total": total.scalar(), "of_entity": most.scalar()}).withColumn("both", F.least("of_entity", "of_term"))
+    rare = written(bound.filter(F.coalesce(_share(F.col("of_term")), F.lit(1.0)) >= disclosed).select("term", "of_term", "total"), "rare")
+    texts = marked.filter("body is not null").join(held.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
+    words = texts.select("digest", terms_of(apart)).join(rare, "term")
+    places = words.join(held, "digest").withColumn("beside", F.when(F.array_contains("near", F.col("term")), F.col("context"))).drop("near")
     # Support: contexts that hold the term, or else contexts in as many texts that hold it anywhere.
     whole = places.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("beside").alias("beside"), F.count_distinct("digest").alias("both"),
-                                              F.min("seen").alias("seen"), F.min("total").alias("total"), F.min("of_entity").alias("of_entity"))
+                                              F.min("of_term").alias("of_term"), F.min("total").alias("total"), F.min("of_entity").alias("of_entity"))
     enough = (F.col("beside") >= support) | (F.least("contexts", "both") >= support)
-    pairs = written(whole.filter(enough & (_share(F.col("seen")) >= disclosed)).drop("seen", "contexts", "beside"), "pairs")
-    wanted = written(pairs.select("term").distinct(), "terms")
-    corpus = docs.select(digest, terms_of(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    per_term = corpus.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
-    rated = pairs.join(per_term, "term")
-    return rated.select("entity", "term", _share(F.col("of_term")).alias("share")).filter(F.col("share") >= disclosed)
+    return whole.filter(enough).select("entity", "term", _share(F.col("of_term")).alias("share")).filter(F.col("share") >= disclosed)
 
 
 def term_spans(marked: DataFrame, entities: DataFrame, terms: DataFrame) -> DataFrame:
