@@ -102,7 +102,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     sized = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"),
                         word_count(F.col(f"`{text_col}`")).alias("size"),
                         F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(seed)).alias("h"))
-    base = sized if carry else written(sized, "sizes")
+    base = written(sized, "sizes")
     goals = written(source_targets(base.select("source", "size"), weights, share, limit), "targets")
     most = goals.agg(F.max("n")).first()[0] or 0
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -142,7 +142,14 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows stay whole: a document taken in part comes once more if at least half of its words are taken.
     """
-    found = mixed(docs, id_col, text_col, source_col, carry=docs.columns, **options)
+    key = "mix_row"
+    while key.lower() in [c.lower() for c in docs.columns]:
+        key += "_"
+    numbered = written(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    found = mixed(numbered, id_col, text_col, source_col, carry=[key], **options)
     times = F.col("copies") + ((F.col("cut_words") * 2 >= F.col("size")) & (F.col("cut_words") > 0)).cast("int")
-    repeated = found.filter(times > 0).select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("copy"))
-    return repeated.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    # Only numbers go through the tree; the rows themselves come back by them.
+    copies = written(found.filter(times > 0).select(F.col(f"row.{key}").alias(key), times.alias("mix_times")), "copies")
+    whole = numbered.alias("d").join(copies.alias("c"), F.col(f"d.{key}") == F.col(f"c.{key}"))
+    own = [F.col(f"d.`{c}`").alias(c) for c in docs.columns]
+    return whole.select(*own, F.explode(F.array_repeat(F.lit(1), F.col("c.mix_times"))).alias(f"{key}_copy")).drop(f"{key}_copy")

@@ -21,8 +21,10 @@ from sigloom.llm.common import PIECE_BYTES, pieces, worker_store, written
 
 WINDOW = 4096
 END_ID = 2
-CACHE_ENTRIES = 800_000  # chunks and words whose ids a worker remembers; only speed depends on it
-TEXT_BYTES = 8 << 20  # text encoded at once
+STORE_BYTES = 64 << 20  # memory of the chunks and words that a worker remembers, each; only speed depends on it
+ENTRY_BYTES = 200  # what Python needs for an entry besides its bytes
+LONGEST_KEPT = 256  # bytes of a chunk that is remembered
+TEXT_BYTES = 4 << 20  # text encoded at once
 
 IDS_SCHEMA = "part int, before bigint, n bigint, ids binary, id bigint"
 PIECE_SCHEMA = "id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -70,7 +72,7 @@ class Encoder:
     def _of_chunks(self, chunks: list[bytes]) -> list[bytes]:
         known, others = self.words, self.others
         for store in (known, others):
-            if len(store) > CACHE_ENTRIES:
+            if store.get(b"", 0) > STORE_BYTES:  # the empty chunk, which no text has, holds the size
                 store.clear()
         plain = list(map(self.word.findall, chunks))
         for i, (c, ws) in enumerate(zip(chunks, plain)):
@@ -78,9 +80,14 @@ class Encoder:
                 plain[i] = None
         self._learn_words(list({w for ws in plain if ws for w in ws if w not in known}))
         new = [c for c, ws in zip(chunks, plain) if ws is None and c not in others]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
-            others[c] = np.asarray(e.ids, "<u4").tobytes()
-        return [others[c] if ws is None else known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for c, ws in zip(chunks, plain)]
+        found = {c: np.asarray(e.ids, "<u4").tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False))}
+        out = [(found[c] if c in found else others[c]) if ws is None else known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for c, ws in zip(chunks, plain)]
+        short = {c: ids for c, ids in found.items() if len(c) <= LONGEST_KEPT}
+        others.update(short)
+        others[b""] = others.get(b"", 0) + sum(len(c) + len(ids) + ENTRY_BYTES for c, ids in short.items())
+        for w in [w for ws in plain if ws for w in ws if len(w) > LONGEST_KEPT]:
+            known.pop(w, None)
+        return out
 
     def _learn_words(self, words: list[bytes]) -> None:
         for i in range(0, len(words), self.TOGETHER):
@@ -91,6 +98,7 @@ class Encoder:
                 raise ValueError("this vocabulary does not close every word with a word-end token")
             for w, a, b in zip(group, [0, *stops], stops):
                 self.words[w] = ids[a:b].tobytes()
+            self.words[b""] = self.words.get(b"", 0) + sum(len(w) + ENTRY_BYTES for w in group) + 4 * len(ids)
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
