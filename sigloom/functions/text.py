@@ -343,6 +343,29 @@ def first_type_in_title(title: Column, types: list[str], default: str = "unknown
 
 
 # --- highlighting -----------------------------------------------------------------------------
+STRIDE = 64
+
+
+def sums_before(values: Column) -> Column:
+    """For every element of an integer array the sum of those before it.
+
+    An array cannot grow in place, so adding to one at every element costs the square of its length.  Here only one sum per
+    ``STRIDE`` elements is added to an array, and inside a stretch of that length the sums are taken directly.
+    """
+    stretches = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / STRIDE).cast("int")),
+                                      lambda i: F.slice(v, i * STRIDE + 1, F.lit(STRIDE)))
+    total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def bases(parts: Column) -> Column:
+        step = lambda acc, c: F.struct((acc["at"] + total(c)).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+        return F.aggregate(parts, begin, step, lambda acc: acc["out"])
+
+    inside = lambda c, base: F.transform(c, lambda x, j: base + total(F.slice(c, F.lit(1), j)))
+    summed = let(values, lambda v: let(stretches(v), lambda parts: F.flatten(F.zip_with(parts, bases(parts), inside))))
+    return F.when(F.size(values) > 0, summed).otherwise(F.array().cast("array<int>"))
+
+
 def highlight_spans(text: Column, signal: Column) -> Column:
     """Start (0-based) and token of every case-insensitive, non-overlapping hit of each signal token."""
     tokens = F.array_distinct(F.filter(F.split(F.lower(signal), fv.HIGHLIGHT_SPLIT), lambda t: t != ""))
@@ -351,12 +374,12 @@ def highlight_spans(text: Column, signal: Column) -> Column:
         # Splitting on the literal token gives the gaps between hits; a running sum gives the starts.
         gaps = F.transform(F.split(low, F.concat(F.lit("\\Q"), token, F.lit("\\E")), -1), lambda g: F.length(g))
         step = F.length(token)
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-        walked = F.aggregate(
-            F.slice(gaps, F.lit(1), F.size(gaps) - 1), start,
-            lambda acc, g: F.struct((acc["at"] + g + step).alias("at"),
-                                    F.concat(acc["starts"], F.array(acc["at"] + g)).alias("starts")))
-        return F.transform(walked["starts"], lambda s: F.struct(s.alias("start"), token.alias("token")))
+
+        def starts(g: Column) -> Column:
+            before = sums_before(F.transform(g, lambda x: x + step))
+            return F.zip_with(g, before, lambda x, b: F.struct((x + b).alias("start"), token.alias("token")))
+
+        return let(gaps, lambda g: F.slice(starts(g), F.lit(1), F.size(g) - 1))
 
     found = let(F.lower(text), lambda low: F.flatten(F.transform(tokens, lambda t: hits(low, t))))
     return F.coalesce(F.array_sort(found),

@@ -12,12 +12,12 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigloom.functions import parse as ps
+from sigloom.sources.rounds import append_in_rounds, by_hash, table_or_empty
 
 TextFunction = Callable[[list[str]], list[str]]
 
@@ -84,24 +84,18 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
     return rows.mapInPandas(work, schema)
 
 
-def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id", **kw) -> DataFrame:
-    """Raw answers of all rows, written under ``path`` as the tasks finish; rows that an earlier run has written are not asked again.
+def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id",
+            per_round: int = 100_000, **kw) -> DataFrame:
+    """Raw answers of all rows, appended under ``path`` in rounds of about ``per_round`` prompts that commit by themselves.
 
-    Every run appends; a failed prompt is asked again by the next run.
+    A run that dies loses the answers of its last round only: the next run asks what is missing and what had failed.
     """
     spark = df.sparkSession
     out = df.select(key, prompt)
     schema = T.StructType([*out.schema.fields, T.StructField("result", T.StringType()), T.StructField("error", T.StringType())])
-    try:
-        done = spark.read.schema(schema).parquet(path)
-        done.take(0)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        done = spark.createDataFrame([], schema)
-    todo = unfinished(out, done.filter("error = ''"), key)
-    run_text_function(todo, prompt, factory, **kw).write.mode("append").parquet(path)
-    answers = spark.read.schema(schema).parquet(path)
+    todo = unfinished(out, table_or_empty(spark, path, schema).filter("error = ''"), key)
+    append_in_rounds(todo, by_hash(todo, [key], per_round), lambda rows: run_text_function(rows, prompt, factory, **kw), path)
+    answers = table_or_empty(spark, path, schema)
     return answers.groupBy(key).agg(F.min_by(F.struct("result", "error"), F.struct(F.col("error") != "", "result")).alias("_a")).select(key, "_a.result", "_a.error")
 
 

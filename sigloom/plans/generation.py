@@ -16,7 +16,7 @@ def generate(items: DataFrame, prompt: Template, factory: Callable[[], infer.Tex
              n: int = 5, key: str = "item_id", keep: tuple[str, ...] = (), **kw) -> DataFrame:
     """One row per item and signal.
 
-    Raw answers are appended under ``raw_path`` as tasks finish, so a run that broke off goes on with what is missing;
+    Raw answers are appended under ``raw_path`` round by round, so a run that broke off goes on with what is missing;
     parsing works on the persisted answers.  With ``output`` the signals are written there and read back.
     """
     prompts = items.select(key, prompt.fill(None).alias("prompt"))

@@ -12,6 +12,7 @@ from sigloom.plans import judging
 from sigloom.plans.generation import generate
 from sigloom.registry.core import query
 from sigloom.registry.people import h
+from sigloom.registry.grounding import TITLE_SQL
 from sigloom.registry.selection import LATEST_SQL
 from sigloom.sources import export as ex
 from sigloom.sources import readers, writers
@@ -160,7 +161,11 @@ def label_model():
     return fn
 
 
-@query("inf_01_generate_signals")
+INF_01_SQL = f"""with a as (select item_id, length(title) as n, array_to_string(list_filter(string_split(title, ' '), lambda x: x <> '')[1:2], ' ') as c from v_signals)
+  select item_id, coalesce({TITLE_SQL.format(c='c')}, '') as signal_m_1, n::varchar as explanation_m_1, '' as signal_m_2, '' as error_m from a"""
+
+
+@query("inf_01_generate_signals", INF_01_SQL)
 def _(b):
     done = infer.generate_signals(b.v_signals.select("item_id", F.regexp_replace("title", '"', "").alias("title")), "title", first_word_model, "m", n=3)
     return done.select("item_id", "signal_m_1", "explanation_m_1", "signal_m_2", "error_m")
@@ -200,6 +205,22 @@ def _(b):
     return infer.unfinished(b.documents.select("doc_id"), b.labels, "doc_id")
 
 
+@query("inf_05b_resumed_run", """select doc_id, case when lang = 'en' and length(text) % 7 <> 0 then 'first ' else 'second ' end || length(text) as result, '' as error from documents""")
+def _(b):
+    def factory(name, picky):
+        def make():
+            def fn(prompts):
+                if picky and any(len(p) % 7 == 0 for p in prompts):
+                    raise ValueError("refused")
+                return [f"{name} {len(p)}" for p in prompts]
+            return fn
+        return make
+    rows, path = b.documents.select("doc_id", "text", "lang"), scratch(b, "answers")
+    # The first run breaks off with the English documents, and some prompts fail; the second asks what is missing.
+    infer.resumed(rows.filter("lang = 'en'"), "text", factory("first", True), path, "doc_id", per_round=200, batch=8)
+    return infer.resumed(rows, "text", factory("second", False), path, "doc_id", per_round=400, batch=64)
+
+
 @query("plan_03_generate_and_parse", """select doc_id as item_id, lang, 'Source ' || upper(source[1:1]) || source[2:] as signal,
   length('Source ' || trim(source) || ' says ' || trim(text))::varchar as explanation from documents""")
 def _(b):
@@ -262,6 +283,24 @@ def _(b):
     return ex.send(ex.batches(ex.payload(export_rows(b), "P1")), factory, tasks=2)
 
 
+@query("exp_06_send_ledger", PAYLOAD_SQL + """, n as (select "itemId", row_number() over (order by "itemId") - 1 as pos from payload), c as (select pos // 100 as batch_id, count(*)::int as rows from n group by 1)
+  select batch_id, rows, case when batch_id % 3 = 0 and rows > 50 then 3 else 1 end as attempts, case when batch_id % 3 = 0 and rows > 50 then 1 else 0 end as splits, true as ok, '' as error from c""")
+def _(b):
+    def factory(first):
+        def make():
+            def sender(records):
+                if first:  # a batch is known by its records: refuse every third one
+                    return ex.Answer(200 if records[0]["features"] != "refuse" else 503)
+                return ex.Answer(500, "Message exceeds maximum size") if len(records) > 50 else ex.Answer(200)
+            return sender
+        return make
+    batched, ledger = ex.batches(ex.payload(export_rows(b), "P1"), size=100), scratch(b, "ledger")
+    refuse = F.transform("records", lambda r: F.lit('{"features":"refuse"}'))
+    # In the first run every third batch is refused (under other records); the second sends those and no other.
+    ex.send_once(batched.withColumn("records", F.when(F.col("batch_id") % 3 == 0, refuse).otherwise(F.col("records"))), factory(True), ledger, per_round=4)
+    return ex.send_once(batched, factory(False), ledger, per_round=2)
+
+
 @query("exp_05_single_records", PAYLOAD_SQL + """ select row_number() over (order by "itemId") - 1 as batch_id, "itemId" as id from payload order by "itemId" limit 450""")
 def _(b):
     one = ex.single_records(ex.payload(export_rows(b), "P1"), 450)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.operators.ordering import ordered_position
+from sigloom.sources.rounds import append_in_rounds, table_or_empty
 
 
 def features_text(df: DataFrame, column: str) -> Column:
@@ -82,9 +83,10 @@ RESULT = "batch_id bigint, rows int, attempts int, splits int, ok boolean, error
 
 
 def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.EXPORT_MAX_ATTEMPTS,
-         pause: Callable[[float], None] = time.sleep, tasks: int | None = None) -> DataFrame:
+         pause: Callable[[float], None] = time.sleep, tasks: int | None = None, carry: str | None = None) -> DataFrame:
     """Send every batch; one result row per batch.  ``tasks`` bounds the senders at work at once; None keeps the table's partitions.
 
+    ``carry`` names a text column that comes back in front of the result.
     The batch id is stable, so a receiver can drop the repeat of a batch whose task ran twice.
     """
 
@@ -99,10 +101,41 @@ def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.E
                     out.append((batch_id, len(rows), calls, splits, True, ""))
                 except Exception as e:  # noqa: BLE001 - reported per batch
                     out.append((batch_id, len(rows), 0, 0, False, str(e) or type(e).__name__))
-            yield pd.DataFrame(out, columns=["batch_id", "rows", "attempts", "splits", "ok", "error"])
+            done = pd.DataFrame(out, columns=["batch_id", "rows", "attempts", "splits", "ok", "error"])
+            if carry:
+                done.insert(0, carry, list(frame[carry]))
+            yield done
 
     rows = batched if tasks is None else batched.repartition(tasks, "batch_id")
-    return rows.mapInPandas(work, RESULT)
+    return rows.mapInPandas(work, f"{carry} string, {RESULT}" if carry else RESULT)
+
+
+LEDGER = "digest string, " + RESULT
+
+
+def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, per_round: int = 1000, **kw) -> DataFrame:
+    """Sends what the ledger does not hold as sent; one result row per batch of this table.
+
+    The ledger is a Parquet table under ``ledger``: one row per send, with a digest of the batch's records, so a batch id that
+    stands for other records now is sent again.  Batches go in order of their ids, ``per_round`` at a time, and every round
+    commits its rows: a run that dies sends at most the batches of one round a second time, with 1 only the one in hand.
+    """
+    spark = batched.sparkSession
+    schema = spark.createDataFrame([], LEDGER).schema
+    content = F.sha2(F.to_json("records"), 256)
+    stamped = batched.withColumn("digest", content)
+    known = table_or_empty(spark, ledger, schema).filter("ok").select("batch_id", "digest").distinct()
+    todo = stamped.join(known, ["batch_id", "digest"], "left_anti")
+
+    def work(rows: DataFrame) -> DataFrame:
+        return send(rows.select("batch_id", "records", "digest"), factory, carry="digest", **kw)
+
+    append_in_rounds(todo, F.floor(F.col("batch_id") / per_round).cast("bigint"), work, ledger)
+    wanted = stamped.select("batch_id", "digest")
+    names = [f.name for f in schema if f.name not in ("batch_id", "digest")]
+    best = (table_or_empty(spark, ledger, schema).join(wanted, ["batch_id", "digest"], "left_semi")
+            .groupBy("batch_id").agg(F.min_by(F.struct(*names), F.struct(~F.col("ok"), *names)).alias("_r")))
+    return best.select("batch_id", *[F.col(f"_r.{c}").alias(c) for c in names])
 
 
 def single_records(df: DataFrame, limit: int | None, key: str = "itemId") -> DataFrame:
