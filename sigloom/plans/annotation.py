@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sigloom.operators import agreement as ag
 from sigloom.operators import sampling
@@ -22,7 +23,12 @@ def hand_out(signals: DataFrame, originals: DataFrame, annotators: list[str], it
     restored = sampling.restore_originals(drawn, originals, restore, key=key)
     out = sampling.with_annotation_columns(restored, [*restored.columns, *sampling.ANNOTATION_COLUMNS])
     write_per_annotator(out, path)
-    return signals.sparkSession.read.schema(out.schema).json(path)
+    return returned(signals.sparkSession, path, out.schema)
+
+
+def returned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What lies in the annotators' folders."""
+    return spark.read.schema(schema).json(path)
 
 
 @dataclass(frozen=True)

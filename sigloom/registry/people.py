@@ -290,6 +290,41 @@ def _(b):
     return agreement_report(sampled, b.v_pairs).withColumn("kappa", F.round("kappa", 9))
 
 
+# Kappa's CTE without its final select.
+KAPPA_CTE = KAPPA_SQL.rsplit("select pair, n, round", 1)[0].rstrip()
+
+
+@query("plan_06b_annotation_round", f"""with {KAPPA_CTE}, kap as (select pair, n, round((po - pe) / (1 - pe), 9) as kappa from t join e using (pair)),
+  kinds as (select annotator_name || '|' || annotator_name_2 as pair, least(label, label_2) || '|' || greatest(label, label_2) as kind, count(*) as kind_n from paired where label <> label_2 group by all)
+  select p.item_id, p.signal, p.annotator_name || '|' || p.annotator_name_2 as pair, p.label, p.label_2, coalesce(d.final_label, p.label) as final_label,
+    coalesce(d.final_reason, d.reason, p.reason, p.reason_2) as final_reason, coalesce(d.final_comment, p.comment, p.comment_2) as final_comment,
+    s.title, s.aspects, kap.n as pair_n, kap.kappa, kinds.kind_n
+  from paired p left join v_adjudicated d on d.item_id = p.item_id and d.signal = p.signal left join v_signals s on s.item_id = p.item_id
+  left join kap on kap.pair = p.annotator_name || '|' || p.annotator_name_2
+  left join kinds on kinds.pair = p.annotator_name || '|' || p.annotator_name_2 and kinds.kind = least(p.label, p.label_2) || '|' || greatest(p.label, p.label_2)""")
+def _(b):
+    from sigloom.plans.annotation import evaluate_round, returned
+    from sigloom.sources.folders import new_folder
+    from sigloom.sources.writers import write_per_annotator
+    # All annotations, with what the annotators saw beside them, go out as one folder per annotator and come back.
+    seen = b.v_annotations.join(b.v_signals.select("item_id", "title", "aspects"), "item_id", "left")
+    path = new_folder(b.spark, "annotators")
+    write_per_annotator(seen, path)
+    result = evaluate_round(returned(b.spark, path, seen.schema), b.v_pairs, b.v_adjudicated, context=("title", "aspects"))
+    kappa = result.kappa.select(F.col("pair").alias("kp"), F.col("n").alias("pair_n"), F.round("kappa", 9).alias("kappa"))
+    kinds = result.disagreements.select(F.col("pair").alias("dp"), "kind", F.col("n").alias("kind_n"))
+    final = result.final.withColumn("pair", F.concat_ws("|", "annotator_name", "annotator_name_2")).withColumn(
+        "unlike", F.concat_ws("|", F.least("label", "label_2"), F.greatest("label", "label_2")))
+    rows = final.join(kappa, F.col("pair") == F.col("kp"), "left").join(kinds, (F.col("pair") == F.col("dp")) & (F.col("unlike") == F.col("kind")), "left")
+    return rows.select("item_id", "signal", "pair", "label", "label_2", "final_label", "final_reason", "final_comment", "title", "aspects", "pair_n", "kappa", "kind_n")
+
+
+@query("jon_11b_pairs_with_context", f"with {PAIRED_SQL} select p.*, s.title, s.aspects, s.desc from paired p join v_signals s using (item_id)")
+def _(b):
+    seen = b.v_annotations.join(b.v_signals.select("item_id", "title", "aspects", "desc"), "item_id")
+    return ag.pair_annotations(seen, b.v_pairs, context=("title", "aspects", "desc"))
+
+
 @query("agg_18_binary_metrics", """with c as (select count(*) filter (quality <> 0 and toxic <> 0) as tp, count(*) filter (quality = 0 and toxic <> 0) as fp, count(*) filter (quality <> 0 and toxic = 0) as fn,
   count(*) filter (quality = 0 and toxic = 0) as tn from labels) select tp, fp, fn, tn, tp / (tp + fp)::double as precision, tp / (tp + fn)::double as recall, 2 * tp / (2 * tp + fp + fn)::double as f1 from c""")
 def _(b):
