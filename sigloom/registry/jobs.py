@@ -353,10 +353,8 @@ def _(b):
     for name in ("file_1", "file_2"):
         paths.append(scratch(b, name))
         writers.write_csv(b.v_annotations.filter(F.col("source_file") == name).select(*ANNOTATION_SCHEMA.names), paths[-1])
-    merged = readers.read_csv_with_source(b.spark, paths, ANNOTATION_SCHEMA)
-    # Spark names part files itself, so the folder tells the source here.
-    who = F.regexp_extract(F.col("_metadata.file_path"), r"(file_[12])[^/]*/[^/]*$", 1)
-    return merged.filter("source_file is not null").groupBy(who.alias("who")).agg(F.count("*").alias("n"))
+    merged = readers.read_csv_with_source(b.spark, paths, ANNOTATION_SCHEMA, by_folder=True)
+    return merged.groupBy(F.col("source_file").alias("who")).agg(F.count("*").alias("n"))
 
 
 @query("snk_01_write_items", "select item_id, signal from v_signals")

@@ -19,9 +19,13 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType,
     return spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"')
 
 
-def read_csv_with_source(spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Many files in one scan, each row tagged with its file name."""
-    return read_csv(spark, paths, schema, multi_line).withColumn("source_file", F.col("_metadata.file_name"))
+def read_csv_with_source(spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = False, by_folder: bool = False) -> DataFrame:
+    """Many files in one scan, each row tagged with its file name, or with the folder that holds it.
+
+    A source that Spark has written is a folder of part files, whose names it makes up.
+    """
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2) if by_folder else F.col("_metadata.file_name")
+    return read_csv(spark, paths, schema, multi_line).withColumn("source_file", name)
 
 
 def read_raw_output(spark: SparkSession, path: str) -> DataFrame:
