@@ -6,10 +6,14 @@ the order, so the result equals one global ``row_number`` while no task sees mor
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKETS = 4096  # three hex digits; bounds every offset table built from hashes
+from sigloom.functions import text as tx
+
+HASH_BUCKETS = 4096  # three hex digits: the slots that a hot value is cut into
 SAMPLES_PER_PART = 20
 
 
@@ -18,8 +22,19 @@ def hash_order(keys: list[str], seed: int = 42) -> Column:
     return F.md5(F.concat_ws("-", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def _bucket_of(hash_col: Column) -> Column:
-    return F.conv(F.substring(hash_col, 1, 3), 16, 10).cast("int")
+def _bucket_of(hash_col: Column, digits: int = 3) -> Column:
+    return F.conv(F.substring(hash_col, 1, digits), 16, 10).cast("int")
+
+
+def _digits(df: DataFrame) -> int:
+    """Hex digits of a bucket's prefix: three or more, so that every shuffle partition gets at least four buckets.
+
+    The shuffle partitions are set for the data, so buckets do not grow with it; there are at most 64 a partition.
+    """
+    digits, wanted = 3, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while 16 ** digits < wanted:
+        digits += 1
+    return digits
 
 
 def _offsets(counts: DataFrame, order: list[str]) -> DataFrame:
@@ -34,7 +49,7 @@ def hash_position(df: DataFrame, keys: list[str], seed: int = 42, position: str
 
     With ``first`` only rows that may be among the first so many are returned.
     """
-    hashed = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", _bucket_of(F.col("_h")))
+    hashed = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", _bucket_of(F.col("_h"), _digits(df)))
     counts = hashed.groupBy("_b").agg(F.count("*").alias("_cnt"))
     offsets = _offsets(counts, ["_b"])
     if total:
@@ -42,10 +57,31 @@ def hash_position(df: DataFrame, keys: list[str], seed: int = 42, position: str
     if first is not None:
         offsets = offsets.filter(F.col("_before") < first)
     local = Window.partitionBy("_b").orderBy("_h", *keys)
-    joined = hashed.join(F.broadcast(offsets.drop("_cnt")), "_b")  # at most HASH_BUCKETS rows
+    joined = hashed.join(F.broadcast(offsets.drop("_cnt")), "_b")  # one row per bucket, see _digits
     return joined.withColumn(position, F.col("_before") + F.row_number().over(local) - 1).drop("_h", "_b", "_before")
 
 
+def hash_part(df: DataFrame, keys: list[str], cuts: Callable[[Column], Column], part: str, seed: int = 42, among: DataFrame | None = None) -> DataFrame:
+    """Adds the part (from 0) of every row when ``among`` (or ``df``) in hash order is cut before the positions ``cuts(rows)``.
+
+    Only keys are read to find the rows that begin a part, and only the buckets that hold one are ordered; every row is
+    then compared with them where it lies.  Rows with equal keys fall into one part.  ``cuts`` gives an array of distinct
+    positions; those beyond the last row cut nothing off.
+    """
+    hashed = (df if among is None else among).select(hash_order(keys, seed).alias("_h"), *keys).withColumn("_b", _bucket_of(F.col("_h"), _digits(df)))
+    offsets = _offsets(hashed.groupBy("_b").agg(F.count("*").alias("_cnt")), ["_b"])
+    placed = offsets.withColumn("_cuts", cuts(F.sum("_cnt").over(Window.partitionBy(F.lit(0)))))
+    inside = F.filter("_cuts", lambda c: (c >= F.col("_before")) & (c < F.col("_before") + F.col("_cnt")))
+    holders = placed.select("_b", F.transform(inside, lambda c: c - F.col("_before")).alias("_skip")).filter(F.size("_skip") > 0)
+    local = Window.partitionBy("_b").orderBy("_h", *keys)
+    numbered = hashed.join(F.broadcast(holders), "_b").withColumn("_at", (F.row_number().over(local) - 1).cast("bigint"))
+    first = numbered.filter(F.array_contains("_skip", F.col("_at"))).select(F.struct("_h", *keys).alias("e"))
+    edges = first.agg(F.sort_array(F.collect_list("e"))).scalar()
+    here = F.struct(hash_order(keys, seed).alias("_h"), *[F.col(k) for k in keys])
+    at = tx.let(F.struct(here.alias("here"), F.col("_edges").alias("edges")), lambda v: F.size(F.filter(v["edges"], lambda e: e <= v["here"])))
+    return df.withColumn("_edges", edges).withColumn(part, at).drop("_edges")
+
+
 def first_by_hash(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """The first ``n`` rows in hash order: a reproducible random sample of exactly min(n, rows) rows.
 

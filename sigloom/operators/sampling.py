@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.operators.filters import arrange
-from sigloom.operators.ordering import first_by_hash, hash_position, ordered_position
+from sigloom.operators.ordering import first_by_hash, hash_part, hash_position, ordered_position
 
 ANNOTATION_COLUMNS = {"label": "", "reason": "", "comment": ""}
 
@@ -106,22 +106,28 @@ def restore_originals(sampled: DataFrame, original: DataFrame, columns: list[str
 
 
 # --- splits ----------------------------------------------------------------------------------
+def _role(part: Column) -> Column:
+    return F.when(part == 0, "train").otherwise("test")
+
+
 def split_rows(df: DataFrame, keys: list[str], fraction: float, seed: int = 42, role: str = "role") -> DataFrame:
-    """'train' for the first floor(n * fraction) rows in hash order, 'test' for the rest."""
-    placed = hash_position(df, keys, seed, "_pos", "_n")
-    return placed.withColumn(role, F.when(F.col("_pos") < F.floor(F.col("_n") * fraction), "train").otherwise("test")).drop("_pos", "_n")
+    """'train' for the first floor(n * fraction) rows in hash order, 'test' for the rest; rows with equal keys stay together."""
+    placed = hash_part(df, keys, lambda n: F.array(F.floor(n * fraction)), "_part", seed)
+    return placed.withColumn(role, _role(F.col("_part"))).drop("_part")
 
 
 def split_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42, role: str = "role") -> DataFrame:
-    """All rows of a key go to one side."""
-    sides = split_rows(df.select(key).distinct(), [key], fraction, seed, role)
-    return df.join(sides, key)
+    """All rows of a key go to one side; rows without a key count as one key."""
+    placed = hash_part(df, [key], lambda n: F.array(F.floor(n * fraction)), "_part", seed, df.select(key).distinct())
+    return placed.withColumn(role, _role(F.col("_part"))).drop("_part")
 
 
 def key_folds(df: DataFrame, key: str, folds: int, seed: int = 42) -> DataFrame:
-    """Test fold (1-based) of every row, by key: fold sizes differ by at most one key."""
-    placed = hash_position(df.select(key).distinct(), [key], seed, "_pos", "_n")
-    return df.join(placed.select(key, (part_of(F.col("_pos"), F.col("_n"), folds) + 1).alias("test_fold")), key)
+    """Test fold (1-based) of every row, by key: fold sizes differ by at most one key; rows without a key count as one key."""
+    # The first n % folds parts are one longer.
+    cuts = lambda n: F.array(*[F.floor(n / folds) * i + F.least(F.lit(i), n % folds) for i in range(1, folds)]).cast("array<bigint>")
+    placed = hash_part(df, [key], cuts, "_part", seed, df.select(key).distinct())
+    return placed.withColumn("test_fold", F.col("_part") + 1).drop("_part")
 
 
 def fold_roles(df: DataFrame, folds: int) -> DataFrame:
@@ -142,10 +148,14 @@ def role_dates(df: DataFrame, time: str, role: str = "role") -> DataFrame:
 
 
 def keep_positives(df: DataFrame, keys: list[str], label: str, negatives_per_positive: float | None, seed: int = 42) -> DataFrame:
-    """All positives and ``int(positives * share)`` negatives in hash order; None keeps positives only."""
+    """All positives and ``int(positives * share)`` negatives in hash order; None keeps positives only.
+
+    Negatives with equal keys are kept or dropped together.
+    """
     positives = df.filter(F.col(label) == 1)
     if negatives_per_positive is None:
         return positives
     wanted = positives.agg(F.floor(F.count("*") * F.lit(negatives_per_positive))).scalar()
-    negatives = hash_position(df.filter(F.col(label) == 0), keys, seed, "_pos")
-    return positives.unionByName(negatives.filter(F.col("_pos") < wanted).drop("_pos"))
+    negatives = df.filter(F.col(label) == 0)
+    placed = hash_part(negatives, keys, lambda n: F.array(wanted), "_part", seed)
+    return positives.unionByName(placed.filter("_part = 0").drop("_part"))

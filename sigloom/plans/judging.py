@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sigloom.functions import parse as ps
 from sigloom.operators import agreement as ag
 from sigloom.operators import infer, sampling
-from sigloom.operators.chat import Prompt, inference_prompts, training_chats
+from sigloom.operators.chat import Prompt, chat_json, group_signals, inference_prompts, training_chats
 from sigloom.operators.filters import labelled
 
 
@@ -24,12 +24,24 @@ def train_test(df: DataFrame, prompt: Prompt, fraction: float, label: str, row_k
             inference_prompts(split.filter("role = 'test'"), prompt, keep, grouping=grouping))
 
 
-def fold_sets(df: DataFrame, prompt: Prompt, folds: int, label: str, key: str = "item_id", seed: int = 42, grouping: dict | None = None):
-    """(training chats, test prompts) for every fold."""
+def fold_frame(df: DataFrame, prompt: Prompt, folds: int, label: str, key: str = "item_id", seed: int = 42,
+               grouping: dict | None = None) -> DataFrame:
+    """All folds in one frame: ``fold``, ``role``, the key, the signal or ``grouped_signals``, ``messages`` and ``judge_prompt``.
+
+    A row, or an item of a grouped prompt, is rendered once and then copied to its folds: as a chat where it trains, as a
+    prompt where it tests; the other column is NULL.  Rows without a label are left out.
+    """
+    options = {"key": key, **(grouping or {})}
+    if prompt.grouped and options["key"] != key:
+        raise ValueError("a grouped prompt is grouped by the key of its folds")
     rows = sampling.key_folds(labelled(df, label), key, folds, seed)
-    keep = [key, "grouped_signals"] if prompt.grouped else [key, "signal"]
-    return [(training_chats(rows.filter(F.col("test_fold") != f), prompt, grouping=grouping),
-             inference_prompts(rows.filter(F.col("test_fold") == f), prompt, keep, grouping=grouping)) for f in range(1, folds + 1)]
+    if prompt.grouped:
+        rows = group_signals(rows, **{**options, "keep": (*options.get("keep", ()), "test_fold")})
+    rendered = rows.select(key, "grouped_signals" if prompt.grouped else "signal", "test_fold",
+                           chat_json(prompt.user.fill(), prompt.assistant.fill()).alias("messages"), prompt.user.fill().alias("judge_prompt"))
+    tests = F.col("role") == "test"
+    return sampling.fold_roles(rendered, folds).withColumns({
+        "messages": F.when(~tests, F.col("messages")), "judge_prompt": F.when(tests, F.col("judge_prompt"))})
 
 
 def evaluate_judge(annotated: DataFrame, prompts: DataFrame, factory: Callable[[], infer.TextFunction], label: str = "label") -> DataFrame:

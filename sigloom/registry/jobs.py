@@ -135,14 +135,33 @@ def _(b):
 @query("cht_05b_fold_sets", f"""with k as (select item_id, ntile(3) over (order by {h('item_id')}, item_id) as f from (select distinct item_id from v_chat)), {GROUP_SQL.format(src='v_chat')}
   select fold::int as fold, case when f = fold then 'test' else 'train' end as role, count(*) as n from g join k using (item_id), (select unnest([1, 2, 3]) as fold) group by all""")
 def _(b):
-    parts = []
-    for i, (train, test) in enumerate(judging.fold_sets(b.v_chat, BOOK["grouped"], 3, "label", grouping=GROUPING), start=1):
-        parts += [train.agg(F.lit(i).alias("fold"), F.lit("train").alias("role"), F.count("*").alias("n")),
-                  test.agg(F.lit(i).alias("fold"), F.lit("test").alias("role"), F.count("*").alias("n"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return judging.fold_frame(b.v_chat, BOOK["grouped"], 3, "label", grouping=GROUPING).groupBy("fold", "role").agg(F.count("*").alias("n"))
+
+
+FOLDS_SQL = f"""with k as (select item_id, ntile(3) over (order by {h('item_id')}, item_id) as f from (select distinct item_id from v_chat)), {GROUP_SQL.format(src='v_chat')}
+  select item_id, grouped_signals, fold::int as fold, case when f = fold then 'test' else 'train' end as role,
+  case when f <> fold then {chat_sql(GROUP_USER, GROUP_ASSISTANT)} end as messages, case when f = fold then {GROUP_USER} end as judge_prompt
+  from g join k using (item_id), (select unnest([1, 2, 3]) as fold)"""
+
+
+@query("cht_05c_fold_frame", FOLDS_SQL)
+def _(b):
+    return judging.fold_frame(b.v_chat, BOOK["grouped"], 3, "label", grouping=GROUPING)
+
+
+@query("cht_05d_fold_frame_rows", f"""with k as (select item_id, ntile(5) over (order by {h('item_id')}, item_id) as f from (select distinct item_id from v_signals))
+  select item_id, signal, fold::int as fold, case when f = fold then 'test' else 'train' end as role,
+  case when f <> fold then {chat_sql(SINGLE_USER, chr(39) + 'Label: ' + chr(39) + ' || (item_id % 3)')} end as messages, case when f = fold then {SINGLE_USER} end as judge_prompt
+  from v_signals join k using (item_id), (select unnest([1, 2, 3, 4, 5]) as fold)""")
+def _(b):
+    return judging.fold_frame(labelled_signals(b), BOOK["single"], 5, "label")
+
+
+@query("snk_05b_write_folds", FOLDS_SQL)
+def _(b):
+    path = scratch(b, "folds")
+    writers.write_folds(judging.fold_frame(b.v_chat, BOOK["grouped"], 3, "label", grouping=GROUPING), path)
+    return b.spark.read.parquet(path).withColumn("fold", F.col("fold").cast("int"))
 
 
 # --- text functions over tables -----------------------------------------------------------------------

@@ -38,6 +38,11 @@ def write_messages(messages: DataFrame, path: str) -> None:
     messages.select("messages").write.mode("overwrite").parquet(path)
 
 
+def write_folds(folds: DataFrame, path: str) -> None:
+    """One folder per fold and role, in one pass over the rows."""
+    folds.write.mode("overwrite").partitionBy("fold", "role").option("maxRecordsPerFile", 1_000_000).parquet(path)
+
+
 def write_per_annotator(df: DataFrame, path: str, column: str = "annotator_name") -> None:
     """One folder per annotator; rows stay spread over tasks, so a big annotator is not one file."""
     df.write.mode("overwrite").partitionBy(column).option("maxRecordsPerFile", 1_000_000).json(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sigloom.operators import agreement as ag
 from sigloom.operators import sampling as sm
+from sigloom.operators.ordering import hash_part, hash_position
 from sigloom.operators import uplift as up
 from sigloom.plans import uplift as uplift_plan
 from sigloom.operators import report
@@ -164,3 +165,25 @@ def test_annotation_round(spark, tmp_path):
     assert rows(done.paired.groupBy("annotator_name", "title").count()) == [("a", "Title!", 9), ("c", "Title!", 9)]
     assert rows(done.disagreements, "pair", "kind", "n") == [("c|d", "0|1", 3)] and done.final.count() == 18
     assert {r.pair for r in done.kappa.collect()} == {"a|b", "c|d"}
+
+
+# --- parts in hash order ----------------------------------------------------------------------
+def test_hash_parts_equal_positions(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("text"))
+    pos = hash_position(df, ["k"], 7, "pos", "n")
+    for cuts in ([0], [1, 1500, 2999], [3000], [10, 20, 4000], []):
+        parts = hash_part(df, ["k"], lambda n: F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), "part", 7)  # noqa: B023
+        got = {r.k: r.part for r in parts.collect()}
+        assert got == {r.k: sum(c <= r.pos for c in cuts) for r in pos.collect()}
+
+
+def test_splits_move_no_rows_and_keep_repeats_together(spark):
+    df = spark.range(0, 400).select((F.col("id") % 100).alias("k"), F.lit("long text").alias("text"))
+    split = sm.split_rows(df, ["k"], 0.7)
+    assert split.groupBy("k").agg(F.countDistinct("role").alias("n")).filter("n > 1").isEmpty()
+    plan = split._jdf.queryExecution().executedPlan().treeString().split("Subquer")[0]
+    assert "Exchange" not in plan and "Window" not in plan
+    assert sm.split_rows(df, ["k"], 1.0).filter("role = 'test'").isEmpty() and sm.split_rows(df, ["k"], 0.0).filter("role = 'train'").isEmpty()
+    assert sm.split_rows(df.limit(0), ["k"], 0.7).count() == 0
+    few = sm.key_folds(df.filter("k < 2"), "k", 5)
+    assert rows(few.select("k", "test_fold").distinct().select("test_fold")) == [(1,), (2,)]
