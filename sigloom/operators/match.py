@@ -1,7 +1,8 @@
 """Grounding: does a signal occur in the item's own text?
 
 All tests are Column expressions over whole texts.  Text tokens are kept as one blank-padded string, so
-"token-aligned occurrence" is a plain substring test, and nothing grows with the number of token pairs.
+"token-aligned occurrence" is a plain substring test, and nothing grows with the number of token pairs.  N-grams are held
+as run lengths per signal word; how many of them match is arithmetic.
 """
 
 from __future__ import annotations
@@ -84,10 +85,59 @@ def ngrams(words: Column) -> Column:
     return F.when(k >= 3, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
-def _all_others_present(words: Column, matched: Column, padded: Column) -> Column:
-    """Every signal word outside the matched n-grams is a token of the text."""
-    covered = F.flatten(F.transform(matched, lambda m: F.split(m, " ")))
-    return F.forall(F.array_except(words, covered), lambda w: _has_token_run(padded, w))
+def _reach(words: Column, text: Column | None = None) -> Column:
+    """For every word the length of the longest run of words beginning there that occurs in the padded ``text``.
+
+    Without a text: that also begins at an earlier word.  Of a run that occurs every part occurs, so these lengths stand
+    for all runs.  The run of the next word ends no earlier, hence both ends only move forward: at most two tests a word.
+    """
+    def scan(v: Column) -> Column:
+        k = F.size(v["w"])
+
+        def occurs(at: Column, size: Column) -> Column:
+            where = v["t"] if text is not None else _padded(F.slice(v["w"], F.lit(1), at + size - 1))
+            return _has_token_run(where, F.array_join(F.slice(v["w"], at + 1, size), " "))
+
+        def state(at: Column, size: Column, out: Column) -> Column:
+            return F.struct(at.alias("at"), size.alias("size"), out.alias("out"))
+
+        def step(s: Column, _: Column) -> Column:
+            longer = (s["at"] + s["size"] < k) & occurs(s["at"], s["size"] + 1)
+            return (F.when(longer, state(s["at"], s["size"] + 1, s["out"]))
+                     .when(s["at"] < k, state(s["at"] + 1, F.greatest(s["size"] - 1, F.lit(0)), F.array_append(s["out"], s["size"])))
+                     .otherwise(s))
+
+        begin = state(F.lit(0), F.lit(0), F.array().cast("array<int>"))
+        return F.when(k > 0, F.aggregate(F.sequence(F.lit(1), 2 * k), begin, step, lambda s: s["out"])).otherwise(F.array().cast("array<int>"))
+
+    held = [words.alias("w")] + ([text.alias("t")] if text is not None else [])
+    return tx.let(F.struct(*held), scan)
+
+
+def _repeats(words: Column) -> Column:
+    """Per word the length of the longest run from it that began earlier too: its parts are n-grams already counted."""
+    return F.when(F.size(F.array_distinct(words)) == F.size(words), F.array_repeat(F.lit(0), F.size(words))).otherwise(_reach(words))
+
+
+def _new_ngrams(reach: Column, repeats: Column) -> Column:
+    """Number of distinct n-grams (2 .. k-1 words) inside the runs, by arithmetic."""
+    top = F.size(repeats) - 1
+    per_word = F.zip_with(reach, repeats, lambda r, d: F.greatest(F.least(r, top) - F.greatest(d, F.lit(1)), F.lit(0)))
+    return F.aggregate(per_word, F.lit(0), lambda a, x: a + x)
+
+
+def _ngram_counts(words: Column, repeats: Column, reaches: list[Column]) -> Column:
+    """Distinct matched n-gram -> number of texts that hold it."""
+    top = F.size(words) - 1
+
+    def from_word(i: Column) -> Column:
+        lengths = [F.least(F.get(r, i), top) for r in reaches]
+        low, high = F.greatest(F.get(repeats, i) + 1, F.lit(2)), F.greatest(*lengths)
+        held = lambda size: reduce(lambda a, b: a + b, [(n >= size).cast("int") for n in lengths])
+        entry = lambda size: F.struct(F.array_join(F.slice(words, i + 1, size), " ").alias("key"), held(size).alias("value"))
+        return F.when(high >= low, F.transform(F.sequence(low, high), entry)).otherwise(F.array().cast("array<struct<key:string,value:int>>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), top), from_word))
 
 
 def _first_true(conditions: list[tuple[Column, str]]) -> Column:
@@ -113,45 +163,46 @@ def ground(df: DataFrame, signal: str = "signal", sources: tuple[str, ...] = SOU
     # Step 2: permutation, only where nothing was exact.
     df = df.withColumn("_perm", F.when(F.col("_exact").isNull(), _first_true(
         [(permutation_match(F.col("_words"), F.col(f"_tokens_{c}")), c) for c in sources])))
-    # Step 3: n-grams, only where both failed.
+    # Step 3: n-grams, only where both failed: run lengths per word and text, no list of n-grams.
     is_open = F.col("_exact").isNull() & F.col("_perm").isNull() & (F.size("_words") >= 2)
-    low = F.transform("_words", lambda w: F.lower(w))
-    df = df.withColumns({"_low": low, "_grams": F.when(is_open, ngrams(low)),
-                         **{f"_text_{c}": F.when(is_open, F.lower(_padded(F.col(f"_tokens_{c}")))) for c in sources}})
-    hits_in = lambda padded: F.filter("_grams", lambda g: _has_token_run(padded, g))
-    df = df.withColumns({f"_hit_{c}": hits_in(F.col(f"_text_{c}")) for c in sources})
-    df = df.withColumns({f"_rest_{c}": F.when(F.col("_grams").isNotNull(), _all_others_present(
-        F.col("_low"), F.col(f"_hit_{c}"), F.col(f"_text_{c}"))) for c in sources})
-
-    total = F.size("_grams")
+    df = df.withColumn("_low", F.transform("_words", lambda w: F.lower(w)))
+    df = df.withColumns({"_repeats": F.when(is_open, _repeats(F.col("_low"))),
+                         **{f"_reach_{c}": F.when(is_open, _reach(F.col("_low"), F.lower(_padded(F.col(f"_tokens_{c}"))))) for c in sources}})
+    words_left = F.transform("_low", lambda w, i: F.size("_low") - i)
+    df = df.withColumns({"_total": _new_ngrams(words_left, F.col("_repeats")),
+                         **{f"_found_{c}": _new_ngrams(F.col(f"_reach_{c}"), F.col("_repeats")) for c in sources},
+                         # Words of a matched n-gram are tokens of the text, so "all others are" means that all are.
+                         **{f"_rest_{c}": F.forall(f"_reach_{c}", lambda r: r > 0) for c in sources}})
+
     candidates = []
     for i, c in enumerate(sources):
-        found = F.col(f"_hit_{c}")
-        longest = F.array_max(F.transform(found, lambda g: F.size(F.split(g, " "))))
-        candidates.append(F.when(F.size(found) > 0, F.struct(
-            (F.when(F.col(f"_rest_{c}"), 1000).otherwise(0) + longest).alias("score"), (F.size(found) / total).alias("coverage"),
+        found = F.col(f"_found_{c}")
+        longest = F.least(F.array_max(f"_reach_{c}"), F.size("_low") - 1)
+        candidates.append(F.when(found > 0, F.struct(
+            (F.when(F.col(f"_rest_{c}"), 1000).otherwise(0) + longest).alias("score"), (found / F.col("_total")).alias("coverage"),
             F.lit(-i).alias("order"), F.lit(c).alias("column"))))
-    best = F.array_max(F.array(*candidates))
-    all_hits = F.flatten(F.array(*[F.col(f"_hit_{c}") for c in sources]))
     df = df.withColumns({
-        "_best": F.when(F.col("_grams").isNotNull(), best),
-        "_hits": F.coalesce(all_hits, F.array().cast("array<string>")),
+        "_best": F.array_max(F.array(*candidates)),
+        "_hits": F.coalesce(reduce(lambda a, b: a + b, [F.col(f"_found_{c}") for c in sources]), F.lit(0)),
         "_others": F.coalesce(reduce(lambda a, b: a | b, [F.col(f"_rest_{c}") for c in sources]), F.lit(False))})
 
-    any_hit = F.size("_hits") > 0
-    counts = F.map_from_entries(F.transform(F.array_distinct("_hits"), lambda g: F.struct(
-        g.alias("key"), F.size(F.filter("_hits", lambda h: h == g)).alias("value"))))
+    any_hit = F.col("_hits") > 0
     # Without the one-time evaluation a later filter or explode would be pushed down and repeat all of the above.
     result = evaluate_once(
         df,
         match_type=F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_perm").isNotNull(), "permutation")
         .when(any_hit & F.col("_others"), "ngram+non ngram").when(any_hit, "ngram").otherwise("no_match"),
         match_column=F.coalesce("_exact", "_perm", F.col("_best.column")),
-        ngram_coverage=F.when(any_hit, F.size("_hits") / total).otherwise(F.lit(0.0)),
+        ngram_coverage=F.when(any_hit, F.col("_hits") / F.col("_total")).otherwise(F.lit(0.0)),
         non_ngram_match=F.col("_others"),
-        ngram_match_counts=counts,
-        all_ngrams=F.when(any_hit, F.col("_grams")).otherwise(F.array().cast("array<string>")))
-    return result.select(*keep, "match_type", "match_column", *NGRAM_COLUMNS)
+        _runs=F.when(any_hit, F.struct(F.col("_low").alias("words"), F.col("_repeats").alias("repeats"), *[F.col(f"_reach_{c}") for c in sources])))
+    # The n-grams themselves are written out only if somebody selects them.
+    runs = F.col("_runs")
+    entries = _ngram_counts(runs["words"], runs["repeats"], [runs[f"_reach_{c}"] for c in sources])
+    return result.select(
+        *keep, "match_type", "match_column", "ngram_coverage", "non_ngram_match",
+        F.map_from_entries(F.when(runs.isNotNull(), entries).otherwise(F.array().cast("array<struct<key:string,value:int>>"))).alias("ngram_match_counts"),
+        F.when(runs.isNotNull(), ngrams(runs["words"])).otherwise(F.array().cast("array<string>")).alias("all_ngrams"))
 
 
 # --- sentence level -----------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from sigloom.functions import fixed_values as fv
 from sigloom.functions import text as tx
 from sigloom.operators import heuristics as heu
 from sigloom.operators import match, report
+from sigloom.operators.ordering import explode_once
 from sigloom.plans import evaluation
 from sigloom.registry.core import query
 
@@ -91,7 +92,8 @@ def _(b):
 @query("mat_03_ngrams", MATCH + """select h.item_id, h.g as gram, count(*) as columns_hit from hits h join matched m using (item_id)
   where m.match_type like 'ngram%' group by all""")
 def _(b):
-    return matched(b).select("item_id", F.explode("ngram_match_counts").alias("gram", "columns_hit"))
+    pairs = explode_once(matched(b), ["item_id"], F.map_entries("ngram_match_counts"), "pair")
+    return pairs.select("item_id", F.col("pair.key").alias("gram"), F.col("pair.value").alias("columns_hit"))
 
 
 @query("mat_04_other_words", MATCH + "select item_id, non_ngram_match from matched")

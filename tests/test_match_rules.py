@@ -65,6 +65,37 @@ def test_ground_equals_brute_force(spark):
     assert {k for k, *_ in want.values()} == {"exact", "permutation", "ngram", "ngram+non ngram", "no_match"}
 
 
+def test_ngram_lists_equal_brute_force(spark):
+    rnd = random.Random(5)
+    vocabulary = ["red", "cup", "tea", "redcup", "ed", "x"]
+    text = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(0, n)))
+    data = [(i, text(9), text(6), text(12), text(20)) for i in range(800)]
+    df = spark.createDataFrame(data, "item_id int, signal string, title string, aspects string, desc string")
+    shown = 0
+    for r in match.ground(df).collect():
+        words = [w for w in r.signal.split() if len(w) > 1]
+        grams = {" ".join(words[i:i + s]) for s in range(2, len(words)) for i in range(len(words) - s + 1)}
+        held = [" " + " ".join(w for w in t.split() if len(w) > 1) + " " for t in (r.title, r.aspects, r.desc)]
+        counts = {g: n for g in grams if (n := sum(f" {g} " in t for t in held))}
+        if not r.match_type.startswith("ngram"):
+            counts, grams = {}, set()
+        assert r.ngram_match_counts == counts and set(r.all_ngrams) == grams and len(r.all_ngrams) == len(grams)
+        shown += bool(counts)
+    assert shown > 150
+
+
+def test_long_signal_needs_no_list_of_ngrams(spark):
+    words = [f"w{i}" for i in range(2000)]
+    desc = " ".join([*words[:1200], "zz", *words[1200:]])
+    df = spark.createDataFrame([(1, " ".join(words), "t", None, desc), (2, "ab " * 1999 + "cd", "ab ab", "", "ab " * 5)],
+                               "item_id int, signal string, title string, aspects string, desc string")
+    got = rows(match.ground(df), "item_id", "match_type", "match_column", "ngram_coverage", "non_ngram_match")
+    pairs = lambda n: n * (n - 1) // 2
+    assert got[0] == (1, "ngram+non ngram", "desc", (pairs(1200) + pairs(800)) / (pairs(2000) - 1), True)
+    # n-grams of "ab ... ab cd" are runs of "ab" (2 .. 1,999 words) and those that end in "cd" (2 .. 1,999)
+    assert got[1] == (2, "ngram", "desc", (1 + 4) / (1998 + 1998), False)
+
+
 GOLDEN = [  # phrase, repeated_words, numerically_dominant, numbers_to_exclude
     ("very fine extra fine", 1, 0, 0), ("no fade no fingerprints", 0, 0, 0), ("soft soft cotton", 0, 0, 0), ("soft soft soft", 1, 0, 0),
     ("soft warm soft warm", 1, 0, 0), ("18v lithium 2ah battery", 0, 0, 1), ("12 34 56", 0, 1, 1), ("50 x 60 in", 0, 0, 1),
