@@ -16,19 +16,33 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], how).drop(*[f"_r_{k}" for k in keys])
 
 
+HOT_CELLS = 10_000  # a (group, class) with more than one row in so many is hot; hence there are fewer hot ones than this
+
+
 def _with_group_counts(df: DataFrame, group: list[str], cls: str, among: Column | None = None) -> DataFrame:
     """Adds rows per (group, class), rows per group and classes per group, counted ``among`` some rows if given.
 
-    Counts are aggregated first (partial sums on every task) and joined back, so a group that holds a third
-    of the table is never gathered in one task as a window over it would do.
+    Counts are aggregated first (partial sums on every task).  Hot cells, whose number is bounded whatever the table holds,
+    are broadcast to their rows, which stay where they are.  Only rows of the other cells are shuffled to their counts, and
+    none of these cells holds more than one row in ``HOT_CELLS``.  No job runs while the plan is built.
     """
-    cells = (df if among is None else df.filter(among)).groupBy(*group, cls).agg(F.count("*").alias("_nc"))
-    if not group:
-        totals = cells.agg(F.struct(F.sum("_nc").alias("n"), F.count("*").alias("k"))).scalar()
-        cells = cells.withColumn("_t", totals).withColumns({"_n": F.col("_t.n"), "_k": F.col("_t.k")}).drop("_t")
+    keys = [*group, cls]
+    counted = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    cells = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.nullif(F.count_if(counted), F.lit(0)).alias("_nc"))
+    everything = cells.agg(F.struct(F.sum("_nc").alias("n"), F.count("_nc").alias("k"), F.sum("_rows").alias("rows"))).scalar()
+    cells = cells.withColumn("_t", everything)
+    if group:
+        totals = cells.groupBy(*group).agg(F.sum("_nc").alias("_n"), F.count("_nc").alias("_k"))
+        cells = _join_null_safe(cells, totals, group)
     else:
-        cells = _join_null_safe(cells, cells.groupBy(*group).agg(F.sum("_nc").alias("_n"), F.count("*").alias("_k")), group)
-    return _join_null_safe(df, cells, [*group, cls], "inner" if among is None else "left")
+        cells = cells.withColumns({"_n": F.col("_t.n"), "_k": F.col("_t.k")})
+    is_hot = F.col("_rows") * HOT_CELLS > F.col("_t.rows")
+    counts = [*keys, "_nc", "_n", "_k"]
+    hot = cells.filter(is_hot).select(*counts, F.lit(True).alias("_hot"))
+    marked = _join_null_safe(df, F.broadcast(hot), keys, "left")
+    cold_rows = marked.filter(F.col("_hot").isNull()).drop("_hot", "_nc", "_n", "_k")
+    cold = _join_null_safe(cold_rows, cells.filter(~is_hot).select(*counts), keys)
+    return marked.filter(F.col("_hot")).drop("_hot").unionByName(cold)
 
 
 def class_share(df: DataFrame, group: list[str], cls: str, out: str = "share", among: Column | None = None) -> DataFrame:

@@ -187,3 +187,27 @@ def test_splits_move_no_rows_and_keep_repeats_together(spark):
     assert sm.split_rows(df.limit(0), ["k"], 0.7).count() == 0
     few = sm.key_folds(df.filter("k < 2"), "k", 5)
     assert rows(few.select("k", "test_fold").distinct().select("test_fold")) == [(1,), (2,)]
+
+
+def test_class_counts_of_hot_and_rare_classes(spark, monkeypatch):
+    from collections import Counter
+
+    from sigloom.operators import uplift as up
+    monkeypatch.setattr(up, "HOT_CELLS", 20)
+    # a third of the rows in one (group, class); NULL keys; classes of a single row; one class in ten is not counted
+    df = spark.range(0, 30000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
+        F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 11 == 0, None).when(F.col("id") % 1000 == 1, F.concat(F.lit("single"), F.col("id"))).otherwise("y").alias("c"))
+    for among in (None, F.col("id") % 10 != 0):
+        data = [tuple(r) for r in df.collect()]
+        counted = [(g, c) for i, g, c in data if among is None or i % 10]
+        cells, groups, classes = Counter(counted), Counter(g for g, _ in counted), Counter(g for g, _ in set(counted))
+        got = up.balanced_weight(df, ["g"], "c", "w", among)
+        want = [(i, groups[g] / (classes[g] * cells[g, c]) if cells[g, c] else None) for i, g, c in data]
+        assert rows(got, "id", "w") == sorted(want, key=repr)
+        share = rows(up.class_share(df, [], "c", "s", among), "id", "s")
+        kinds = Counter(c for _, c in counted)
+        assert share == sorted([(i, kinds[c] / len(counted) if kinds[c] else None) for i, _, c in data], key=repr)
+    most = got.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+    assert most < 10000  # the hot rows stay in their eight tasks
+    assert rows(up.class_share(df.limit(0), ["g"], "c"), "id") == []
