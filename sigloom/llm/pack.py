@@ -72,20 +72,20 @@ class Encoder:
     def _of_chunks(self, chunks: list[bytes]) -> list[bytes]:
         known, others = self.words, self.others
         for store in (known, others):
-            if store.get(b"", 0) > STORE_BYTES:  # the empty chunk, which no text has, holds the size
+            if store.get(None, 0) > STORE_BYTES:  # the size stands beside the entries
                 store.clear()
-        plain = list(map(self.word.findall, chunks))
-        for i, (c, ws) in enumerate(zip(chunks, plain)):
-            if sum(map(len, ws)) != len(c) or b"<|" in c:
-                plain[i] = None
-        self._learn_words(list({w for ws in plain if ws for w in ws if w not in known}))
-        new = [c for c, ws in zip(chunks, plain) if ws is None and c not in others]
-        found = {c: np.asarray(e.ids, "<u4").tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False))}
-        out = [(found[c] if c in found else others[c]) if ws is None else known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for c, ws in zip(chunks, plain)]
-        short = {c: ids for c, ids in found.items() if len(c) <= LONGEST_KEPT}
+        new = [c for c in chunks if c not in known and c not in others]
+        split = list(map(self.word.findall, new))
+        plain = [b"".join(ws) == c and b"<|" not in c for c, ws in zip(new, split)]
+        self._learn_words(list({w for ws, p in zip(split, plain) if p for w in ws if w not in known}))
+        found = {c: known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]) for c, ws, p in zip(new, split, plain) if p}
+        odd = [c for c, p in zip(new, plain) if not p]
+        coded = {c: np.asarray(e.ids, "<u4").tobytes() for c, e in zip(odd, self.tokenizer.encode_batch_fast([c.decode() for c in odd], add_special_tokens=False))}
+        out = [known.get(c) or others.get(c) or found.get(c) or coded.get(c, b"") for c in chunks]
+        short = {c: ids for c, ids in coded.items() if ids and len(c) <= LONGEST_KEPT}
         others.update(short)
-        others[b""] = others.get(b"", 0) + sum(len(c) + len(ids) + ENTRY_BYTES for c, ids in short.items())
-        for w in [w for ws in plain if ws for w in ws if len(w) > LONGEST_KEPT]:
+        others[None] = others.get(None, 0) + sum(len(c) + len(ids) + ENTRY_BYTES for c, ids in short.items())
+        for w in [w for c, ws in zip(new, split) if len(c) > LONGEST_KEPT for w in ws if len(w) > LONGEST_KEPT]:
             known.pop(w, None)
         return out
 
@@ -98,7 +98,7 @@ class Encoder:
                 raise ValueError("this vocabulary does not close every word with a word-end token")
             for w, a, b in zip(group, [0, *stops], stops):
                 self.words[w] = ids[a:b].tobytes()
-            self.words[b""] = self.words.get(b"", 0) + sum(len(w) + ENTRY_BYTES for w in group) + 4 * len(ids)
+            self.words[None] = self.words.get(None, 0) + sum(len(w) + ENTRY_BYTES for w in group) + 4 * len(ids)
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
