@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
-from sigloom.functions.text import blob_ids
+from sigloom.functions.text import blob_ids, words
 from sigloom.operators.filters import countable_views, in_date_range, valid_aspects
+from sigloom.operators.ordering import explode_once
 
 
 # --- viewed items ---------------------------------------------------------------------------
@@ -138,3 +139,33 @@ def items_with_tips(items: DataFrame, tips: DataFrame, descriptions: DataFrame,
     joined = (items.join(tips, "type").join(desc, "item_id", "left")
                    .withColumn("desc", F.coalesce(F.col("desc"), F.lit(""))))
     return joined if limit is None else joined.orderBy("tip_order", "item_id").limit(limit)
+
+
+ANCHOR = 4  # letters of a type's longest word by which titles look it up
+
+
+def types_from_table(df: DataFrame, types: DataFrame, title: str = "title", out: str = "type", name: str = "type", order: str = "ord",
+                     default: str = "unknown") -> DataFrame:
+    """First type of a table whose words, singularised and without '&', all occur in the title; ties go to the smaller name.
+
+    Gives what ``text.first_type_in_title`` gives for a list, but no expression grows with the number of types.  Every type
+    stands in an index under the first letters of its longest word.  A title is looked up by the letter groups it holds, the
+    few types found are tested in full, and only hits are shuffled.  A type without words suits every title, a NULL title none.
+    """
+    singular = lambda w: F.when(w.endswith("s"), F.substr(w, F.lit(1), F.length(w) - 1)).otherwise(w)
+    parts = F.filter(F.transform(F.filter(words(F.lower(F.col(name))), lambda w: w != "&"), singular), lambda w: w != "")
+    table = types.select(F.struct(F.col(order).alias("ord"), F.col(name).alias("type")).alias("_entry"), parts.alias("_parts"))
+    longest = F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w), w.alias("w"))))["w"]
+    index = table.filter(F.size("_parts") > 0).withColumn("_group", F.substr(longest, F.lit(1), F.lit(ANCHOR)))
+    lengths = index.agg(F.collect_set(F.length("_group"))).scalar()  # at most ANCHOR numbers
+    wordless = table.filter(F.size("_parts") == 0).agg(F.min("_entry")).scalar()
+
+    starts = lambda n: F.sequence(F.lit(1), F.greatest(F.length("_low") - n + 1, F.lit(1)))
+    groups = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: F.transform(starts(n), lambda i: F.substr(F.col("_low"), i, n)))))
+    titles = df.select(F.col(title).alias("_title")).filter(F.col("_title").isNotNull()).withColumns({"_low": F.lower("_title"), "_lengths": lengths})
+    found = explode_once(titles, ["_title", "_low"], groups, "_group").join(index, "_group")
+    hits = found.filter(F.forall("_parts", lambda w: F.contains(F.col("_low"), w)))
+    first = hits.groupBy("_title").agg(F.min("_entry").alias("_entry"))
+    both = df.join(first, F.col(title) == F.col("_title"), "left")
+    best = F.when(F.col(title).isNotNull(), F.least(F.col("_entry"), wordless))
+    return both.withColumn(out, F.coalesce(best["type"], F.lit(default))).drop("_entry", "_title")

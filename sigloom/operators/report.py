@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
@@ -100,13 +102,34 @@ def text_statistics_by_column(df: DataFrame, columns: list[str]) -> DataFrame:
     return stats.select(F.inline(rows).alias("column", "avg_chars", "avg_tokens"))
 
 
-def funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
-    """Rows left after each step (a row must pass all steps up to it), with the percent of the start."""
+def funnel_counts(steps: dict[str, Column]) -> list[Column]:
+    """Aggregates: rows at the start and after each step (a row must pass all steps up to it)."""
     passed, counts = F.lit(True), [F.count("*").alias("start")]
     for name, condition in steps.items():
         passed = passed & F.coalesce(condition, F.lit(False))
         counts.append(F.count_if(passed).alias(name))
-    one = df.agg(*counts)
+    return counts
+
+
+def observed(spark: SparkSession, metrics: Observation, names: list[str]) -> DataFrame:
+    """One row with the metrics that an action took on its way; waits for that action."""
+    got = metrics.get
+    return spark.createDataFrame([tuple(got[n] for n in names)], ", ".join(f"`{n}` bigint" for n in names))
+
+
+def funnel_on_write(df: DataFrame, steps: dict[str, Column], write: Callable[[DataFrame], None]) -> DataFrame:
+    """The funnel of the rows that ``write`` writes, counted while it does so.  It must write all rows by one action."""
+    metrics = Observation()
+    write(df.observe(metrics, *funnel_counts(steps)))
+    return _as_funnel(observed(df.sparkSession, metrics, ["start", *steps]), steps)
+
+
+def funnel(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    """Rows left after each step (a row must pass all steps up to it), with the percent of the start."""
+    return _as_funnel(df.agg(*funnel_counts(steps)), steps)
+
+
+def _as_funnel(one: DataFrame, steps: dict[str, Column]) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(n).alias("name"), F.col(n).alias("n"))
                      for i, n in enumerate(["start", *steps])])
     return one.select(F.col("start").alias("_s"), F.inline(rows).alias("step", "name", "n")).select(

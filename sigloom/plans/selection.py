@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
@@ -82,21 +82,32 @@ def select_items(tables: Tables, req: SelectionRequest) -> DataFrame:
     return item_data(tables, req, final_ids(tables, req, new_candidates(tables, req, candidates(tables, req))))
 
 
+def slot_counts() -> list[Column]:
+    vacant = F.count_if(F.col("rank") == fv.VACANT_RANK)
+    return [F.count("*").alias("total"), vacant.alias("vacant"), (F.count("*") - vacant).alias("non_vacant")]
+
+
 def slot_report(selected: DataFrame) -> DataFrame:
     """Total, vacant and non-vacant in one pass."""
-    vacant = F.count_if(F.col("rank") == fv.VACANT_RANK)
-    return selected.agg(F.count("*").alias("total"), vacant.alias("vacant"), (F.count("*") - vacant).alias("non_vacant"))
+    return selected.agg(*slot_counts())
 
 
 def run(tables: Tables, req: SelectionRequest, output: str | None, ledger_path: str | None = None,
-        ledger_scope: str = "candidates") -> DataFrame:
-    """Guard, select, write, then append the ledger.  The written table is read back for the ledger and report."""
+        ledger_scope: str = "candidates", slots: Observation | None = None) -> DataFrame:
+    """Guard, select, write, then append the ledger.  The written table is read back for the ledger and report.
+
+    ``slots`` takes the counts of ``slot_report`` while the items are written, so the report costs no job of its own.
+    """
     if ledger_scope not in ("candidates", "selected"):
         raise ValueError("ledger_scope is 'candidates' or 'selected'")
+    if slots is not None and not output:
+        raise ValueError("slots are counted while the items are written: name an output")
     if output:
         require_empty(tables.spark, output)
     new = stored(new_candidates(tables, req, candidates(tables, req)), req.scratch, "new")
     selected = item_data(tables, req, final_ids(tables, req, new))
+    if slots is not None:
+        selected = selected.observe(slots, *slot_counts())
     write_items(selected.drop("rank"), output)
     written = tables.spark.read.parquet(output) if output else selected.drop("rank")
     if ledger_path:

@@ -9,6 +9,7 @@ from sigloom.operators import match, report
 from sigloom.operators.ordering import explode_once
 from sigloom.plans import evaluation
 from sigloom.registry.core import query
+from sigloom.sources.folders import new_folder
 
 
 def clean_sql(c):
@@ -349,13 +350,26 @@ def _(b):
     return report.text_statistics_by_column(b.documents, ["text", "source"])
 
 
-@query("agg_21b_funnel", """with s as (select lang = 'en' as a, length(text) > 500 as b, doc_id % 2 = 0 as c from documents)
+FUNNEL_SQL = """with s as (select lang = 'en' as a, length(text) > 500 as b, doc_id % 2 = 0 as c from documents)
   select 0 as step, 'start' as name, count(*) as n, 100.0::double as percent from s
   union all select 1, 'english', count(*) filter (a), round(count(*) filter (a) / count(*)::double * 100, 2) from s
   union all select 2, 'long', count(*) filter (a and b), round(count(*) filter (a and b) / count(*)::double * 100, 2) from s
-  union all select 3, 'even', count(*) filter (a and b and c), round(count(*) filter (a and b and c) / count(*)::double * 100, 2) from s""")
+  union all select 3, 'even', count(*) filter (a and b and c), round(count(*) filter (a and b and c) / count(*)::double * 100, 2) from s"""
+
+
+def funnel_steps():
+    return {"english": F.col("lang") == "en", "long": F.length("text") > 500, "even": F.col("doc_id") % 2 == 0}
+
+
+@query("agg_21b_funnel", FUNNEL_SQL)
+def _(b):
+    return report.funnel(b.documents, funnel_steps())
+
+
+@query("agg_21d_funnel_on_write", FUNNEL_SQL)
 def _(b):
-    return report.funnel(b.documents, {"english": F.col("lang") == "en", "long": F.length("text") > 500, "even": F.col("doc_id") % 2 == 0})
+    folder = new_folder(b.spark, "funnel")
+    return report.funnel_on_write(b.documents, funnel_steps(), lambda df: df.write.parquet(folder))
 
 
 @query("agg_22_vocabulary", r"""select distinct word from (select unnest(list_filter(regexp_split_to_array(trim(concat_ws(' ', text, source)), '\s+'), lambda w: w <> '')) as word from documents)""")

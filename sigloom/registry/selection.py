@@ -2,11 +2,13 @@
 
 from dataclasses import replace
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sigloom.functions import text as tx
 from sigloom.operators import filters as flt
 from sigloom.operators import items as it
+from sigloom.operators import report
 from sigloom.operators.ordering import top_by_rank
 from sigloom.plans import extraction, selection
 from sigloom.plans.selection import SelectionRequest
@@ -73,6 +75,14 @@ def _(b):
     return selection.slot_report(selection.final_ids(bed_tables(b), REQUEST, selection.new_candidates(bed_tables(b), REQUEST, selection.candidates(bed_tables(b), REQUEST))))
 
 
+@query("agg_21c_slots_on_write", SELECTED_SQL + """ select count(*) as total, count(*) filter (rank = 999999999) as vacant,
+       count(*) filter (rank <> 999999999) as non_vacant from selected""")
+def _(b):
+    slots = Observation("slots")
+    selection.run(bed_tables(b), replace(REQUEST, scratch=new_folder(b.spark, "selection")), new_folder(b.spark, "selected"), slots=slots)
+    return report.observed(b.spark, slots, ["total", "vacant", "non_vacant"])
+
+
 # --- scans and projections -------------------------------------------------------------------
 @query("src_01_catalog_scan", "select l_returnflag, l_linestatus, count(*) as n from lineitem group by all")
 def _(b):
@@ -405,7 +415,7 @@ def _(b):
 
 
 # --- extraction --------------------------------------------------------------------------------------------
-EXTRACT_SQL = f"""with {VALID_SQL}, cats as (select * from v_categories where leaf_categ_id = move_to and categ_lvl3_id not in (2) and bsns_vrtcl_name in ('ASIA','EUROPE')),
+EXTRACT_STEPS_SQL = f"""with {VALID_SQL}, cats as (select * from v_categories where leaf_categ_id = move_to and categ_lvl3_id not in (2) and bsns_vrtcl_name in ('ASIA','EUROPE')),
 lst as (select l.*, c.bsns_vrtcl_name, c.meta_categ_id, c.categ_lvl3_id, md5(concat(item_id, '-', l.auct_end_dt, '-42')) as h from v_listings l
   join cats c on l.leaf_categ_id = c.leaf_categ_id and l.item_site_id = c.site_id
   where l.auct_end_dt between date '2024-01-05' and date '2024-01-25'),
@@ -414,14 +424,18 @@ short as (select item_id, auct_end_dt, prdct_aspct_nm, aspct_vlu_nm from valid w
   qualify row_number() over (partition by item_id, auct_end_dt, prdct_aspct_nm order by length(aspct_vlu_nm), aspct_vlu_nm) = 1),
 low as (select item_id, auct_end_dt, lower(prdct_aspct_nm) as name, lower(aspct_vlu_nm) as value from short
   qualify row_number() over (partition by item_id, auct_end_dt, lower(prdct_aspct_nm) order by prdct_aspct_nm) = 1),
-maps as (select item_id, auct_end_dt, {PAIR_SQL} as aspects from low group by all)
-select s.item_id, lower(s.auct_titl) as title, lower(s.subtitle) as subtitle, s.auct_start_dt, s.auct_end_dt, s.leaf_categ_id, s.item_site_id,
+maps as (select item_id, auct_end_dt, {PAIR_SQL} as aspects from low group by all)"""
+EXTRACT_SQL = EXTRACT_STEPS_SQL + """ select s.item_id, lower(s.auct_titl) as title, lower(s.subtitle) as subtitle, s.auct_start_dt, s.auct_end_dt, s.leaf_categ_id, s.item_site_id,
   lower(s.bsns_vrtcl_name) as bsns_vrtcl_name, s.meta_categ_id, s.categ_lvl3_id, s.gallery_url, m.aspects, d.item_desc
 from sampled s join maps m on s.item_id = m.item_id and s.auct_end_dt = m.auct_end_dt
 left join (select * from v_desc where auct_end_dt between date '2024-01-05' and date '2024-01-25') d on d.item_id = s.item_id"""
 
 
+def extracted(b, n_items):
+    tables = Tables(b.spark, {"listings": b.v_listings, "categories": b.v_categories, "aspects": b.v_aspects, "descriptions": b.v_desc})
+    return extraction.extract(tables, "2024-01-05", "2024-01-25", verticals=["ASIA", "EUROPE"], excluded_level3=[2], n_items=n_items)
+
+
 @query("plan_02_item_extraction", EXTRACT_SQL)
 def _(b):
-    tables = Tables(b.spark, {"listings": b.v_listings, "categories": b.v_categories, "aspects": b.v_aspects, "descriptions": b.v_desc})
-    return as_json(extraction.extract(tables, "2024-01-05", "2024-01-25", verticals=["ASIA", "EUROPE"], excluded_level3=[2], n_items=150))
+    return as_json(extracted(b, 150))

@@ -6,10 +6,11 @@ from sigloom.functions import fixed_values as fv
 from sigloom.functions import parse as ps
 from sigloom.functions import text as tx
 from sigloom.operators import filters as flt
+from sigloom.operators import items as it
 from sigloom.plans import extraction
 from sigloom.registry.core import query
 from sigloom.registry.grounding import DENIED_LIST_SQL, SENTENCES_SQL, TITLE_SQL, WORDS_SQL
-from sigloom.registry.selection import NAMES_SQL, PAIR_SQL, RAW_SQL, as_json, raw_maps
+from sigloom.registry.selection import EXTRACT_STEPS_SQL, NAMES_SQL, PAIR_SQL, RAW_SQL, as_json, extracted, raw_maps
 
 
 @query("str_03_strip_tags", "select page_id, regexp_replace(html, '<[^>]*>', '', 'g') as plain from pages")
@@ -77,6 +78,26 @@ def _(b):
     return as_json(as_json(out, "aspects"), "aspects_no_forbidden").select("item_id", "desc_no_forbidden", "title_no_forbidden", "aspects", "aspects_no_forbidden")
 
 
+AMENDED_SQL = f"""{EXTRACT_STEPS_SQL.replace(' limit 150', '')}, denied as (select unnest({NAMES_SQL.replace('(', '[', 1)[:-1] + ']'}) as d),
+  good as (select * from low where not exists (select 1 from denied where contains(lower(name), d))),
+  good_maps as (select item_id, auct_end_dt, {PAIR_SQL} as aspects from good group by all),
+  plain as (select item_id, auct_end_dt, trim({without_denied('name')}) as name, trim({without_denied('value')}) as value, name as orig from good),
+  plain_maps as (select item_id, auct_end_dt, {PAIR_SQL} as aspects_no_forbidden from (select * from plain where name <> '' and value <> ''
+    qualify row_number() over (partition by item_id, auct_end_dt, name order by orig desc) = 1) group by all)
+  select s.item_id, d.item_desc as "desc", coalesce({without_denied('d.item_desc')}, '') as desc_no_forbidden, {without_denied('s.auct_titl')} as title_no_forbidden,
+    coalesce(g.aspects, '') as aspects, coalesce(p.aspects_no_forbidden, '') as aspects_no_forbidden
+  from sampled s join maps m on s.item_id = m.item_id and s.auct_end_dt = m.auct_end_dt
+  left join good_maps g on s.item_id = g.item_id and s.auct_end_dt = g.auct_end_dt left join plain_maps p on s.item_id = p.item_id and s.auct_end_dt = p.auct_end_dt
+  left join (select * from v_desc where auct_end_dt between date '2024-01-05' and date '2024-01-25') d on d.item_id = s.item_id"""
+
+
+@query("plan_02b_amended_items", AMENDED_SQL)
+def _(b):
+    out = extraction.amend(extracted(b, None))
+    return as_json(as_json(out, "aspects"), "aspects_no_forbidden").select(
+        "item_id", "desc", "desc_no_forbidden", "title_no_forbidden", "aspects", "aspects_no_forbidden")
+
+
 @query("str_11_normalize")
 def _(b):
     return b.documents.select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
@@ -139,6 +160,15 @@ def _(b):
     return b.v_listings.select("item_id", tx.first_type_in_title(F.col("auct_titl"), TYPES).alias("type"))
 
 
+@query("str_21b_types_from_table", """with types as (select min(p_partkey) as ord, split_part(p_name, ' ', 2) || 's & ' || p_brand as type from part where p_size < 20 group by all),
+   stems as (select ord, type, list_transform(list_filter(string_split(lower(type), ' '), lambda w: w <> '&'), lambda w: case when w like '%s' then w[:-2] else w end) as words from types)
+   select item_id, coalesce((select arg_min(type, ord) from stems s where len(list_filter(s.words, lambda w: not contains(lower(l.auct_titl), w))) = 0), 'unknown') as type from v_listings l""")
+def _(b):
+    types = (b.part.filter("p_size < 20").groupBy(F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit("s & "), F.col("p_brand")).alias("type"))
+                   .agg(F.min("p_partkey").alias("ord")))
+    return it.types_from_table(b.v_listings.select("item_id", "auct_titl"), types, "auct_titl").select("item_id", "type")
+
+
 # --- parsing ------------------------------------------------------------------------------------
 DICT_SQL = """dicts as (select item_id, gen_text, regexp_extract(gen_text, '\\{(?:\\s*''[^'']*''\\s*:\\s*''[^'']*''\\s*,?|\\s*"[^"]*"\\s*:\\s*"[^"]*"\\s*,?)*\\}') as d from v_raw_output),
 pairs as (select item_id, case when k[1] in ('''', '"') then k[2:-2] end as name, v[2:-2] as value from (

@@ -211,3 +211,13 @@ def test_class_counts_of_hot_and_rare_classes(spark, monkeypatch):
     most = got.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
     assert most < 10000  # the hot rows stay in their eight tasks
     assert rows(up.class_share(df.limit(0), ["g"], "c"), "id") == []
+
+
+def test_funnel_on_write_equals_funnel(spark, tmp_path):
+    df = spark.range(1000).withColumn("v", F.when(F.col("id") % 7 > 0, F.col("id") % 5))
+    steps = {"some": F.col("v").isNotNull(), "small": F.col("v") < 3}
+    path = str(tmp_path / "kept")
+    got = report.funnel_on_write(df, steps, lambda d: d.write.parquet(path))
+    assert rows(got) == rows(report.funnel(df, steps)) and spark.read.parquet(path).count() == 1000
+    empty = report.funnel_on_write(df.limit(0), steps, lambda d: d.write.mode("overwrite").parquet(path))
+    assert rows(empty, "name", "n") == [("small", 0), ("some", 0), ("start", 0)]

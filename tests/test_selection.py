@@ -135,3 +135,35 @@ def test_run_dates():
     for bad in ({}, {"start": "2024-01-01"}, {"run_date": "x", "start": "y"}):
         with pytest.raises(ValueError):
             run_dates(**bad)
+
+
+def test_types_from_table_equal_the_list(spark):
+    import random
+
+    from sigloom.functions import text as tx
+    from sigloom.operators import items as it
+    rnd = random.Random(2)
+    parts = ["ring", "spring", "gear", "bolt", "s", "red", "nut", "walnuts", "a", "&", "Pipes", "pipe-x"]
+    phrase = lambda n: " ".join(rnd.choice(parts) for _ in range(rnd.randint(1, n)))
+    titles = [(i, phrase(6).title() if i % 3 else phrase(4)) for i in range(400)] + [(900, ""), (901, None), (902, titles_twice := "Bolts & rings"), (903, titles_twice)]
+    df = spark.createDataFrame(titles, "item_id int, title string")
+    types = [t for t in dict.fromkeys(phrase(3) for _ in range(60)) if any(w.strip("s") for w in t.split() if w != "&")]
+    rnd.shuffle(types)
+    table = spark.createDataFrame(list(enumerate(types)), "ord int, type string")
+    want = rows(df.filter("title is not null").select("item_id", tx.first_type_in_title(F.col("title"), types).alias("type")))
+    got = rows(it.types_from_table(df, table), "item_id", "type")
+    assert [r for r in got if r[0] != 901] == want and (901, "unknown") in got
+    # a type without words suits every title that no earlier type takes; NULL types none; an empty table none
+    extra = table.unionByName(spark.createDataFrame([(10_000, "& s"), (-1, None)], "ord int, type string"))
+    with_rest = dict(rows(it.types_from_table(df, extra), "item_id", "type"))
+    assert with_rest == {**{i: "& s" if t == "unknown" else t for i, t in want}, 901: "unknown"}
+    assert {t for _, t in rows(it.types_from_table(df, table.limit(0)), "item_id", "type")} == {"unknown"}
+
+
+def test_expressions_do_not_grow_with_types(spark):
+    from sigloom.operators import items as it
+    df = spark.createDataFrame([(1, "w77x y9999y bolt"), (2, "none")], "item_id int, title string")
+    types = spark.range(10_000).select(F.col("id").cast("int").alias("ord"), F.format_string("w%dx y%dys", 76 + F.col("id") % 3, F.col("id")).alias("type"))
+    assert rows(it.types_from_table(df, types), "item_id", "type") == [(1, "unknown"), (2, "unknown")]
+    more = spark.createDataFrame([(1, "w76x y9999y"), (2, "y9999y w76x"), (3, "w78x y2y w76x y0y")], "item_id int, title string")
+    assert rows(it.types_from_table(more, types), "item_id", "type") == [(1, "w76x y9999ys"), (2, "w76x y9999ys"), (3, "w76x y0ys")]
