@@ -28,7 +28,8 @@ NAMES = [
     ("agpl", "general public", r"(?:gnu )?affero general public licen[sc]e(?: version 3| v3)?"),
     ("agpl", " agpl", r"(?:gnu )?agpl(?: ?v?3(?: 0)?)?"),
     ("gfdl", "documentation", r"gnu free documentation licen[sc]e"),
-    ("bsd-2-clause", " bsd ", r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: licen[sc]e)?"),
+    ("bsd-2-clause", " bsd ", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: licen[sc]e)?"),
+    ("bsd-2-clause", "freebsd", r"freebsd(?: licen[sc]e)?"),
     ("bsd-3-clause", " bsd ", r"(?:modified bsd|new bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)(?: licen[sc]e)?"),
     ("bsd-4-clause", " bsd ", r"(?:original bsd|bsd 4 clause|4 clause bsd)(?: licen[sc]e)?"),
     ("bsd", " bsd ", r"bsd(?: style)? licen[sc]e"),

@@ -262,3 +262,18 @@ def test_perfect_hash():
     some = crosstoken.Perfect(segments, 2, [p[0] for p in parts[2:5]], [p[1] for p in parts[2:5]], np.concatenate([p[2] for p in parts[2:5]]))
     inside = np.isin(crosstoken.segment_of(keys, segments), [2, 3, 4])
     assert ((some(keys) >= 0) == inside).all()
+
+
+def test_every_name_passes_its_own_keyword(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from sigloom.llm import licenses
+    for label, keyword, name in licenses.NAMES:
+        @settings(derandomize=True, max_examples=40, database=None, deadline=None, suppress_health_check=list(HealthCheck))
+        @given(st.from_regex(name, fullmatch=True))
+        def inside(example):
+            assert keyword in f" {example} ", (label, keyword, example)
+        inside()
+    docs = spark.createDataFrame([(1, "This is under the FreeBSD License."), (2, "This is under the Simplified BSD License.")], "doc_id long, text string")
+    assert [r.labels for r in licenses.scanned(docs).orderBy("doc_id").select("labels").collect()] == ["bsd-2-clause", "bsd-2-clause"]
