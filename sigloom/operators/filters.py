@@ -163,3 +163,14 @@ def within_dates_of(df: DataFrame, column: str, other: DataFrame, other_column:
     low, high = other.agg(F.min(other_column)).scalar(), other.agg(F.max(other_column)).scalar()
     c = F.col(column)
     return df.filter((c >= low) & (c <= high)) if inclusive else df.filter((c > low) & (c < high))
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """Of rows with equal keys the first in the stated order; of ties in it the smallest row.
+
+    A partial aggregate, so a hot key is reduced before the shuffle.  NULL is a key like any other and comes first in an order.
+    """
+    columns = [c for c in df.columns if c not in keys]
+    by = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)], *columns)
+    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), by).alias("_kept"))
+    return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in columns else F.col(c) for c in df.columns])

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from sigloom.operators import chat
+from sigloom.operators import chat, filters
 from sigloom.operators import infer
 from sigloom.operators import items as it
 from sigloom.operators import report
@@ -50,6 +50,13 @@ def _(b):
     return b.events.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
 
 
+@query("set_04b_first_in_order", """select user_id, event_type, event_id, ts, value from events
+  qualify row_number() over (partition by user_id, event_type order by value desc nulls last, ts, event_id) = 1""")
+def _(b):
+    events = b.events.select("user_id", "event_type", "event_id", "ts", "value")
+    return filters.first_per_key(events, ["user_id", "event_type"], [F.col("value").isNull(), -F.col("value"), "ts", "event_id"])
+
+
 # --- prompts and chats ---------------------------------------------------------------------------
 BOOK = chat.PromptBook({
     "single": chat.Prompt(chat.Template("Title: {0}, aspects: {1}, description: {2}. Signal: {3} {{json}}", ("title", "aspects", "desc", "signal")),

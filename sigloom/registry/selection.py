@@ -344,6 +344,17 @@ def _(b):
     return it.views_per_item(it.relevant_views(b.v_views, "1996-01-01", "1996-12-31"))
 
 
+@query("agg_01b_latest_view", """select item_id, site_id, leaf_categ_id, min_shown, views from (
+  select l_partkey as item_id, l_suppkey % 3 as site_id, l_orderkey % 25 as leaf_categ_id, min(l_linenumber % 5) over w as min_shown, count(*) over w as views,
+    row_number() over (partition by l_partkey order by l_shipdate desc, l_suppkey % 3 desc, l_orderkey % 25 desc) as r
+  from lineitem window w as (partition by l_partkey)) where r = 1""")
+def _(b):
+    # Site and leaf differ from view to view here, so only the latest view gives the right ones; of equal dates the larger pair.
+    views = b.lineitem.select(F.col("l_partkey").alias("item_id"), (F.col("l_suppkey") % 3).alias("site_id"), (F.col("l_orderkey") % 25).alias("leaf_categ_id"),
+                              F.col("l_shipdate").alias("session_start_dt"), (F.col("l_linenumber") % 5).alias("shown"))
+    return it.views_per_item(views)
+
+
 @query("agg_02_rank", f"with {RANKED_SQL} select item_id, rank from ranked")
 def _(b):
     return ranked(b).select("item_id", "rank")

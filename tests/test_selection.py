@@ -167,3 +167,11 @@ def test_expressions_do_not_grow_with_types(spark):
     assert rows(it.types_from_table(df, types), "item_id", "type") == [(1, "unknown"), (2, "unknown")]
     more = spark.createDataFrame([(1, "w76x y9999y"), (2, "y9999y w76x"), (3, "w78x y2y w76x y0y")], "item_id int, title string")
     assert rows(it.types_from_table(more, types), "item_id", "type") == [(1, "w76x y9999ys"), (2, "w76x y9999ys"), (3, "w76x y0ys")]
+
+
+def test_first_per_key_states_its_order(spark):
+    from sigloom.operators import filters as flt
+    df = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, None, 9), (None, "x", 1), (None, "y", 2), (2, "z", None), (1, "a", 5)], "k int, v string, n int")
+    assert rows(flt.first_per_key(df, ["k"], ["n"])) == rows(spark.createDataFrame([(1, "a", 5), (None, "x", 1), (2, "z", None)], df.schema))
+    assert rows(flt.first_per_key(df, ["k"], [-F.col("n")]), "k", "v") == rows(spark.createDataFrame([(1, None), (None, "y"), (2, "z")], "k int, v string"))
+    assert rows(flt.first_per_key(df.limit(0), ["k"], ["n"])) == []
