@@ -141,7 +141,7 @@ def items_with_tips(items: DataFrame, tips: DataFrame, descriptions: DataFrame,
     return joined if limit is None else joined.orderBy("tip_order", "item_id").limit(limit)
 
 
-ANCHOR = 4  # letters of a type's longest word by which titles look it up
+ANCHOR = 4  # letters of a type's word by which titles look it up
 
 
 def types_from_table(df: DataFrame, types: DataFrame, title: str = "title", out: str = "type", name: str = "type", order: str = "ord",
@@ -149,22 +149,30 @@ def types_from_table(df: DataFrame, types: DataFrame, title: str = "title", out:
     """First type of a table whose words, singularised and without '&', all occur in the title; ties go to the smaller name.
 
     Gives what ``text.first_type_in_title`` gives for a list, but no expression grows with the number of types.  Every type
-    stands in an index under the first letters of its longest word.  A title is looked up by the letter groups it holds, the
-    few types found are tested in full, and only hits are shuffled.  A type without words suits every title, a NULL title none.
+    stands in an index under the letter group of its words that the fewest types share, so that a word common to all types
+    brings none of them up.  A title is looked up by the letter groups it holds, the few types found are tested in full, and
+    only titles and hits are shuffled.  A type without words suits every title, a NULL title none.
     """
     singular = lambda w: F.when(w.endswith("s"), F.substr(w, F.lit(1), F.length(w) - 1)).otherwise(w)
     parts = F.filter(F.transform(F.filter(words(F.lower(F.col(name))), lambda w: w != "&"), singular), lambda w: w != "")
     table = types.select(F.struct(F.col(order).alias("ord"), F.col(name).alias("type")).alias("_entry"), parts.alias("_parts"))
-    longest = F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w), w.alias("w"))))["w"]
-    index = table.filter(F.size("_parts") > 0).withColumn("_group", F.substr(longest, F.lit(1), F.lit(ANCHOR)))
+    starts = lambda text, n: F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+    windows = lambda text, n: F.transform(starts(text, n), lambda i: F.substr(text, i, n))
+    stems = explode_once(table, ["_entry", "_parts"], F.array_distinct(F.flatten(F.transform("_parts", lambda w: windows(w, F.lit(ANCHOR))))), "_group")
+    shared = stems.groupBy("_group").agg(F.count("*").alias("_n"))
+    rarest = F.min_by(F.struct("_group", "_parts"), F.struct("_n", -F.length("_group"), "_group"))
+    index = stems.join(shared, "_group", "left").groupBy("_entry").agg(rarest.alias("_r")).select("_entry", "_r._group", "_r._parts")
     lengths = index.agg(F.collect_set(F.length("_group"))).scalar()  # at most ANCHOR numbers
     wordless = table.filter(F.size("_parts") == 0).agg(F.min("_entry")).scalar()
 
-    starts = lambda n: F.sequence(F.lit(1), F.greatest(F.length("_low") - n + 1, F.lit(1)))
-    groups = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: F.transform(starts(n), lambda i: F.substr(F.col("_low"), i, n)))))
-    titles = df.select(F.col(title).alias("_title")).filter(F.col("_title").isNotNull()).withColumns({"_low": F.lower("_title"), "_lengths": lengths})
-    found = explode_once(titles, ["_title", "_low"], groups, "_group").join(index, "_group")
-    hits = found.filter(F.forall("_parts", lambda w: F.contains(F.col("_low"), w)))
+    low = F.lower("_title")
+    groups = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: windows(low, n))))
+    # Each title once; the shuffle also deals a table that lies in a few files over all tasks.
+    titles = df.select(F.col(title).alias("_title")).filter(F.col("_title").isNotNull()).distinct().withColumn("_lengths", lengths)
+    # Spark takes the exploded titles for as small as the table they come from.  An outer join never broadcasts its own side,
+    # so only an index that is small goes to every task; the filter drops what found nothing.
+    found = explode_once(titles, ["_title"], groups, "_group").join(index, "_group", "left")
+    hits = found.filter(F.coalesce(F.forall("_parts", lambda w: F.contains(low, w)), F.lit(False)))
     first = hits.groupBy("_title").agg(F.min("_entry").alias("_entry"))
     both = df.join(first, F.col(title) == F.col("_title"), "left")
     best = F.when(F.col(title).isNotNull(), F.least(F.col("_entry"), wordless))

@@ -169,6 +169,19 @@ def test_expressions_do_not_grow_with_types(spark):
     assert rows(it.types_from_table(more, types), "item_id", "type") == [(1, "w76x y9999ys"), (2, "w76x y9999ys"), (3, "w76x y0ys")]
 
 
+def test_types_that_share_a_long_word_bring_no_title_up(spark, tmp_path):
+    from sigloom.operators import items as it
+    # stored tables: Spark takes the exploded titles for as small as their file, and must not broadcast them all the same
+    spark.range(300).select("id", F.format_string("part%d label#%d", F.col("id") % 20, F.col("id")).alias("title")).write.parquet(str(tmp_path / "titles"))
+    spark.range(200).select(F.col("id").alias("ord"), F.format_string("part%ds & Label#%d", F.col("id") % 20, F.col("id")).alias("type")).write.parquet(str(tmp_path / "types"))
+    got = it.types_from_table(spark.read.parquet(str(tmp_path / "titles")), spark.read.parquet(str(tmp_path / "types")))
+    assert "BuildLeft" not in got._jdf.queryExecution().executedPlan().toString()
+    # a type's number may be the beginning of a title's, with equal first words only for the same remainder by 20
+    suits = lambda i, t: f"label#{t}" in f"label#{i}" and f"part{t % 20}" in f"part{i % 20}"
+    want = {i: next((t for t in range(200) if suits(i, t)), None) for i in range(300)}
+    assert {i: t for i, _, t in rows(got, "id", "title", "type")} == {i: "unknown" if t is None else f"part{t % 20}s & Label#{t}" for i, t in want.items()}
+
+
 def test_first_per_key_states_its_order(spark):
     from sigloom.operators import filters as flt
     df = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, None, 9), (None, "x", 1), (None, "y", 2), (2, "z", None), (1, "a", 5)], "k int, v string, n int")
