@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigloom.functions import parse as ps
-from sigloom.sources.rounds import append_in_rounds, by_hash, table_or_empty
+from sigloom.sources.rounds import append_by_task, append_in_rounds, by_hash, table_or_empty
 
 TextFunction = Callable[[list[str]], list[str]]
 
@@ -85,16 +85,20 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
 
 
 def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id",
-            per_round: int = 100_000, **kw) -> DataFrame:
-    """Raw answers of all rows, appended under ``path`` in rounds of about ``per_round`` prompts that commit by themselves.
+            per_round: int = 100_000, concurrency: int | None = None, **kw) -> DataFrame:
+    """Raw answers of all rows, appended under ``path``; every task commits its own, and all tasks at work hold about ``per_round`` prompts.
 
-    A run that dies loses the answers of its last round only: the next run asks what is missing and what had failed.
+    A run that dies loses only those: the next run asks what is missing and what had failed.  ``concurrency`` bounds the
+    tasks at work; then a job asks about ``per_round`` prompts and commits them together.
     """
     spark = df.sparkSession
     out = df.select(key, prompt)
     schema = T.StructType([*out.schema.fields, T.StructField("result", T.StringType()), T.StructField("error", T.StringType())])
     todo = unfinished(out, table_or_empty(spark, path, schema).filter("error = ''"), key)
-    append_in_rounds(todo, by_hash(todo, [key], per_round), lambda rows: run_text_function(rows, prompt, factory, **kw), path)
+    if concurrency is None:
+        append_by_task(todo, per_round, lambda rows: run_text_function(rows, prompt, factory, **kw), path)
+    else:
+        append_in_rounds(todo, by_hash(todo, [key], per_round), lambda rows: run_text_function(rows, prompt, factory, concurrency=concurrency, **kw), path)
     answers = table_or_empty(spark, path, schema)
     return answers.groupBy(key).agg(F.min_by(F.struct("result", "error"), F.struct(F.col("error") != "", "result")).alias("_a")).select(key, "_a.result", "_a.error")
 

@@ -37,6 +37,20 @@ def by_hash(todo: DataFrame, keys: list[str], per_round: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(rounds)).cast("int")
 
 
+def append_by_task(todo: DataFrame, per_round: int, work: Callable[[DataFrame], DataFrame], path: str) -> int:
+    """Appends ``work(rows)`` to ``path`` for rows in any order; the number of tasks.
+
+    One job does all rounds: version 2 of the file committer publishes the file of a task as soon as the task is done, and
+    files of a job that dies stay.  A task gets so few rows that those in the hands of all cores make up one round.  Where
+    another committer is set, a job publishes at its end only.
+    """
+    piece = max(1, per_round // todo.sparkSession.sparkContext.defaultParallelism)
+    tasks = -(-todo.count() // piece)
+    if tasks:
+        work(todo.repartition(tasks)).write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)
+    return tasks
+
+
 def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame], DataFrame], path: str) -> int:
     """Appends ``work(rows)`` to ``path`` for the rows of each round, in order of ``number``; the number of rounds.
 

@@ -56,6 +56,38 @@ def test_a_dead_worker_loses_one_round_of_answers(spark, tmp_path):
     assert len(lost) < 30  # a round holds about ten prompts
 
 
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_rounds_of_answers_are_one_job_whose_tasks_commit(spark, tmp_path):
+    path, died = str(tmp_path / "raw"), str(tmp_path / "died")
+
+    def factory():
+        def fn(prompts):
+            if "p" in prompts[0] and not os.path.exists(died):
+                open(died, "w").close()
+                os._exit(3)
+            return [p + "!" for p in prompts]
+        return fn
+
+    ids = lambda low, high: spark.range(low, high, numPartitions=2).select(F.col("id").alias("item_id"), F.col("id").cast("string").alias("p"))
+    assert jobs_of(spark, "answers", lambda: infer.resumed(ids(0, 300), "p", factory, path, per_round=4, batch=1)) < 20  # 75 rounds
+    assert sorted(map(tuple, infer.resumed(ids(0, 300), "p", factory, path, per_round=4).collect())) == [(i, f"{i}!", "") for i in range(300)]
+    # one prompt among 400 ends its worker: what other tasks have answered by then stays
+    more = ids(0, 700).withColumn("p", F.when(F.col("item_id") == 650, "p").otherwise(F.col("p")))
+    with pytest.raises(Exception):
+        infer.resumed(more, "p", factory, path, per_round=4, batch=1)
+    assert spark.read.parquet(path).count() > 300
+    done = infer.resumed(more, "p", factory, path, per_round=4, batch=1)
+    assert done.count() == 700 and done.filter("error <> '' or result is null").isEmpty()
+
+
 def payload(spark, n):
     df = spark.range(n).select(F.col("id").alias("item_id"), F.lit("t").alias("title"), F.create_map(F.lit("k"), F.lit("v")).alias("aspects"), F.lit("d").alias("desc"))
     return ex.payload(df, "P")
