@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.operators.ordering import ordered_position
-from sigloom.sources.rounds import append_in_rounds, table_or_empty
+from sigloom.sources.rounds import commit_in_order, table_or_empty
 
 
 def features_text(df: DataFrame, column: str) -> Column:
@@ -113,12 +113,13 @@ def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.E
 LEDGER = "digest string, " + RESULT
 
 
-def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, per_round: int = 1000, **kw) -> DataFrame:
+def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, per_round: int = 1000, tasks: int | None = None, **kw) -> DataFrame:
     """Sends what the ledger does not hold as sent; one result row per batch of this table.
 
     The ledger is a Parquet table under ``ledger``: one row per send, with a digest of the batch's records, so a batch id that
     stands for other records now is sent again.  Batches go in order of their ids, ``per_round`` at a time, and every round
     commits its rows: a run that dies sends at most the batches of one round a second time, with 1 only the one in hand.
+    ``tasks`` bounds the senders at work at once; None takes as many as there are cores.
     """
     spark = batched.sparkSession
     schema = spark.createDataFrame([], LEDGER).schema
@@ -130,7 +131,8 @@ def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, pe
     def work(rows: DataFrame) -> DataFrame:
         return send(rows.select("batch_id", "records", "digest"), factory, carry="digest", **kw)
 
-    append_in_rounds(todo, F.floor(F.col("batch_id") / per_round).cast("bigint"), work, ledger)
+    at_once = min(per_round, tasks or spark.sparkContext.defaultParallelism)
+    commit_in_order(todo, F.floor(F.col("batch_id") / per_round).cast("bigint"), work, ledger, at_once)
     wanted = stamped.select("batch_id", "digest")
     names = [f.name for f in schema if f.name not in ("batch_id", "digest")]
     best = (table_or_empty(spark, ledger, schema).join(wanted, ["batch_id", "digest"], "left_semi")

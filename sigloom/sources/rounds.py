@@ -7,11 +7,15 @@ the result table, and a later run leaves out what the table holds.  At most the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from sigloom.sources.folders import new_folder
@@ -69,3 +73,44 @@ def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame]
         rows = read.filter(F.col(ROUND) == n).drop(ROUND).repartition(width)
         work(rows).write.mode("append").parquet(path)
     return len(numbers)
+
+
+def commit_in_order(todo: DataFrame, number: Column, work: Callable[[DataFrame], DataFrame], path: str, tasks: int) -> int:
+    """As ``append_in_rounds`` for rounds that are many and small and answer with a few narrow rows.
+
+    All rounds are planned once and lie side by side in one shuffle, ``tasks`` partitions each; a round is a job over its own
+    partitions, and its rows (never more than one round's) are put under ``path`` as one Parquet file before the next begins.
+    """
+    spark = todo.sparkSession
+    folder = new_folder(spark, "rounds")
+    staged = todo.withColumn(ROUND, number)
+    staged.write.parquet(folder)
+    read = spark.read.schema(staged.schema).parquet(folder)
+    # The window and the broadcast see one row per round.
+    at = read.select(ROUND).distinct().withColumn("_at", F.row_number().over(Window.orderBy(ROUND)) - 1)
+    rounds = at.count()
+    if not rounds:
+        return 0
+    spread = F.pmod(F.hash(*[F.col(f"`{c}`") for c in todo.columns]), F.lit(tasks))
+    placed = read.join(F.broadcast(at), ROUND).withColumn("_part", (F.col("_at") * tasks + spread).cast("int"))
+    done = work(placed.repartitionById(rounds * tasks, "_part").drop(ROUND, "_at", "_part"))
+    rows = done.rdd
+    if rows.getNumPartitions() != rounds * tasks:
+        raise ValueError("the work must keep the partitions of its rows")
+    for n in range(rounds):
+        _put(spark, spark.sparkContext.runJob(rows, list, range(n * tasks, (n + 1) * tasks)), done.schema, path)
+    return rounds
+
+
+def _put(spark: SparkSession, rows: list[Row], schema: StructType, path: str) -> None:
+    """Adds a few rows to the Parquet table under ``path`` as one file, which readers see when it is whole."""
+    file = pa.BufferOutputStream()
+    pq.write_table(pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(schema)), file)
+    name, file_path = f"part-{uuid.uuid4().hex}.parquet", spark._jvm.org.apache.hadoop.fs.Path
+    hidden, whole = file_path(path, "_" + name), file_path(path, name)
+    fs = whole.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(hidden, False)
+    out.write(file.getvalue().to_pybytes())
+    out.close()
+    if not fs.rename(hidden, whole):
+        raise OSError(f"{whole.toString()} cannot be put in place")

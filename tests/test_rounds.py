@@ -117,6 +117,21 @@ def test_a_dead_sender_sends_no_earlier_batch_again(spark, tmp_path):
     assert sorted((r.batch_id, r.rows, r.ok) for r in result.collect()) == [(i, 10, True) for i in range(10)]
 
 
+def test_a_round_of_sends_is_one_job(spark, tmp_path):
+    def factory():
+        return lambda records: ex.Answer(200 if records[0]["itemId"] % 20 else 503)
+
+    batched, ledger = ex.batches(payload(spark, 400), size=10), str(tmp_path / "ledger")
+    batched.write.parquet(str(tmp_path / "batches"))
+    batched = spark.read.parquet(str(tmp_path / "batches"))
+    sent = lambda: ex.send_once(batched, factory, ledger, per_round=2)
+    assert jobs_of(spark, "sends", sent) < 20 + 16  # 20 rounds
+    assert [(r.batch_id, r.rows, r.ok, r.error) for r in sent().orderBy("batch_id").collect()] == [
+        (i, 10, i % 2 == 1, "" if i % 2 else "status 503") for i in range(40)]
+    # two files at most for the two runs of a round: the ledger is a plain Parquet table
+    assert len([f for f in os.listdir(ledger) if f.endswith(".parquet")]) == 40 and spark.read.parquet(ledger).count() == 60
+
+
 def test_failed_and_changed_batches_are_sent_again(spark, tmp_path):
     items = lambda n, t: spark.range(n).select(F.col("id").alias("item_id"), F.lit(t).alias("title"), F.lit("{}").alias("aspects"), F.lit("d").alias("desc"))
     path, calls = str(tmp_path / "r"), spark.sparkContext.accumulator(0)
