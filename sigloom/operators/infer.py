@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigloom.functions import parse as ps
+from sigloom.sources.folders import new_folder
 from sigloom.sources.rounds import append_by_task, append_in_rounds, by_hash, table_or_empty
 
 TextFunction = Callable[[list[str]], list[str]]
+TURN_BYTES = 128 << 20  # text that a task gets at most where their number is bounded
 
 
 class _Pace:
@@ -66,10 +68,10 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
 
     ``fn`` gets up to ``batch`` prompts a call; a task has ``parallel`` calls in flight (``fn`` must then be thread-safe)
     and starts at most ``per_minute`` of them a minute; a prompt of a failed call is tried alone, ``attempts`` times.
-    ``concurrency`` bounds the number of tasks.  ``max_items`` takes the first rows by ``order``, by prompt without one.
+    ``concurrency`` bounds the number of tasks at work.  Where so few would get more than ``TURN_BYTES`` of text each, they
+    take turns: the table is then cut, every part is a job that is done at once, and the answers are read back.  ``max_items`` takes the first rows by ``order``, by prompt without one.
     """
     rows = df if max_items is None else df.orderBy(order or prompt).limit(max_items)
-    rows = rows if concurrency is None else rows.repartition(concurrency)
     schema = T.StructType([*df.schema.fields, T.StructField(result, T.StringType()), T.StructField(error, T.StringType())])
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,7 +83,16 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
                 answers = [a for group in pool.map(lambda ps: _answers(fn, ps, pace, attempts), calls) for a in group]
                 yield frame.assign(**{result: [t for t, _ in answers], error: [e for _, e in answers]})
 
-    return rows.mapInPandas(work, schema)
+    if concurrency is None:
+        return rows.mapInPandas(work, schema)
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("bigint") for f in df.schema.fields if f.dataType == T.StringType()]
+    turns = -(-(rows.agg(F.sum(sum(texts, F.lit(64)))).first()[0] or 0) // (concurrency * TURN_BYTES))
+    if turns <= 1:
+        return rows.repartition(concurrency).mapInPandas(work, schema)
+    path = new_folder(df.sparkSession, "turns")
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(turns)).cast("int")
+    append_in_rounds(rows, turn, lambda part: part.repartition(concurrency).mapInPandas(work, schema), path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id",

@@ -64,7 +64,7 @@ def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame]
     folder = new_folder(spark, "rounds")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A round's rows lie in up to ``width`` files, whatever the number of rounds.
-    spread = F.pmod(F.hash(*[F.col(f"`{c}`") for c in todo.columns]), F.lit(width))
+    spread = F.pmod(F.hash(*[F.col(f"`{c}`") for c, kind in todo.dtypes if "map<" not in kind]), F.lit(width))
     staged = todo.withColumn(ROUND, number)
     staged.repartition(F.col(ROUND), spread).write.partitionBy(ROUND).parquet(folder)
     read = spark.read.schema(staged.schema).parquet(folder)

@@ -88,6 +88,31 @@ def test_many_rounds_of_answers_are_one_job_whose_tasks_commit(spark, tmp_path):
     assert done.count() == 700 and done.filter("error <> '' or result is null").isEmpty()
 
 
+def test_bounded_tasks_take_turns_over_long_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(infer, "TURN_BYTES", 20_000)
+    (tmp_path / "log").mkdir()
+    log = str(tmp_path / "log")
+
+    def factory():
+        from pyspark import TaskContext
+        stage = f"{TaskContext.get().stageId()}-{TaskContext.get().partitionId()}"
+
+        def fn(prompts):
+            for p in prompts:
+                with open(os.path.join(log, stage), "a") as f:
+                    f.write(f"{len(p)}\n")
+            return [str(len(p)) for p in prompts]
+        return fn
+
+    df = spark.range(2000).select("id", F.repeat(F.lit("x"), (F.col("id") % 200).cast("int")).alias("t"), F.create_map(F.lit("k"), "id").alias("m"))
+    got = infer.run_text_function(df, "t", factory, concurrency=2, batch=8)
+    assert [(r.id, r.t, r.m, r.result, r.error) for r in got.orderBy("id").collect()] == [(i, "x" * (i % 200), {"k": i}, str(i % 200), "") for i in range(2000)]
+    tasks = {name: sum(map(int, open(os.path.join(log, name)))) for name in os.listdir(log)}
+    assert sum(tasks.values()) == 10 * sum(range(200)) and max(tasks.values()) < 30_000  # two tasks alone would get 100,000 each
+    stages = [name.split("-")[0] for name in tasks]
+    assert max(map(stages.count, stages)) <= 2
+
+
 def payload(spark, n):
     df = spark.range(n).select(F.col("id").alias("item_id"), F.lit("t").alias("title"), F.create_map(F.lit("k"), F.lit("v")).alias("aspects"), F.lit("d").alias("desc"))
     return ex.payload(df, "P")
