@@ -1,4 +1,4 @@
-"""String functions.  Everything but the stemmer is a JVM-side Column expression."""
+"""String functions.  Everything but the stemmer and the sentence rule for whole columns is a JVM-side Column expression."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ import json
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -158,16 +161,40 @@ def decode_if_html(encoded: Column) -> Column:
 # --- sentences --------------------------------------------------------------------------------
 def sentences(text: Column) -> Column:
     """Split after '.', '!' or '?' followed by whitespace."""
-    return F.filter(F.split(F.trim(text), "(?<=[.!?])" + fv.SPACES), lambda s: s != "")
+    # The blank comes first: a search that begins with a look-behind tries it at every character.
+    blank = fv.SPACES.removesuffix("+")
+    return F.filter(F.split(F.trim(text), f"{blank}(?<=[.!?]{blank}){blank}*"), lambda s: s != "")
 
 
-def drop_denied_sentences(text: Column, denied: Iterable[str] = tuple(fv.DENIED_SOURCE_WORDS)) -> Column:
-    """Lower-case the text and remove every sentence that contains a deny word as a substring."""
+def drop_denied_sentences_inline(text: Column, denied: Iterable[str] = tuple(fv.DENIED_SOURCE_WORDS)) -> Column:
+    """``drop_denied_sentences`` as a plain expression, for short texts inside a lambda, where no Python function can stand."""
     pattern = alternation(shortest_substrings(denied))
     kept = F.filter(sentences(F.lower(text)), lambda s: ~s.rlike(pattern))
     return F.coalesce(F.array_join(kept, " "), F.lit(""))
 
 
+def drop_denied_sentences(text: Column, denied: Iterable[str] = tuple(fv.DENIED_SOURCE_WORDS)) -> Column:
+    """Lower-case the text and remove every sentence that contains a deny word as a substring.
+
+    Arrow's regular expressions test all words in one pass over a sentence; Java's try word after word at every character.
+    """
+    shortest = shortest_substrings(denied)
+    found = F.coalesce(sentences(F.lower(text)), F.array().cast("array<string>"))
+    if not shortest:
+        return F.array_join(found, " ")
+    pattern = alternation(shortest)
+
+    @F.arrow_udf(StringType())
+    def without_denied(lists: pa.Array) -> pa.Array:
+        each, ends = lists.flatten(), np.asarray(lists.offsets)
+        stays = pc.invert(pc.match_substring_regex(each, pattern))
+        before = np.concatenate([[0], np.cumsum(stays.to_numpy(zero_copy_only=False))])  # sentences kept before each
+        kept = pa.ListArray.from_arrays(pa.array(before[ends - ends[0]], pa.int32()), each.filter(stays))
+        return pc.binary_join(kept, pa.scalar(" ", each.type))
+
+    return without_denied(found)
+
+
 # --- normalisation and phrases ----------------------------------------------------------------
 def contains_phrase(text: Column, phrase: Column) -> Column:
     """Is the normalised phrase in the normalised text, at word boundaries?"""

@@ -68,9 +68,9 @@ def amend(df: DataFrame, denied: list[str] | None = None, from_base64: bool = Fa
 def drop_denied_in_map(aspects, denied: list[str]):
     """Apply the sentence rule to keys and values; drop emptied entries; of equal new keys the last wins."""
     cleaned = F.transform(F.map_entries(aspects), lambda e: F.struct(
-        F.trim(tx.drop_denied_sentences(e["key"], denied)).alias("key"),
-        F.trim(tx.drop_denied_sentences(e["value"], denied)).alias("value")))
+        F.trim(tx.drop_denied_sentences_inline(e["key"], denied)).alias("key"),
+        F.trim(tx.drop_denied_sentences_inline(e["value"], denied)).alias("value")))
     kept = F.filter(cleaned, lambda e: (e["key"] != "") & (e["value"] != ""))
-    last = F.filter(kept, lambda e, i: ~F.exists(F.slice(kept, i + 2, F.greatest(F.size(kept) - i, F.lit(0))),
-                                                lambda later: later["key"] == e["key"]))
+    last = tx.let(kept, lambda m: F.filter(m, lambda e, i: ~F.exists(F.slice(m, i + 2, F.greatest(F.size(m) - i, F.lit(0))),
+                                                                     lambda later: later["key"] == e["key"])))
     return F.coalesce(F.map_from_entries(last), F.from_json(F.lit("{}"), "map<string,string>"))

@@ -118,6 +118,38 @@ def test_character_references(spark):
     assert got[good.index("&#1114111;")] == "\U0010ffff"
 
 
+def test_sentence_rule_of_columns_and_lambdas(spark):
+    import re
+    texts = [None, "", " ", ".", " \n", "One. Two us! Three?\n\nFour", "US. No! n/a? no", "..  . !\x0b?\f.\r\n x", "a.b c.\u00a0d. \u00c9t\u00e9 \U0001f600. Z\u00fcrich c+ d!",
+             "\u0130stanbul. \u03a3\u03a3. end. \n", "x.  \ty", "\n. lead", "used", "plus. sign", "A.\nB.\nC", ".\x85a. b"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2).withColumn("low", F.lower("t"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for denied in (["us", "n/a"], [], [""], ["c+ d", "a.b", "\u00e9", "\U0001f600"], ["S", "si"], ["zzz"]):
+            got = df.select("low", tx.drop_denied_sentences(F.col("t"), denied).alias("column"),
+                            F.transform(F.array("t"), lambda t: tx.drop_denied_sentences_inline(t, denied))[0].alias("inline")).collect()
+            assert len(got) == len(texts)
+            for low, column, inline in got:
+                parts = [] if low is None else re.split(r"(?<=[.!?])[ \t\n\x0b\f\r]+", low.strip(" "))
+                want = " ".join(p for p in parts if p and not any(d.lower() in p for d in denied))
+                assert (column, inline) == (want, want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_long_texts_are_not_searched_word_by_word(spark):
+    from sigloom.plans import extraction
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in (("Kind", "Tall. Free"), ("Sale", "x"), ("kind", "Round"), ("Form", "new"))])
+    df = spark.createDataFrame([("Good. New here.", "One. Two old")], "item_desc string, title string").withColumn("aspects", F.map_from_entries(pairs))
+    out = extraction.amend(df)
+    assert [tuple(r) for r in out.select("desc_no_forbidden", "title_no_forbidden", "aspects_no_forbidden").collect()] == [("good.", "one.", {"kind": "round"})]
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan(out.select("desc_no_forbidden", "title_no_forbidden")).upper()
+    # The rule for a map stands there once for the keys and once for the values, outside the test of later keys.
+    cleaned = extraction.drop_denied_in_map(F.col("aspects"), ["us"])
+    assert plan(df.select(cleaned.alias("x"))).upper().count("RLIKE") == 2
+
+
 def test_no_words_match_nothing(spark):
     df = spark.createDataFrame([("any text",)], "t string")
     assert not df.select(tx.contains_any(F.col("t"), [])).first()[0] and not df.select(tx.has_whole_word(F.col("t"), [])).first()[0]
