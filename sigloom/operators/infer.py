@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sigloom.functions import parse as ps
 from sigloom.sources.folders import new_folder
-from sigloom.sources.rounds import append_by_task, append_in_rounds, by_hash, table_or_empty
+from sigloom.sources.rounds import Work, append_by_piece, append_by_task, append_in_rounds, by_hash, open_run, table_or_empty, worker_path
 
 TextFunction = Callable[[list[str]], list[str]]
 TURN_BYTES = 128 << 20  # text that a task gets at most where their number is bounded
@@ -63,13 +63,15 @@ def _answers(fn: TextFunction, prompts: list[str], pace: _Pace, attempts: int) -
 
 def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], result: str = "result",
                       error: str = "error", concurrency: int | None = None, max_items: int | None = None,
-                      order: str | None = None, batch: int = 32, parallel: int = 1, per_minute: float | None = None, attempts: int = 1) -> DataFrame:
+                      order: str | None = None, batch: int = 32, parallel: int = 1, per_minute: float | None = None, attempts: int = 1,
+                      sink: Callable[[DataFrame, Work], DataFrame] | None = None) -> DataFrame:
     """Adds ``result`` and ``error`` ('' rather than NULL).  A failing prompt does not fail its batch.
 
     ``fn`` gets up to ``batch`` prompts a call; a task has ``parallel`` calls in flight (``fn`` must then be thread-safe)
     and starts at most ``per_minute`` of them a minute; a prompt of a failed call is tried alone, ``attempts`` times.
     ``concurrency`` bounds the number of tasks at work.  Where so few would get more than ``TURN_BYTES`` of text each, they
     take turns: the table is then cut, every part is a job that is done at once, and the answers are read back.  ``max_items`` takes the first rows by ``order``, by prompt without one.
+    ``sink`` (without ``concurrency``) gets the rows and what is to be done with their frames; its answer is then the result.
     """
     rows = df if max_items is None else df.orderBy(order or prompt).limit(max_items)
     schema = T.StructType([*df.schema.fields, T.StructField(result, T.StringType()), T.StructField(error, T.StringType())])
@@ -84,7 +86,7 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
                 yield frame.assign(**{result: [t for t, _ in answers], error: [e for _, e in answers]})
 
     if concurrency is None:
-        return rows.mapInPandas(work, schema)
+        return sink(rows, work) if sink else rows.mapInPandas(work, schema)
     texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("bigint") for f in df.schema.fields if f.dataType == T.StringType()]
     turns = -(-(rows.agg(F.sum(sum(texts, F.lit(64)))).first()[0] or 0) // (concurrency * TURN_BYTES))
     if turns <= 1:
@@ -97,19 +99,28 @@ def run_text_function(df: DataFrame, prompt: str, factory: Callable[[], TextFunc
 
 def resumed(df: DataFrame, prompt: str, factory: Callable[[], TextFunction], path: str, key: str = "item_id",
             per_round: int = 100_000, concurrency: int | None = None, **kw) -> DataFrame:
-    """Raw answers of all rows, appended under ``path``; every task commits its own, and all tasks at work hold about ``per_round`` prompts.
+    """Raw answers of all rows, appended under ``path``; all tasks at work hold about ``per_round`` prompts whose answers are not committed.
 
-    A run that dies loses only those: the next run asks what is missing and what had failed.  ``concurrency`` bounds the
-    tasks at work; then a job asks about ``per_round`` prompts and commits them together.
+    A run that dies loses only those: the next run asks what is missing and what had failed.  A task commits piece by piece
+    where the workers can write under ``path``, else there are as many tasks as pieces.  ``concurrency`` bounds the tasks at
+    work; then a job asks about ``per_round`` prompts and commits them together.
     """
     spark = df.sparkSession
     out = df.select(key, prompt)
     schema = T.StructType([*out.schema.fields, T.StructField("result", T.StringType()), T.StructField("error", T.StringType())])
-    todo = unfinished(out, table_or_empty(spark, path, schema).filter("error = ''"), key)
-    if concurrency is None:
-        append_by_task(todo, per_round, lambda rows: run_text_function(rows, prompt, factory, **kw), path)
-    else:
-        append_in_rounds(todo, by_hash(todo, [key], per_round), lambda rows: run_text_function(rows, prompt, factory, concurrency=concurrency, **kw), path)
+    folder = worker_path(spark, path, schema) if concurrency is None else None
+    with open_run(folder) as run:
+        answered = table_or_empty(spark, path, schema).filter("error = ''")
+        if folder:
+            # Rows are streamed, so tasks need not be small, and nothing is counted before; the join finds its rows dealt by key.
+            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+            run_text_function(unfinished(out.repartition(tasks, key), answered, key), prompt, factory,
+                              sink=lambda rows, work: append_by_piece(rows, per_round, work, folder, run, schema, key), **kw).collect()
+        elif concurrency is None:
+            append_by_task(unfinished(out, answered, key), per_round, lambda rows: run_text_function(rows, prompt, factory, **kw), path)
+        else:
+            todo = unfinished(out, answered, key)
+            append_in_rounds(todo, by_hash(todo, [key], per_round), lambda rows: run_text_function(rows, prompt, factory, concurrency=concurrency, **kw), path)
     answers = table_or_empty(spark, path, schema)
     return answers.groupBy(key).agg(F.min_by(F.struct("result", "error"), F.struct(F.col("error") != "", "result")).alias("_a")).select(key, "_a.result", "_a.error")
 

@@ -3,24 +3,36 @@
 A Spark job publishes its output when all its tasks are done, so a job that dies leaves nothing behind.  Work that must
 not be repeated (calls to a model, sends) is therefore cut into rounds of bounded size; each round appends its rows to
 the result table, and a later run leaves out what the table holds.  At most the round in hand is lost.
+
+A job or a task for each round costs far more than a small round itself.  Where the workers can write the result table
+(``worker_path``) a task therefore goes through many rounds and puts the rows of each under the table before it begins the next.
 """
 
 from __future__ import annotations
 
+import glob
+import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DecimalType, IntegralType, StringType, StructType
 
 from sigloom.sources.folders import new_folder
 
 ROUND = "_round"
+MANY_FILES = 32  # files of a task from which on they are made one when the task ends
+GROUP_BYTES = 16 << 20  # rows in the memory of a worker while it does so
+
+Work = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]  # answers each frame before it takes the next
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -55,6 +67,134 @@ def append_by_task(todo: DataFrame, per_round: int, work: Callable[[DataFrame],
     return tasks
 
 
+def worker_path(spark: SparkSession, path: str, schema: StructType) -> str | None:
+    """``path`` as the workers' Python opens it; None where only Spark reaches it, or for types other than plain values."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri()
+    plain = all(isinstance(f.dataType, (StringType, IntegralType, DecimalType, BooleanType)) for f in schema)
+    return found.getPath() if plain and found.getScheme() == "file" else None
+
+
+@contextmanager
+def open_run(folder: str | None) -> Iterator[str]:
+    """The id of a run that may put files under ``folder`` until it ends or another begins: tasks can outlive a run that failed.
+
+    Open it before the result table is read.  Its mark lies beside the folder.
+    """
+    run, marks = uuid.uuid4().hex, []
+    if folder:
+        for other in glob.glob(_mark(glob.escape(folder), "*")):
+            os.unlink(other)
+        marks = [_mark(folder, run)]
+        os.makedirs(os.path.dirname(marks[0]), exist_ok=True)
+        open(marks[0], "x").close()
+    try:
+        yield run
+    finally:
+        for mark in filter(os.path.exists, marks):
+            os.unlink(mark)
+
+
+def _mark(folder: str, run: str) -> str:
+    above, name = os.path.split(folder.rstrip("/"))
+    return os.path.join(above, f".{name}-open-{run}")
+
+
+class Pieces:
+    """The files of one task under a Parquet table: one for each round, whole when it is seen, and one for all in the end where they are many.
+
+    Names tell the run, the task and the round, so that a task that runs again finds what it has done.
+    """
+
+    def __init__(self, folder: str, run: str, schema: pa.Schema):
+        self.folder, self.run, self.schema = folder, run, schema
+
+    def _name(self, of: str) -> str:
+        return os.path.join(self.folder, f"part-{self.run}-{of}.parquet")
+
+    def _publish(self, name: str, write: Callable[[str], None]) -> None:
+        hidden = os.path.join(self.folder, f"_{uuid.uuid4().hex}")
+        write(hidden)
+        os.rename(hidden, name)
+
+    def require_open(self) -> None:
+        if not os.path.exists(_mark(self.folder, self.run)):
+            raise RuntimeError(f"the run of this task over {self.folder} has ended")
+
+    def put(self, number: str, rows: pd.DataFrame) -> None:
+        table = pa.Table.from_pandas(rows, schema=self.schema, preserve_index=False, nthreads=1).replace_schema_metadata()
+        whole = pa.BufferOutputStream()
+        pq.write_table(table, whole, use_dictionary=False, store_schema=False)
+
+        def write(file: str) -> None:
+            with open(file, "xb") as out:
+                out.write(whole.getvalue())
+
+        os.makedirs(self.folder, exist_ok=True)
+        self.require_open()
+        self._publish(self._name(number), write)
+
+    def has(self, number: str, task: str) -> bool:
+        """Whether the rows of a round are there, in a file of their own or in that of the task (which comes before they go)."""
+        return os.path.exists(self._name(number)) or os.path.exists(self._name(task))
+
+    def rows(self, numbers: str, columns: list[str]) -> pd.DataFrame:
+        """What files of this run whose round fits the pattern hold."""
+        found = [pq.ParquetFile(name).read(columns) for name in glob.glob(glob.escape(self._name(""))[:-len(".parquet")] + numbers + ".parquet")]
+        return pa.concat_tables(found).to_pandas() if found else pd.DataFrame(columns=columns)
+
+    def merge(self, numbers: list[str], task: str) -> None:
+        names = [self._name(n) for n in numbers]
+        if len(names) < MANY_FILES or os.path.exists(self._name(task)):
+            return
+
+        def write(file: str) -> None:
+            held, size = [], 0
+            with pq.ParquetWriter(file, self.schema) as out:
+                for i, name in enumerate(names):
+                    held.append(pq.ParquetFile(name).read())
+                    size += held[-1].nbytes
+                    if size > GROUP_BYTES or i + 1 == len(names):
+                        out.write_table(pa.concat_tables(held))
+                        held, size = [], 0
+
+        self._publish(self._name(task), write)  # a run that ends here leaves rows twice, which readers of a result table allow for
+        for name in names:
+            os.unlink(name)
+
+
+def append_by_piece(todo: DataFrame, per_round: int, work: Work, folder: str, run: str, schema: StructType, key: str) -> DataFrame:
+    """The job that puts ``work`` of the rows, in any order, under ``folder``; its rows say how many.
+
+    A task goes through its rows in pieces so small that those in the hands of all cores make up one round, and puts the
+    answers of each before it takes the next.  A task that runs again leaves out the keys it has put already.
+    """
+    piece = max(1, per_round // todo.sparkSession.sparkContext.defaultParallelism)
+    arrow = to_arrow_schema(schema)
+
+    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        files, me = Pieces(folder, run, arrow), f"{context.partitionId()}-{context.attemptNumber()}"
+        known = set(files.rows(f"{context.partitionId()}-*", [key])[key]) if context.attemptNumber() else None
+
+        def pieces() -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                left = frame if known is None else frame[~frame[key].isin(known)]
+                for i in range(0, len(left), piece):
+                    files.require_open()
+                    yield left.iloc[i:i + piece]
+
+        numbers, rows = [], 0
+        for done in work(pieces()):
+            numbers.append(f"{me}-{len(numbers)}")
+            files.put(numbers[-1], done)
+            rows += len(done)
+        files.merge(numbers, me)
+        yield pd.DataFrame({"rows": [rows]})
+
+    return todo.mapInPandas(task, "rows long")
+
+
 def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame], DataFrame], path: str) -> int:
     """Appends ``work(rows)`` to ``path`` for the rows of each round, in order of ``number``; the number of rounds.
 

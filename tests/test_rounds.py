@@ -4,6 +4,8 @@ import json
 import os
 import random
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from sigloom.functions import text as tx
 from sigloom.operators import infer
 from sigloom.plans.export import export_items
 from sigloom.sources import export as ex
-from sigloom.sources.rounds import append_in_rounds
+from sigloom.sources.rounds import Pieces, append_in_rounds, open_run, worker_path
 
 
 def said(folder):
@@ -88,6 +90,51 @@ def test_many_rounds_of_answers_are_one_job_whose_tasks_commit(spark, tmp_path):
     assert done.count() == 700 and done.filter("error <> '' or result is null").isEmpty()
 
 
+def test_rounds_of_answers_need_no_task_and_file_each(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    log, path = str(tmp_path / "log"), str(tmp_path / "raw")
+
+    def factory():
+        open(os.path.join(log, os.urandom(8).hex()), "w").close()  # one for each task
+
+        def fn(prompts):
+            if any(p.endswith("7") for p in prompts) and len(os.listdir(log)) < 100:
+                raise ValueError("refused")
+            return [p + "!" for p in prompts]
+        return fn
+
+    df = spark.range(2000).select(F.col("id").alias("item_id"), F.col("id").cast("string").alias("p"))
+    first = infer.resumed(df, "p", factory, path, per_round=4, batch=2)
+    assert sorted(map(tuple, first.collect())) == [(i, *(("", "refused") if i % 10 == 7 else (f"{i}!", ""))) for i in range(2000)]
+    tasks = len(os.listdir(log))
+    assert tasks <= 4 * 4 and len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= tasks  # 500 rounds in pieces of one row
+    assert spark.read.parquet(path).count() == 2000 and [f for f in os.listdir(tmp_path) if f.startswith(".")] == []
+    for i in range(100):
+        open(os.path.join(log, f"{i}"), "w").close()
+    again = infer.resumed(df, "p", factory, path, per_round=4, batch=2)
+    assert sorted(map(tuple, again.collect())) == [(i, f"{i}!", "") for i in range(2000)] and spark.read.parquet(path).count() == 2200
+
+
+def test_pieces_of_a_task(spark, tmp_path):
+    folder, schema = str(tmp_path / "t"), pa.schema([("k", pa.int64()), ("v", pa.string())])
+    with open_run(folder) as run:
+        files = Pieces(folder, run, schema)
+        for n in range(40):
+            files.put(f"3-0-{n}", pd.DataFrame({"k": [n], "v": [None if n % 2 else "v"]}))
+        Pieces(folder, run, schema).put("33-0-0", pd.DataFrame({"k": [99], "v": ["w"]}))
+        assert sorted(files.rows("3-*", ["k"])["k"]) == list(range(40)) and files.rows("4-*", ["k"]).empty
+        files.merge([f"3-0-{n}" for n in range(40)], "3-0")
+        assert len(os.listdir(folder)) == 2 and sorted(files.rows("3-*", ["k"])["k"]) == list(range(40))
+        assert files.has("3-0-7", "3-0") and not files.has("4-0-7", "4-0")  # known by the file of the task
+        with open_run(folder):  # another run begins: a task that is left over puts nothing more
+            with pytest.raises(RuntimeError, match="has ended"):
+                files.put("3-0-41", pd.DataFrame({"k": [41], "v": ["v"]}))
+    assert sorted(map(tuple, spark.read.parquet(folder).collect())) == [*((n, None if n % 2 else "v") for n in range(40)), (99, "w")]
+    keyed = spark.createDataFrame([], "k long, v string").schema
+    assert worker_path(spark, f"file://{folder}", keyed) == worker_path(spark, folder, keyed) == folder
+    assert worker_path(spark, folder, spark.createDataFrame([], "k array<long>").schema) is None
+
+
 def test_bounded_tasks_take_turns_over_long_texts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(infer, "TURN_BYTES", 20_000)
     (tmp_path / "log").mkdir()
