@@ -8,6 +8,7 @@ from sigloom.operators import chat, filters
 from sigloom.operators import infer
 from sigloom.operators import items as it
 from sigloom.operators import report
+from sigloom.operators.ordering import stored
 from sigloom.plans import judging
 from sigloom.plans.generation import generate
 from sigloom.registry.core import query
@@ -320,7 +321,8 @@ def _(b):
                 return ex.Answer(500, "Message exceeds maximum size") if len(records) > 50 else ex.Answer(200)
             return sender
         return make
-    batched, ledger = ex.batches(ex.payload(export_rows(b), "P1"), size=100), scratch(b, "ledger")
+    # Both runs get the same batches: they are computed once.
+    batched, ledger = stored(ex.batches(ex.payload(export_rows(b), "P1"), size=100), scratch(b, "input"), "batches"), scratch(b, "ledger")
     refuse = F.transform("records", lambda r: F.lit('{"features":"refuse"}'))
     # In the first run every third batch is refused (under other records); the second sends those and no other.
     ex.send_once(batched.withColumn("records", F.when(F.col("batch_id") % 3 == 0, refuse).otherwise(F.col("records"))), factory(True), ledger, per_round=4)

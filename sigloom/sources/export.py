@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,7 +16,8 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import fixed_values as fv
 from sigloom.operators.ordering import ordered_position
-from sigloom.sources.rounds import commit_in_order, table_or_empty
+from sigloom.sources.folders import new_folder
+from sigloom.sources.rounds import ROUND, Work, commit_in_order, open_run, put_in_order, table_or_empty, worker_path
 
 
 def features_text(df: DataFrame, column: str) -> Column:
@@ -55,6 +59,7 @@ class SendFailed(Exception):
 
 
 Sender = Callable[[list[dict]], Answer]
+T = TypeVar("T")
 
 
 def _send(sender: Sender, records: list[dict], attempts: int, pause: Callable[[float], None]) -> tuple[int, int]:
@@ -82,35 +87,49 @@ def _send(sender: Sender, records: list[dict], attempts: int, pause: Callable[[f
 RESULT = "batch_id bigint, rows int, attempts int, splits int, ok boolean, error string"
 
 
+def _sending(factory: Callable[[], Sender], attempts: int, pause: Callable[[float], None], carry: str | None, parallel: int) -> Work:
+    """Result rows of frames of batches; ``parallel`` batches are under way at once, each thread with a sender of its own."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = threading.local()
+
+        def one(batch_id: int, records: list[str]) -> tuple:
+            if not hasattr(own, "sender"):
+                own.sender = factory()
+            rows = [json.loads(r) for r in records]
+            try:
+                calls, splits = _send(own.sender, rows, attempts, pause)
+                return batch_id, len(rows), calls, splits, True, ""
+            except Exception as e:  # noqa: BLE001 - reported per batch
+                return batch_id, len(rows), 0, 0, False, str(e) or type(e).__name__
+
+        with ThreadPoolExecutor(parallel) as pool:
+            for frame in frames:
+                at_once = map if parallel == 1 or len(frame) == 1 else pool.map
+                done = pd.DataFrame(list(at_once(one, frame["batch_id"], frame["records"])), columns=["batch_id", "rows", "attempts", "splits", "ok", "error"])
+                if carry:
+                    done.insert(0, carry, list(frame[carry]))
+                yield done
+
+    return work
+
+
 def send(batched: DataFrame, factory: Callable[[], Sender], attempts: int = fv.EXPORT_MAX_ATTEMPTS,
-         pause: Callable[[float], None] = time.sleep, tasks: int | None = None, carry: str | None = None) -> DataFrame:
-    """Send every batch; one result row per batch.  ``tasks`` bounds the senders at work at once; None keeps the table's partitions.
+         pause: Callable[[float], None] = time.sleep, tasks: int | None = None, carry: str | None = None,
+         parallel: int = 1, sink: Callable[[DataFrame, Work], T] | None = None) -> DataFrame | T:
+    """Send every batch; one result row per batch.  ``tasks`` bounds the tasks at work at once; None keeps the table's partitions.
 
-    ``carry`` names a text column that comes back in front of the result.
+    ``carry`` names a text column that comes back in front of the result.  A task has ``parallel`` batches under way.  ``sink``
+    gets the rows and what is to be done with their frames; its answer is then the result.
     The batch id is stable, so a receiver can drop the repeat of a batch whose task ran twice.
     """
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sender = factory()
-        for frame in frames:
-            out = []
-            for batch_id, records in zip(frame["batch_id"], frame["records"]):
-                rows = [json.loads(r) for r in records]
-                try:
-                    calls, splits = _send(sender, rows, attempts, pause)
-                    out.append((batch_id, len(rows), calls, splits, True, ""))
-                except Exception as e:  # noqa: BLE001 - reported per batch
-                    out.append((batch_id, len(rows), 0, 0, False, str(e) or type(e).__name__))
-            done = pd.DataFrame(out, columns=["batch_id", "rows", "attempts", "splits", "ok", "error"])
-            if carry:
-                done.insert(0, carry, list(frame[carry]))
-            yield done
-
     rows = batched if tasks is None else batched.repartition(tasks, "batch_id")
-    return rows.mapInPandas(work, f"{carry} string, {RESULT}" if carry else RESULT)
+    work = _sending(factory, attempts, pause, carry, parallel)
+    return sink(rows, work) if sink else rows.mapInPandas(work, f"{carry} string, {RESULT}" if carry else RESULT)
 
 
 LEDGER = "digest string, " + RESULT
+SMALL_ROUND = 64  # batches that one task sends at once at most
 
 
 def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, per_round: int = 1000, tasks: int | None = None, **kw) -> DataFrame:
@@ -119,20 +138,28 @@ def send_once(batched: DataFrame, factory: Callable[[], Sender], ledger: str, pe
     The ledger is a Parquet table under ``ledger``: one row per send, with a digest of the batch's records, so a batch id that
     stands for other records now is sent again.  Batches go in order of their ids, ``per_round`` at a time, and every round
     commits its rows: a run that dies sends at most the batches of one round a second time, with 1 only the one in hand.
-    ``tasks`` bounds the senders at work at once; None takes as many as there are cores.
+    ``tasks`` bounds the senders at work at once; None takes as many as there are cores.  Small rounds go one after another
+    through one task whose threads send (each with a sender of its own) where the workers can write the ledger; a round of
+    more than ``SMALL_ROUND`` batches is a job by itself.  The batches are computed once and stored.
     """
     spark = batched.sparkSession
     schema = spark.createDataFrame([], LEDGER).schema
     content = F.sha2(F.to_json("records"), 256)
-    stamped = batched.withColumn("digest", content)
-    known = table_or_empty(spark, ledger, schema).filter("ok").select("batch_id", "digest").distinct()
-    todo = stamped.join(known, ["batch_id", "digest"], "left_anti")
-
-    def work(rows: DataFrame) -> DataFrame:
-        return send(rows.select("batch_id", "records", "digest"), factory, carry="digest", **kw)
-
+    computed, stored = batched.select("batch_id", "records").withColumn("digest", content), new_folder(spark, "batches")
+    computed.write.parquet(stored)
+    stamped = spark.read.schema(computed.schema).parquet(stored)
+    folder = worker_path(spark, ledger, schema) if per_round <= SMALL_ROUND else None
+    number = F.floor(F.col("batch_id") / per_round).cast("bigint")
     at_once = min(per_round, tasks or spark.sparkContext.defaultParallelism)
-    commit_in_order(todo, F.floor(F.col("batch_id") / per_round).cast("bigint"), work, ledger, at_once)
+    bytes_of = F.aggregate("records", F.lit(64).cast("bigint"), lambda n, r: n + F.octet_length(r))
+    with open_run(folder) as run:
+        known = table_or_empty(spark, ledger, schema).filter("ok").select("batch_id", "digest").distinct()
+        todo = stamped.join(known, ["batch_id", "digest"], "left_anti")
+        if folder:
+            send(todo.withColumn(ROUND, number), factory, carry="digest", parallel=at_once,
+                 sink=lambda rows, work: put_in_order(rows, ["batch_id"], work, folder, run, schema, bytes_of), **kw)
+        else:
+            commit_in_order(todo, number, lambda rows: send(rows.select("batch_id", "records", "digest"), factory, carry="digest", **kw), ledger, at_once)
     wanted = stamped.select("batch_id", "digest")
     names = [f.name for f in schema if f.name not in ("batch_id", "digest")]
     best = (table_or_empty(spark, ledger, schema).join(wanted, ["batch_id", "digest"], "left_semi")

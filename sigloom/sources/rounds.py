@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -31,6 +32,7 @@ from sigloom.sources.folders import new_folder
 ROUND = "_round"
 MANY_FILES = 32  # files of a task from which on they are made one when the task ends
 GROUP_BYTES = 16 << 20  # rows in the memory of a worker while it does so
+PART_BYTES = 32 << 20  # rows of a task that goes through rounds in order
 
 Work = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]  # answers each frame before it takes the next
 
@@ -122,7 +124,7 @@ class Pieces:
             raise RuntimeError(f"the run of this task over {self.folder} has ended")
 
     def put(self, number: str, rows: pd.DataFrame) -> None:
-        table = pa.Table.from_pandas(rows, schema=self.schema, preserve_index=False, nthreads=1).replace_schema_metadata()
+        table = pa.Table.from_arrays([pa.Array.from_pandas(rows[f.name], type=f.type) for f in self.schema], schema=self.schema)
         whole = pa.BufferOutputStream()
         pq.write_table(table, whole, use_dictionary=False, store_schema=False)
 
@@ -195,6 +197,59 @@ def append_by_piece(todo: DataFrame, per_round: int, work: Work, folder: str, ru
     return todo.mapInPandas(task, "rows long")
 
 
+def _by_round(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """The rows of each round out of frames in order of their rounds."""
+    held = None
+    for frame in frames:
+        if held is not None:
+            frame = pd.concat([held, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        numbers = frame[ROUND].to_numpy()
+        edges = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1)]
+        for begin, end in zip(edges, edges[1:]):
+            yield int(numbers[begin]), frame.iloc[begin:end]
+        held = frame.iloc[edges[-1]:]
+    if held is not None:
+        yield int(held[ROUND].iloc[0]), held
+
+
+def put_in_order(todo: DataFrame, order: list[str], work: Work, folder: str, run: str, schema: StructType, size: Column) -> int:
+    """Puts ``work`` of the rows under ``folder``, round by round in order of ``ROUND``; the number of jobs.
+
+    One round is in hand at any time.  Rows lie side by side in one shuffle, in ranges of rounds with about ``PART_BYTES``
+    of ``size`` each; a range is a job of one task, which goes through its rounds in order and puts the rows of each as one
+    file before it takes the next.  A task that runs again leaves out the rounds it has put already.
+    """
+    spark = todo.sparkSession
+    arrow = to_arrow_schema(schema)
+    total = todo.agg(F.sum(size.cast("bigint"))).first()[0]
+    if total is None:
+        return 0
+
+    def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, me, numbers, rows = Pieces(folder, run, arrow), f"t{TaskContext.get().partitionId()}", [], 0
+
+        def rounds() -> Iterator[pd.DataFrame]:
+            for n, frame in _by_round(frames):
+                numbers.append(str(n))
+                if not files.has(numbers[-1], me):
+                    files.require_open()
+                    yield frame
+
+        for done in work(rounds()):
+            files.put(numbers[-1], done)
+            rows += len(done)
+        files.merge(numbers, me)
+        yield pd.DataFrame({"rows": [rows]})
+
+    ranges = todo.repartitionByRange(1 + total // PART_BYTES, ROUND).sortWithinPartitions(ROUND, *order)
+    rdd = ranges.mapInPandas(task, "rows long").rdd
+    for n in range(rdd.getNumPartitions()):
+        spark.sparkContext.runJob(rdd, list, [n])
+    return rdd.getNumPartitions()
+
+
 def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame], DataFrame], path: str) -> int:
     """Appends ``work(rows)`` to ``path`` for the rows of each round, in order of ``number``; the number of rounds.
 
@@ -218,14 +273,12 @@ def append_in_rounds(todo: DataFrame, number: Column, work: Callable[[DataFrame]
 def commit_in_order(todo: DataFrame, number: Column, work: Callable[[DataFrame], DataFrame], path: str, tasks: int) -> int:
     """As ``append_in_rounds`` for rounds that are many and small and answer with a few narrow rows.
 
-    All rounds are planned once and lie side by side in one shuffle, ``tasks`` partitions each; a round is a job over its own
-    partitions, and its rows (never more than one round's) are put under ``path`` as one Parquet file before the next begins.
+    ``todo`` is read from a stored table.  All rounds are planned once and lie side by side in one shuffle, ``tasks`` partitions
+    each; a round is a job over its own partitions, and its rows (never more than one round's) are put under ``path`` as one
+    Parquet file before the next begins.
     """
     spark = todo.sparkSession
-    folder = new_folder(spark, "rounds")
-    staged = todo.withColumn(ROUND, number)
-    staged.write.parquet(folder)
-    read = spark.read.schema(staged.schema).parquet(folder)
+    read = todo.withColumn(ROUND, number)
     # The window and the broadcast see one row per round.
     at = read.select(ROUND).distinct().withColumn("_at", F.row_number().over(Window.orderBy(ROUND)) - 1)
     rounds = at.count()

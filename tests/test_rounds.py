@@ -204,6 +204,44 @@ def test_a_round_of_sends_is_one_job(spark, tmp_path):
     assert len([f for f in os.listdir(ledger) if f.endswith(".parquet")]) == 40 and spark.read.parquet(ledger).count() == 60
 
 
+def test_small_rounds_of_sends_share_a_job_and_keep_their_order(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    log, ledger, died = str(tmp_path / "log"), str(tmp_path / "ledger"), str(tmp_path / "died")
+    say = speaker(log)
+
+    def factory():
+        def sender(records):
+            first = records[0]["itemId"]
+            if first == 400 and not os.path.exists(died):
+                open(died, "w").close()
+                os._exit(3)
+            say(str(first // 2))
+            return ex.Answer(503 if first % 20 == 0 and not os.path.exists(died) else 200)
+        return sender
+
+    batched = ex.batches(payload(spark, 600), size=2)  # 300 batches in 100 rounds
+    send = lambda: ex.send_once(batched, factory, ledger, per_round=3)
+
+    def fails():
+        with pytest.raises(Exception):
+            send()
+
+    assert jobs_of(spark, "small", fails) < 20 + 16
+    held = {r.batch_id: r.ok for r in spark.read.parquet(ledger).collect()}
+    asked = list(map(int, said(log)))
+    assert sorted(held) == list(range(198)) and {i for i, ok in held.items() if not ok} == set(range(0, 198, 10))
+    assert [i // 3 for i in asked] == sorted(i // 3 for i in asked) and set(asked) - set(held) <= {198, 199, 200}
+    result = send()
+    assert [tuple(r) for r in result.orderBy("batch_id").collect()] == [(i, 2, 1, 0, True, "") for i in range(300)]
+    again = sorted(map(int, said(log)))
+    for i in asked:
+        again.remove(i)
+    assert again == sorted([*range(0, 198, 10), *range(198, 300)])  # what had failed, and all that the ledger did not hold
+    calls = len(said(log))
+    assert send().count() == 300 and len(said(log)) == calls
+    assert spark.read.parquet(ledger).count() == 198 + len(again)
+
+
 def test_failed_and_changed_batches_are_sent_again(spark, tmp_path):
     items = lambda n, t: spark.range(n).select(F.col("id").alias("item_id"), F.lit(t).alias("title"), F.lit("{}").alias("aspects"), F.lit("d").alias("desc"))
     path, calls = str(tmp_path / "r"), spark.sparkContext.accumulator(0)
